@@ -65,3 +65,46 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 def output(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in schema)], schema=schema)
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64 for i below at least n, kept per worker."""
+    held = _POWERS.get(base)
+    if held is None or held.size < n:
+        held = np.full(max(n, STEP_BYTES + 1), base, np.uint64)
+        held[0] = 1
+        held = _POWERS[base] = np.cumprod(held)
+    return held
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text numbers of the maximal runs of bytes with ``is_word`` (a table of 256), never across texts."""
+    inside = np.zeros(data.size + 2, bool)
+    inside[1:-1] = is_word[data]
+    begins = inside[1:-1] & ~inside[:-2]
+    stops = inside[1:-1] & ~inside[2:]
+    cuts = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < data.size)]
+    begins[cuts] = inside[1:-1][cuts]
+    stops[cuts - 1] = inside[1:-1][cuts - 1]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes that depends on its content alone."""
+    sums = np.zeros(data.size + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, data.size + 1)[: data.size], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _powers(_INVERSE, data.size + 1)[starts]
+    return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Murmur's finishing step, modulo 2 ** 64."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))

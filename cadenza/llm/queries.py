@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, quality, simhash_vp, token_counts
-from cadenza.llm.common import documents
+from cadenza.llm import ans, chat, decontam, quality, simhash_vp, token_counts
+from cadenza.llm.common import documents, shared_dir
 
 
 def vocabulary(name: str) -> str:
@@ -23,6 +24,11 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boilerplate")
 
 
+def op3_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/blocks-{uuid.uuid4().hex}"
+    return ans.round_trip(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), folder)
+
+
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -30,6 +36,10 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_windows(turns.unionByName(extra)))
 
 
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -45,7 +55,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
+    "op3_range_ans": op3_range_ans,
     "op6_chat_windows": op6_chat_windows,
+    "op7_spaced_seeds": op7_spaced_seeds,
     "op9_token_counts": op9_token_counts,
     "op10_simhash_vp": op10_simhash_vp,
 }
@@ -81,17 +93,22 @@ FROM f GROUP BY conv_id""",
     "op2_line_frequency": rf"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words FROM documents),
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words FROM documents),
 m AS (
-  SELECT doc_id, source, t, words, len(words) AS n_words, length(regexp_replace(t, '[ 	-]', '', 'g')) AS word_chars,
+  SELECT doc_id, source, t, words, len(words) AS n_words, length(regexp_replace(t, '[ 	-
+]', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-]'))) - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-]')))) AS n_dup_lines FROM w),
+    len(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
+]'))) - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
+]')))) AS n_dup_lines FROM w),
 pos AS (SELECT doc_id, n_words, words, unnest(range(1, n_words - 3)) AS p FROM m WHERE n_words >= 5),
 win AS (SELECT doc_id, p, array_to_string(words[p:p + 4], ' ') AS g FROM pos),
 rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS k FROM win) WHERE k > 1),
 cov AS (SELECT doc_id, sum(least(5, coalesce(nxt - p, 5))) AS n_repeat_words FROM (SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS nxt FROM rep) GROUP BY doc_id),
 l AS (
-  SELECT doc_id, source, t, trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[ 	-]+', ' ', 'g'), ' ') AS line
+  SELECT doc_id, source, t, trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[ 	-
+]+', ' ', 'g'), ' ') AS line
   FROM (SELECT doc_id, source, t, unnest(ls) AS x FROM w)),
 lw AS (SELECT doc_id, source, t, line, sum(len(string_split(line, ' '))) AS words FROM l WHERE line <> '' GROUP BY ALL),
 freq AS (SELECT source, line, min(doc_id) AS first FROM lw GROUP BY source, line HAVING count(DISTINCT t) > {quality.LINE_DOCS}),
