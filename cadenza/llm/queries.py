@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ans, chat, decontam, quality, simhash_vp, token_counts
-from cadenza.llm.common import documents, shared_dir
+from cadenza.llm import ans, chat, decontam, langid, piece, quality, simhash_vp, token_counts
+from cadenza.llm.common import documents, held_out, shared_dir
 
 
 def vocabulary(name: str) -> str:
@@ -19,6 +19,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_viterbi_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.where(~held_out("doc_id", 4, 2)))
+    return langid.identify(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.verdicts(documents(spark, sf_dir))
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boilerplate")
@@ -40,6 +46,10 @@ def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece.encode_decode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -54,10 +64,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_viterbi_langid": op1_viterbi_langid,
     "op2_line_frequency": op2_line_frequency,
     "op3_range_ans": op3_range_ans,
     "op6_chat_windows": op6_chat_windows,
     "op7_spaced_seeds": op7_spaced_seeds,
+    "op8_piece_codec": op8_piece_codec,
     "op9_token_counts": op9_token_counts,
     "op10_simhash_vp": op10_simhash_vp,
 }
