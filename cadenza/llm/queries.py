@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ans, chat, decontam, langid, piece, quality, simhash_vp, token_counts
+from cadenza.llm import ans, chat, decontam, langid, piece, quality, simhash_vp, suffix_dedup, token_counts
 from cadenza.llm.common import documents, held_out, shared_dir
 
 
@@ -35,6 +35,10 @@ def op3_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.round_trip(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), folder)
 
 
+def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure_cuts(documents(spark, sf_dir))
+
+
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_viterbi_langid": op1_viterbi_langid,
     "op2_line_frequency": op2_line_frequency,
     "op3_range_ans": op3_range_ans,
+    "op5_suffix_arrays": op5_suffix_arrays,
     "op6_chat_windows": op6_chat_windows,
     "op7_spaced_seeds": op7_spaced_seeds,
     "op8_piece_codec": op8_piece_codec,
