@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ans, chat, decontam, langid, piece, quality, simhash_vp, suffix_dedup, token_counts
+from cadenza.llm import ans, chat, ctw, decontam, langid, piece, quality, simhash_vp, suffix_dedup, token_counts
 from cadenza.llm.common import documents, held_out, shared_dir
 
 
@@ -35,6 +35,12 @@ def op3_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.round_trip(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), folder)
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out("doc_id", 7, 2)
+    got = ctw.score(documents(spark, sf_dir), ~held)
+    return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.measure_cuts(documents(spark, sf_dir))
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_viterbi_langid": op1_viterbi_langid,
     "op2_line_frequency": op2_line_frequency,
     "op3_range_ans": op3_range_ans,
+    "op4_context_tree": op4_context_tree,
     "op5_suffix_arrays": op5_suffix_arrays,
     "op6_chat_windows": op6_chat_windows,
     "op7_spaced_seeds": op7_spaced_seeds,
