@@ -84,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_codec": op8_piece_codec,
     "op9_token_counts": op9_token_counts,
     "op10_simhash_vp": op10_simhash_vp,
+    "pipeline": pipeline,
 }
 
 #: One row per turn of op6 as the template writes it, with the window that holds it and those that repeat it.

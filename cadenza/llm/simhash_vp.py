@@ -201,3 +201,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(key, "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
+    """The document with the smallest id of each component, in the columns of ``docs``.  Rows with a null id stay; rows that repeat an id
+    with one text stay or go together."""
+    found = near_duplicates(docs, text, key, **limits)
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key")).distinct()
+    return docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left_anti")
