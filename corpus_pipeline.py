@@ -8,14 +8,20 @@ again, so a lost executor costs a stage's tasks at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadenza.llm import decontam, piece, quality, simhash_vp, suffix_dedup
 from cadenza.llm.common import documents, materialize
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars again, of texts that may have lost some."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines above their host's limit go; so do documents that fail the base rules or are depleted."""
-    return quality.apply(docs)
+    return _counted(quality.apply(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +31,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes and more that start earlier elsewhere are cut from texts."""
-    return suffix_dedup.apply(docs)
+    return _counted(suffix_dedup.apply(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
