@@ -30,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import STEP_BYTES, column_bytes, materialize, output, span_hashes, steps
+from cadenza.llm.common import column_bytes, materialize, output, span_hashes, steps
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
-SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 2 << 20, 4_096, 1 << 16
+SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 4_096, 1 << 16
+#: Bytes of text in one numpy step; its arrays then stay in a core's cache.
+STEP_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)
 
 
@@ -93,7 +95,7 @@ def anchor_counts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             for data, offsets, _, _ in pieces(part, length):
                 h, n = np.unique(anchor_runs(data, offsets, length)[0].view(np.int64), return_counts=True)
                 yield output(schema, h=h, n=n)
@@ -106,7 +108,7 @@ def all_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("s", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             ids = part.column("doc").to_numpy()
             for data, offsets, rows, base in pieces(part, length):
                 h, owner, first, n = anchor_runs(data, offsets, length)
@@ -286,7 +288,7 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: in
     schema = pa.schema([("h", pa.int64()), ("runs", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             data, offsets = column_bytes(part.column("text"))
             lists = part.column("wanted")
             flat, owner = lists.flatten(), np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -322,7 +324,7 @@ def measure_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     schema = pa.schema([(key, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             rows = [(own.size, own.size - int(keep.sum()), int(np.count_nonzero(np.diff(np.r_[True, keep].astype(np.int8)) < 0)), hashlib.sha256(own[keep].tobytes()).hexdigest()) for own, keep in _cut(part, length)]
             columns = dict(zip(schema.names[1:], zip(*rows, strict=True), strict=True))
             yield output(schema, **{key: part.column("_id")}, **{k: list(v) for k, v in columns.items()})
