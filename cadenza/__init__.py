@@ -1,0 +1 @@
+"""Catalogue and listening analytics as Spark DataFrame functions."""
