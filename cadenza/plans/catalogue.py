@@ -95,12 +95,12 @@ def now_state_idle_keep(spark, d):
 
 
 @query("""
-SELECT c_custkey, m.since FROM customer LEFT JOIN
+SELECT c_custkey, coalesce(m.since, -1) AS since FROM customer LEFT JOIN
 (SELECT user_id, CAST(floor(epoch(max(ts))) AS BIGINT) + 1 AS since FROM events GROUP BY user_id) m ON c_custkey = m.user_id""")
 def cursor_per_user(spark, d):
     held = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("played_at"), F.lit(False).alias("is_now_playing"))
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.lit("connected").alias("status"))
-    return jobs.scrobble_cursors(users, held).select(F.col("user_id").alias("c_custkey"), "since")
+    return jobs.scrobble_cursors(users, held).select(F.col("user_id").alias("c_custkey"), F.coalesce("since", F.lit(-1)).alias("since"))
 
 
 @query("""
@@ -138,12 +138,13 @@ def upsert_map_merge(spark, d):
 
 @query("""
 SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 AND s_suppkey % 3 <> 0 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal,
-  CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE s_nationkey END AS s_nationkey, CASE WHEN s_suppkey % 2 = 0 AND (s_suppkey % 3 <> 0 OR s_nationkey IS NOT NULL) THEN 2 ELSE 1 END AS stamp FROM supplier""")
+  CASE WHEN s_suppkey % 2 = 0 THEN 'none' ELSE CAST(s_nationkey AS VARCHAR) END AS s_nationkey, CASE WHEN s_suppkey % 2 = 0 AND (s_suppkey % 3 <> 0 OR s_nationkey IS NOT NULL) THEN 2 ELSE 1 END AS stamp FROM supplier""")
 def upsert_rules_matrix(spark, d):
     base = table(spark, d, "supplier")
     target = base.select("s_suppkey", "s_name", "s_acctbal", "s_nationkey", F.lit(1).alias("stamp"))
     source = base.where("s_suppkey % 2 = 0").select("s_suppkey", F.lit("new").alias("s_name"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_acctbal") + 1).alias("s_acctbal"), F.lit(None).cast("int").alias("s_nationkey"), F.lit(2).alias("stamp"))
-    return merge.upsert(target, source, ["s_suppkey"], {"s_name": Rule.KEEP, "s_acctbal": Rule.COALESCE, "s_nationkey": Rule.OVERWRITE, "stamp": Rule.STAMP})
+    merged = merge.upsert(target, source, ["s_suppkey"], {"s_name": Rule.KEEP, "s_acctbal": Rule.COALESCE, "s_nationkey": Rule.OVERWRITE, "stamp": Rule.STAMP})
+    return merged.withColumn("s_nationkey", F.coalesce(F.col("s_nationkey").cast("string"), F.lit("none")))
 
 
 @query("""

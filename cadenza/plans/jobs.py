@@ -188,8 +188,8 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     """MusicBrainz ids of artists: artist_id, mbid (or ``not_found``) and aliases.
 
     ``pending``: artist_id, name, genres, ord; ``found``: artist_id, mbid, score, country, aliases, ord.  Candidates need the score and a plausible country; one whose country
-    is missing while the hint says Korea needs a Hangul alias.  An id goes to the first artist that wants it and no one else: each round gives every
-    artist its best free candidate and each id its first artist, until nobody moves, which equals the row-by-row order.
+    is missing while the hint says Korea needs a Hangul alias.  An id goes to one artist, as if artists chose one after another in the order of ``ord``: all
+    ids rank artists alike, so the stable assignment that rounds of asking and refusing reach is that one.
     """
     hint = T.country_hint(F.col("genres"))
     c = found.where(F.col("score") >= least_score).join(pending.select("artist_id", "name", hint.alias("hint"), F.col("ord").alias("artist_ord")), "artist_id")
@@ -198,14 +198,13 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     c = c.where(T.country_plausible(F.col("hint"), F.col("country")) & (~F.coalesce(F.col("hint") == "KR", F.lit(False)) | ~missing | korean))
     c = c.join(taken.select("mbid").distinct(), "mbid", "left_anti")
     c = c.select("artist_id", "artist_ord", "mbid", (-F.col("score")).alias("rank"), F.col("ord").alias("at"), T.clean_aliases(F.coalesce("aliases", F.array().cast("array<string>")), F.col("name")).alias("aliases"))
-    left, given = c, None
-    while True:  # a round gives at least one id; ids wanted by many settle in as many rounds as they chain
-        wish = rank.best_per_key(left, ["artist_id"], F.struct("rank", "at", "mbid"))
-        won = rank.best_per_key(wish, ["mbid"], F.struct("artist_ord", "artist_id")).checkpoint()
-        given = won if given is None else given.unionByName(won)
-        left = left.join(won.select("artist_id"), "artist_id", "left_anti").join(won.select("mbid"), "mbid", "left_anti").checkpoint()
-        if left.isEmpty():
+    while True:  # deferred acceptance: an id keeps the first artist that asked so far, the others ask for their next
+        wish = rank.best_per_key(c, ["artist_id"], F.struct("rank", "at", "mbid"))
+        given = rank.best_per_key(wish, ["mbid"], F.struct("artist_ord", "artist_id"))
+        refused = wish.select("artist_id", "mbid").join(given.select("artist_id", "mbid"), ["artist_id", "mbid"], "left_anti").checkpoint()
+        if refused.isEmpty():
             break
+        c = c.join(refused, ["artist_id", "mbid"], "left_anti").checkpoint()
     rows = pending.select("artist_id").join(given.select("artist_id", "mbid", "aliases"), "artist_id", "left")
     return rows.select("artist_id", F.coalesce("mbid", F.lit("not_found")).alias("mbid"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
 
