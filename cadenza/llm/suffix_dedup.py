@@ -34,7 +34,7 @@ from cadenza.llm.common import column_bytes, materialize, output, span_hashes, s
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
-SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 4_096, 1 << 16
+SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 1_024, 1 << 16
 #: Bytes of text in one numpy step; its arrays then stay in a core's cache.
 STEP_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)
