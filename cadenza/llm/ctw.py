@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import column_bytes, materialize, output, span_hashes, steps, word_spans
 
 DEPTH, BLOCK_BYTES, MARK = 4, 24 << 20, 255
+#: Bytes of text in one numpy step, whose arrays then stay in a core's cache; bits of a look-up table's slots.
+STEP_BYTES, SLOT_BITS = 1 << 18, 22
 WORDS, STRINGS, END = 0, 1, 0  # kinds of keys, and the key of the end token
 _SPACE = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 _LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
@@ -68,6 +70,29 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return unique, np.bincount(at, np.concatenate(counts), unique.size).astype(np.int64)
 
 
+class Lookup:
+    """Values by key for many queries: a table of 2 ** SLOT_BITS slots answers most, binary search those whose slot another key took."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        by = np.argsort(keys)
+        self.keys, self.values = keys[by], values[by]
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(keys.size)
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of ``keys``, all of which are held."""
+        if not keys.size:
+            return self.values[:0]
+        at = self.slots[self._slot(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
+        at[other] = np.searchsorted(self.keys, keys[other])
+        return self.values[at]
+
+
 _COUNTED = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64())])
 
 
@@ -85,11 +110,11 @@ def gather(rows: DataFrame) -> DataFrame:
             if size + keys.size > 1 << 21:
                 keys, counts = _merge(ks, ns)
                 held[kind] = [keys], [counts], keys.size
-                if keys.size > 1 << 20:  # a bounded table: send it and start again
+                if keys.size > 1 << 20:  # the table is bounded: send it and start again
                     held[kind] = [], [], 0
                     yield output(_COUNTED, kind=np.full(keys.size, kind, np.int8), key=keys, n=counts)
 
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             trains = np.array(part.column("trains").to_pylist(), bool)
             data, offsets = column_bytes(part.column("text"))
             for kind, made in ((WORDS, words), (STRINGS, strings)):
@@ -224,10 +249,13 @@ def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_i
 
     def ask(table: pa.Table) -> pa.Table:
         held: dict[int, list] = {WORDS: [np.array([END])], STRINGS: []}
-        for part in steps(iter(table.to_batches())):
+        for part in steps(iter(table.to_batches()), "text", STEP_BYTES):
             data, offsets = column_bytes(part.column("text"))
             held[WORDS].append(np.unique(words(data, offsets)[0]))
             held[STRINGS].append(np.unique(strings(data, offsets)[0]))
+            for kind, found in held.items():
+                if sum(f.size for f in found) > 1 << 21:
+                    held[kind] = [np.unique(np.concatenate(found))]
         keys = {kind: np.unique(np.concatenate(k)) for kind, k in held.items()}
         size = sum(k.size for k in keys.values())
         return pa.table({"block": np.full(size, table.column("block")[0].as_py(), np.int32), "kind": np.repeat(np.array(list(keys), np.int8), [k.size for k in keys.values()]), "key": np.concatenate(list(keys.values()))}, asked)
@@ -240,22 +268,19 @@ def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_i
         kind, keys, value = (held.column(c).to_numpy() for c in ("kind", "key", "value"))
         look = {}
         for k in (WORDS, STRINGS):
-            own = np.flatnonzero(kind == k)
-            own = own[np.argsort(keys[own])]
-            look[k] = keys[own], value[own]
-        logs = np.log10((look[WORDS][1] + 1) / (total + distinct + 1))
-        seen = look[WORDS][1] > 0
-        end = np.searchsorted(look[WORDS][0], END)
+            look[k] = Lookup(keys[kind == k], value[kind == k])
+        log = lambda n: np.log10((n + 1) / (total + distinct + 1))
+        end = look[WORDS](np.array([END]))[0]
         done = []
-        for part in steps(iter(texts.to_batches())):
+        for part in steps(iter(texts.to_batches()), "text", STEP_BYTES):
             data, offsets = column_bytes(part.column("text"))
             found, before = words(data, offsets)
-            at = np.searchsorted(look[WORDS][0], found)
+            n = look[WORDS](found)
             sums = lambda x, before: np.diff(np.r_[0, np.cumsum(x)][before])
             n_words = np.diff(before)
-            base, n_known = sums(logs[at], before) + logs[end], sums(seen[at].astype(np.int64), before) + int(seen[end])
+            base, n_known = sums(log(n), before) + log(end), sums((n > 0).astype(np.int64), before) + int(end > 0)
             found, before = strings(data, offsets)
-            whole = sums(look[STRINGS][1][np.searchsorted(look[STRINGS][0], found)], before)
+            whole = sums(look[STRINGS](found), before)
             bits = -whole / math.log(2) / np.maximum(np.diff(offsets), 1)
             done.append(output(scored, **{key: part.column("id")}, n_tokens=n_words + 1, n_known=n_known, base_score=base, score=whole / _LN10, bits_per_byte=bits))
         return pa.Table.from_batches(done, scored)
