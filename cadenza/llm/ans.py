@@ -21,7 +21,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import column_bytes, materialize, output, steps
-from cadenza.llm.token_counts import tokenizer
+from cadenza.llm.token_counts import recall_pieces, seen_pieces, tokenizer
 
 SCALE, LANES, BLOCK, EVERY, END = 20, 512, 1 << 18, 256, 1
-#: Bytes of text whose words are encoded together, and words that a worker remembers.
-WORD_BYTES, SEEN = 16 << 20, 400_000
+#: Bytes of text whose words are encoded together.
+WORD_BYTES = 4 << 20
 _HEAD = struct.Struct("<4sIIQII")  # mark, lanes, steps between checkpoints, tokens, words, checkpoints
 _MARK = b"rANS"
 _LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
@@ -62,36 +61,6 @@ def loosen(column: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(column), [None, pa.py_buffer(offsets), pa.py_buffer(np.insert(data, apart, 32))])
 
 
-def encode_words(made, words: list[str], run: int = 2048) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words end to end and the n + 1 bounds.  An added special token separates the words in a call, as the library cuts there first."""
-    special = next(((str(t), i) for i, t in made.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)), None)
-    if special is None or any(special[0] in w for w in words):
-        lists = [e.ids for e in made.encode_batch_fast(words, add_special_tokens=False)]
-        return np.fromiter((i for ids in lists for i in ids), np.uint32), np.cumsum([0, *map(len, lists)])
-    calls = [special[0].join([*words[i : i + run], ""]) for i in range(0, len(words), run)]
-    ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in made.encode_batch_fast(calls, add_special_tokens=False))])
-    stops = np.flatnonzero(ids == special[1])
-    return np.delete(ids, stops), np.r_[0, stops - np.arange(stops.size)]
-
-
-@lru_cache(maxsize=4)
-def seen_words(path: str) -> dict[str, bytes]:
-    """Words encoded before by this Python worker, up to ``SEEN``."""
-    return {}
-
-
-def recall_words(made, words: list[str], seen: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """As ``encode_words``, but words in ``seen`` aren't encoded again."""
-    fresh = [w for w in words if w not in seen]
-    ids, bounds = encode_words(made, fresh)
-    raw, at = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
-    new = {w: raw[a:b] for w, a, b in zip(fresh, at, at[1:])}
-    got = [seen[w] if w in seen else new[w] for w in words]
-    if len(seen) < SEEN:
-        seen.update(new)
-    return np.frombuffer(b"".join(got), "<u4"), np.cumsum([0, *map(len, got)]) // 4
-
-
 def word_ids(column: pa.Array, made, seen: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts of a column, and the number of ids before each text."""
     column = pc.fill_null(column, "")
@@ -99,7 +68,7 @@ def word_ids(column: pa.Array, made, seen: dict[str, bytes]) -> tuple[np.ndarray
         column = loosen(column)
     words = pc.ascii_split_whitespace(column)
     coded = words.flatten().dictionary_encode()
-    table, bounds = recall_words(made, coded.dictionary.to_pylist(), seen)
+    table, bounds = recall_pieces(made, coded.dictionary.to_pylist(), seen)
     picks = coded.indices.to_numpy().astype(np.int64)
     offsets = words.offsets.to_numpy().astype(np.int64)
     before = np.r_[0, np.cumsum(bounds[picks + 1] - bounds[picks])]
@@ -115,7 +84,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
         if made.get_vocab_size() > 1 << 16:
             raise ValueError("this layout holds vocabularies of up to 65,536 ids")
         for part in steps(batches, "text", WORD_BYTES):
-            ids, before = word_ids(part.column("text"), made, seen_words(path))
+            ids, before = word_ids(part.column("text"), made, seen_pieces(path))
             ids = np.insert(ids, before[1:], end).astype("<u2")
             bounds = (before + np.arange(before.size)) * 2
             packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])

@@ -1,30 +1,32 @@
 """Token counts: batches of about equal bytes go through the tokenizers library, only lengths come back.
 
-Long texts are split where the byte-level pre-tokenizer must break anyway: a letter, one space, a letter.  Neither
-the contraction patterns nor an added token hold a space, and the look-ahead of the white-space pattern sees the
-same characters, so the counts of the pieces add up to the count of the whole.
+Texts are split at boundaries where the byte-level pre-tokenizer must break anyway, so the counts of the pieces add up to the count of the
+whole: before a space that a character other than white space follows (a match starts at that space, whatever white
+space comes before it), and between an ASCII letter and a mark like a comma (letters and marks never share a match).
+An added token holds neither.  Long texts are thus never encoded in one call, and a piece that comes again, in a batch or among those
+that a worker remembers, isn't encoded again.
 
 Null texts count as empty.  Repeated rows each give a row.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import output, steps
+from cadenza.llm.common import column_bytes, output, steps
 
-#: Characters after which a long text is cut at the next safe boundary.
-PIECE_CHARS = 16_384
-#: Bytes of text in one call of the library.
-BATCH_BYTES = 1 << 20
-_SAFE = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
+#: Bytes of text whose pieces are encoded together, pieces that a worker remembers, and pieces in one text of a call.
+BATCH_BYTES, SEEN, RUN = 4 << 20, 300_000, 2_048
+_LETTERS = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
+_MARKS = np.array([chr(b) in ".,;:!?" for b in range(256)])
+#: Bytes that surely start a character other than white space: ASCII from 0x21 to 0x7E and leads of U+00C0 to U+07FF.
+_SOLID = np.array([0x21 <= b < 0x7F or 0xC3 <= b < 0xE0 for b in range(256)])
 
 
 @lru_cache(maxsize=4)
@@ -38,13 +40,47 @@ def tokenizer(path: str):
     return made
 
 
-def pieces(text: str, limit: int = PIECE_CHARS) -> list[str]:
-    """The text in pieces of about ``limit`` characters, cut at safe boundaries only; without one it stays whole."""
-    out, low = [], 0
-    while len(text) - low > limit and (m := _SAFE.search(text, low + limit)):
-        out.append(text[low : m.start()])
-        low = m.start()
-    return [*out, text[low:]]
+@lru_cache(maxsize=4)
+def seen_pieces(path: str) -> dict[str, bytes]:
+    """Ids of pieces encoded before by this Python worker, up to a bound."""
+    return {}
+
+
+def encode_pieces(made, pieces: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces end to end and the n + 1 bounds.  An added special token separates the pieces in a text, as the library cuts there first."""
+    special = next(((str(t), i) for i, t in made.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)), None)
+    if special is None or any(special[0] in p for p in pieces):
+        lists = [e.ids for e in made.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.fromiter((i for ids in lists for i in ids), np.uint32), np.cumsum([0, *map(len, lists)])
+    texts = [special[0].join([*pieces[i : i + run], ""]) for i in range(0, len(pieces), run)]
+    ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in made.encode_batch_fast(texts, add_special_tokens=False))])
+    stops = np.flatnonzero(ids == special[1])
+    return np.delete(ids, stops), np.r_[0, stops - np.arange(stops.size)]
+
+
+def recall_pieces(made, pieces: list[str], seen: dict[str, bytes], most: int = SEEN) -> tuple[np.ndarray, np.ndarray]:
+    """As ``encode_pieces``, but pieces in ``seen`` aren't encoded again."""
+    fresh = [p for p in pieces if p not in seen]
+    ids, bounds = encode_pieces(made, fresh)
+    raw, at = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+    new = {p: raw[a:b] for p, a, b in zip(fresh, at, at[1:])}
+    got = [seen[p] if p in seen else new[p] for p in pieces]
+    if len(seen) < most:
+        seen.update(new)
+    return np.frombuffer(b"".join(got), "<u4"), np.cumsum([0, *map(len, got)]) // 4
+
+
+def split_pieces(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts of a column, and the number of pieces before each text (n + 1)."""
+    data, offsets = column_bytes(column)
+    inner = np.zeros(data.size + 1, bool)
+    if data.size > 2:
+        inner[1:-2] = (data[1:-1] == 32) & _SOLID[data[2:]]
+        inner[1:-1] |= _MARKS[data[1:]] & _LETTERS[data[:-1]]
+    inner[offsets] = True
+    cuts = np.flatnonzero(inner) if data.size else np.zeros(1, np.int64)
+    pieces = pa.Array.from_buffers(pa.large_string(), cuts.size - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    return pieces, np.searchsorted(cuts, offsets)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -52,18 +88,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
     schema = pa.schema([(key, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = tokenizer(path)
+        made, seen = tokenizer(path), seen_pieces(path)
         for part in steps(batches, "text", BATCH_BYTES):
-            column = pc.fill_null(part.column("text"), "")
-            cut, owner = [], []
-            for i, value in enumerate(column.to_pylist()):
-                for piece in pieces(value):
-                    cut.append(piece)
-                    owner.append(i)
-            counts = [0] * part.num_rows
-            for i, got in zip(owner, made.encode_batch_fast(cut, add_special_tokens=False), strict=True):
-                counts[i] += len(got)
-            yield output(schema, **{key: part.column(key), "n_bytes": pc.cast(pc.binary_length(column), pa.int64()), "n_tokens": counts})
+            column = part.column("text")
+            pieces, before = split_pieces(column)
+            coded = pieces.dictionary_encode()
+            sizes = np.diff(recall_pieces(made, coded.dictionary.to_pylist(), seen)[1])
+            totals = np.r_[0, np.cumsum(sizes[coded.indices.to_numpy()])]
+            yield output(schema, **{key: part.column(key), "n_bytes": np.diff(column_bytes(column)[1]), "n_tokens": np.diff(totals[before])})
 
     ids = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     return ids.mapInArrow(run, f"{key} long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -358,13 +358,17 @@ def test_token_counts(docs, corpus, empty):
     assert token_counts.count_tokens(empty, BYTE_BPE).count() == 0
 
 
-@pytest.mark.parametrize("limit", [1, 7, 50])
-def test_safe_boundaries(corpus, limit):
+def test_safe_boundaries(corpus):
     made = token_counts.tokenizer(BYTE_BPE)
-    for t in (r[1] for r in corpus if r[1] and len(r[1]) < 4000):
-        parts = token_counts.pieces(t, limit)
-        assert "".join(parts) == t
-        assert sum(len(made.encode(p, add_special_tokens=False).ids) for p in parts) == len(made.encode(t, add_special_tokens=False).ids)
+    rnd = random.Random(9)
+    odd = ["".join(rnd.choice("ab ,.'\n\té\u00a0\u2003!st日\u0301|<>12") for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    texts = [*odd, *(r[1] for r in corpus if r[1] and len(r[1]) < 4000)]
+    parts, before = token_counts.split_pieces(pa.array(texts))
+    cut = [parts.to_pylist()[a:b] for a, b in zip(before, before[1:])]
+    assert ["".join(c) for c in cut] == texts and max(map(len, cut)) > 100
+    sizes = [len(e) for e in made.encode_batch(parts.to_pylist(), add_special_tokens=False)]
+    whole = [len(e) for e in made.encode_batch(texts, add_special_tokens=False)]
+    assert [sum(sizes[a:b]) for a, b in zip(before, before[1:])] == whole
 
 
 # 10 SimHash
