@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, materialize, output, steps
+from cadenza.llm.common import column_bytes, long_rows, materialize, output, steps
 from cadenza.llm.token_counts import recall_pieces, seen_pieces, tokenizer
 
 SCALE, LANES, BLOCK, EVERY, END = 20, 512, 1 << 18, 256, 1
@@ -90,7 +90,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
             packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
             yield output(schema, **{key: part.column(key)}, n_tokens=np.diff(bounds) // 2, ids=packed)
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, f"{key} long, n_tokens long, ids binary")
+    return long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, f"{key} long, n_tokens long, ids binary")
 
 
 def token_totals(coded: DataFrame) -> np.ndarray:

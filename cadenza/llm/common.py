@@ -30,6 +30,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in one Arrow batch of texts.  Spark's default of 10,000 makes batches of tens of MB, several of which are alive in a task.
+BATCH_ROWS = 1_000
+
+
+def long_rows(df: DataFrame) -> DataFrame:
+    """``df``, after asking the session for Arrow batches of at most ``BATCH_ROWS`` rows, or fewer if it asks for fewer itself."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -61,6 +73,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             high = max(low + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(low, high - low)
             low = high
+    pa.default_memory_pool().release_unused()
 
 
 def output(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, materialize, output, span_hashes, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, materialize, output, span_hashes, steps, word_spans
 
 DEPTH, BLOCK_BYTES, MARK = 4, 24 << 20, 255
 #: Bytes of text in one numpy step, whose arrays then stay in a core's cache; bits of a look-up table's slots.
@@ -238,7 +238,7 @@ def log_probabilities(counted: DataFrame) -> DataFrame:
 def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``key``, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability) and bits_per_byte for every row; learns from rows where ``trains``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(trains, F.lit(True)).alias("trains"))
+    rows = long_rows(docs).select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(trains, F.lit(True)).alias("trains"))
     counted = materialize(gather(rows), "counts")
     values = materialize(log_probabilities(counted.where(F.col("kind") == STRINGS)), "values")
     known = counted.where((F.col("kind") == WORDS) & (F.col("n") > 0)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, materialize, mix, output, span_hashes, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps, word_spans
 
 #: The masks; 1 is a token that counts.
 MASKS = ("111111", "1101001011", "10110001101", "110010100011")
@@ -138,7 +138,7 @@ def clusters(docs: DataFrame, passed: np.ndarray, bits: int = BITMAP_BITS, text:
                 places=[(at[a:b] - f).astype(np.int32) for a, b, f in zip(low, high, first, strict=True)],
             )
 
-    picked = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
+    picked = long_rows(docs).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     return picked.mapInArrow(run, f"{key} long, base long, tokens array<long>, hashes array<long>, places array<int>")
 
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, output, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, output, steps, word_spans
 
 ORDERS, SLOT_BITS, SAMPLE, SWITCH, ALPHA, SHARE = (2, 3, 4), 16, 2_000, 12.0, 0.5, 0.005
 #: First code points of ranges, and their scripts; what lies between ranges is "other".
@@ -81,7 +81,7 @@ def scripts(spaced: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
     """From rows with a text and a language.  ``sample``: about how many documents of a language are read, chosen by a hash of the key."""
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    rows = long_rows(labelled).where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     share = {r["lang"]: min(1.0, sample / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(share)
     if not names:
@@ -189,5 +189,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_
             yield output(schema, **{key: part.column(key)}, lang_pred=pc.if_else(pa.array(usable), names.take(pa.array(best)), "und"), score=np.where(usable, votes.max(1) / np.maximum(whole, 1), 0.0), spans=lists)
 
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    picked = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"), letters.alias("letters"))
+    picked = long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias("text"), letters.alias("letters"))
     return picked.mapInArrow(run, f"{key} long, lang_pred string, score double, spans array<struct<lang:string,first_word:int,n_words:int,n_bytes:int>>")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import materialize, output, steps
+from cadenza.llm.common import long_rows, materialize, output, steps
 
 LINE_DOCS, KEPT_SHARE, LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 0.4, 10, 20, 5
 SYMBOLS = "#*$%&|<>"
@@ -78,7 +78,7 @@ def measures(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str
             counts = zip(*(m for m, _ in got), strict=True)
             yield output(schema, **{key: part.column(key), "host": part.column("host"), "text_hash": [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]} | {n: list(c) for n, c in zip(names, counts, strict=True)}, lines=[list(h) for _, h in got], line_words=[list(h.values()) for _, h in got])
 
-    picked = docs.select(F.col(key).cast("long").alias(key), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
+    picked = long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
     return picked.mapInArrow(run, f"{key} long, host string, text_hash long, {_MEASURES}, lines array<long>, line_words array<long>")
 
 
@@ -126,5 +126,5 @@ def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str =
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch.drop_columns(["_gone"])
 
-    joined = docs.join(kept, F.col(key).cast("long").eqNullSafe(F.col("_key"))).drop("_key")
+    joined = long_rows(docs).join(kept, F.col(key).cast("long").eqNullSafe(F.col("_key"))).drop("_key")
     return joined.mapInArrow(run, docs.schema)

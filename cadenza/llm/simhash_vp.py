@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import materialize, output, steps
+from cadenza.llm.common import long_rows, materialize, output, steps
 
 SHINGLE, LIMIT = 3, 2
 #: Fingerprints that the driver sees to place the shards' vantage points, and about how many of them a shard gets.
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", size:
             values = np.array([fingerprint((t or "").encode(), size) for t in part.column("text").to_pylist()], np.uint64)
             yield output(schema, **{key: part.column(key), "fp": values.view(np.int64)})
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, f"{key} long, fp long")
+    return long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, f"{key} long, fp long")
 
 
 def split(values: np.ndarray, radius: int, rng: np.random.Generator, tries: int = 12) -> tuple[int, int] | None:

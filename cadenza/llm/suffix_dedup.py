@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, materialize, output, span_hashes, steps
+from cadenza.llm.common import column_bytes, long_rows, materialize, output, span_hashes, steps
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
@@ -87,7 +87,7 @@ def pieces(part: pa.RecordBatch, length: int = LENGTH, limit: int = STEP_BYTES)
 
 
 def _texts(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    return long_rows(docs).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
 
 
 def anchor_counts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -329,7 +329,7 @@ def measure_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
             columns = dict(zip(schema.names[1:], zip(*rows, strict=True), strict=True))
             yield output(schema, **{key: part.column("_id")}, **{k: list(v) for k, v in columns.items()})
 
-    picked = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("text"))
+    picked = long_rows(docs).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("text"))
     joined = picked.join(repeats(docs, text, key, length, shard_runs), F.col("_id") == F.col("doc"), "left").select("_id", "text", "spans")
     return joined.mapInArrow(run, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -350,4 +350,4 @@ def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int
             yield batch.drop_columns(["_spans"])
 
     spans = repeats(docs, text, key, length, shard_runs).select(F.col("doc").alias("_doc"), F.col("spans").alias("_spans"))
-    return docs.join(spans, F.col(key).cast("long") == F.col("_doc"), "left").drop("_doc").mapInArrow(run, docs.schema)
+    return long_rows(docs).join(spans, F.col(key).cast("long") == F.col("_doc"), "left").drop("_doc").mapInArrow(run, docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, output, steps
+from cadenza.llm.common import column_bytes, long_rows, output, steps
 
 #: Bytes of text whose pieces are encoded together, pieces that a worker remembers, and pieces in one text of a call.
 BATCH_BYTES, SEEN, RUN = 4 << 20, 300_000, 2_048
@@ -97,5 +97,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
             totals = np.r_[0, np.cumsum(sizes[coded.indices.to_numpy()])]
             yield output(schema, **{key: part.column(key), "n_bytes": np.diff(column_bytes(column)[1]), "n_tokens": np.diff(totals[before])})
 
-    ids = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
+    ids = long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     return ids.mapInArrow(run, f"{key} long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
