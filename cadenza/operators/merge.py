@@ -105,6 +105,6 @@ def append_positions(items: DataFrame, source: DataFrame, key: str, ordinal: str
     """The source's rows that ``items`` lacks, numbered after its highest position in the order of ``ordinal``."""
     from cadenza.operators.rank import positions
 
-    fresh = positions(new_rows(items, source, [key], ordinal), [ordinal, key], "_p")
-    base = items.agg((F.coalesce(F.max(position), F.lit(-1)) + 1).alias("_base"))
-    return fresh.crossJoin(F.broadcast(base)).withColumn(position, F.col("_base") + F.col("_p")).drop("_base", "_p")  # the right side is one row
+    fresh = positions(new_rows(items, source, [key], ordinal), [ordinal, key], position)
+    base = items.agg(F.coalesce(F.max(position), F.lit(-1)) + 1).first()[0]  # one number
+    return fresh.withColumn(position, F.col(position) + base)

@@ -49,11 +49,10 @@ def sync_recent(recent_albums: DataFrame, recent_tracks: DataFrame, album_events
     known = rows.join(albums.select(F.col("spotify_id").alias("album_sid")).distinct(), "album_sid", "left_semi")
     latest = known.groupBy("album_sid").agg(F.min_by("played_at", "ord").alias("last_played_at"))
     cached = merge.upsert(recent_albums, latest, ["album_sid"], {"last_played_at": Rule.OVERWRITE})
-    any_known = latest.agg((F.count("*") > 0).alias("_any"))
-    kept = cached.join(latest.select("album_sid").withColumn("_in", F.lit(True)), "album_sid", "left").crossJoin(F.broadcast(any_known))  # one row
+    kept = cached if latest.isEmpty() else merge.prune(cached, latest, ["album_sid"])
     tracks = merge.insert_ignore(recent_tracks, rows.select(*recent_tracks.columns, "ord"), ["spotify_track_id", "played_at"], "ord")
     return {
-        "recent_albums": kept.where(F.col("_in").isNotNull() | ~F.col("_any")).select(*recent_albums.columns),
+        "recent_albums": kept,
         "recent_tracks": rank.newest(tracks, "played_at", "spotify_track_id", window),
         "album_events": merge.insert_ignore(album_events, known.select("album_sid", "played_at", "ord"), ["album_sid", "played_at"], "ord"),
         "track_events": merge.insert_ignore(track_events, rows.select(*track_events.columns, "ord"), ["spotify_track_id", "played_at"], "ord"),
@@ -81,8 +80,8 @@ def sync_saved_tracks(held: DataFrame, items: DataFrame, tracks: DataFrame, albu
         raise ValueError(f"unknown mode {mode!r}")
     rows = merge.last_wins(flatten.saved_tracks(items), ["spotify_track_id"], "added_at")
     if mode == "incremental":
-        newest = held.agg(F.max("added_at").alias("_since"))
-        rows = rows.crossJoin(F.broadcast(newest)).where(F.col("_since").isNull() | (F.col("added_at") > F.col("_since"))).drop("_since")  # one row
+        since = held.agg(F.max("added_at")).first()[0]
+        rows = rows if since is None else rows.where(F.col("added_at") > F.lit(since))
     rows = joins.lookup(joins.lookup(rows, tracks, "spotify_track_id", "spotify_id", "id", "track_id"), albums, "album_sid", "spotify_id", "id", "album_id")
     merged = merge.upsert(held, rows, ["spotify_track_id"], {c: Rule.OVERWRITE for c in held.columns if c != "spotify_track_id"})
     return merge.prune(merged, rows, ["spotify_track_id"]) if mode == "full" else merged
@@ -130,10 +129,10 @@ def ingest_albums(discography: DataFrame, albums: DataFrame, popularity: DataFra
     novel = distinct.join(albums.select(F.col("spotify_id").alias("album_sid")).distinct(), "album_sid", "left_anti")
     rated = novel.join(popularity.select("album_sid", "popularity"), "album_sid", "left").withColumn("passes_gate", F.coalesce("popularity", F.lit(0)) >= album_min)
     chosen = rated.where("passes_gate").orderBy("ord", "album_sid").limit(max(0, cap - held))
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    counts = count(discography, "seen")
-    for df, name in ((fresh, "fresh"), (novel, "novel"), (rated.where("passes_gate"), "passed"), (chosen, "queued")):
-        counts = counts.crossJoin(count(df, name))  # rows of counts
+    none = F.lit(0).cast("long")
+    swept = discography.agg(F.count("*").alias("seen"), F.count_if(dates.freshness_key(F.col("release_date")) >= since).alias("fresh")).select("seen", "fresh", none.alias("novel"), none.alias("passed"))
+    judged = rated.agg(F.count("*").alias("novel"), F.count_if("passes_gate").alias("passed")).select(none.alias("seen"), none.alias("fresh"), "novel", "passed")
+    counts = swept.union(judged).agg(*(F.sum(c).alias(c) for c in swept.columns)).withColumn("queued", F.least("passed", F.lit(max(0, cap - held)).cast("long")))
     return {"rated": rated, "queued": chosen, "counts": counts}
 
 
@@ -177,8 +176,8 @@ def enrich_artists(artists: DataFrame, details: DataFrame, asked: DataFrame) ->
 
 def import_follows(user_id: str, users: DataFrame, followed: DataFrame, artists: DataFrame, held: DataFrame) -> dict[str, DataFrame]:
     """Links of a user to known followed artists, and chunks of ten unknown ids to fetch.  An unknown user gets neither."""
-    who = users.where(F.col("id") == user_id).select(F.col("id").alias("user_id"))
-    rows = followed.select(F.col("id").alias("spotify_id")).distinct().crossJoin(who)  # one user
+    known_user = not users.where(F.col("id") == user_id).isEmpty()
+    rows = followed.where(F.lit(known_user)).select(F.col("id").alias("spotify_id"), F.lit(user_id).alias("user_id")).distinct()
     known = rows.join(artists.select("spotify_id", F.col("id").alias("artist_id")), "spotify_id")
     unknown = rows.join(artists.select("spotify_id"), "spotify_id", "left_anti").select("spotify_id")
     return {"links": merge.insert_ignore(held, known.select("user_id", "artist_id"), ["user_id", "artist_id"]), "fetch": rank.chunks(unknown, "spotify_id", 10)}
