@@ -17,6 +17,7 @@ the smallest id of a component unless all its ids are null.  Extra columns are i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import long_rows, materialize, output, steps
 
 SHINGLE, LIMIT = 3, 2
-#: Fingerprints that the driver sees to place the shards' vantage points, and about how many of them a shard gets.
-SAMPLE, PER_SHARD, MOST_SHARDS = 32_768, 1_024, 4_096
+#: Fingerprints that the driver sees to place the shards' vantage points, how many (of all) a shard is to get, and the least of the sample in a shard.
+SAMPLE, PER_SHARD, LEAST = 32_768, 1_024, 8
 #: A leaf of this size or less compares all its pairs.
 LEAF = 256
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -148,7 +149,7 @@ def links(distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, per_sha
     """Links (a, b), b < a, that connect exactly the distinct fingerprints of column ``fp`` joined by chains of pairs within ``limit``."""
     spark, radius = distinct.sparkSession, -(-limit // 2)
     seen = distinct.select(F.xxhash64("fp").alias("h"), "fp").orderBy("h", "fp").limit(sample).collect()
-    few = max(per_shard // 4, len(seen) // MOST_SHARDS)
+    few = max(LEAST, math.ceil(len(seen) * per_shard / max(1, distinct.count())))
     nodes = shard_tree(np.array([r.fp for r in seen], np.int64).view(np.uint64), radius, few)
     tree = spark.sparkContext.broadcast(nodes)
     routed, linked = pa.schema([("shard", pa.int32()), ("fp", pa.int64())]), pa.schema([("a", pa.int64()), ("b", pa.int64())])
