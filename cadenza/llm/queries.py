@@ -115,6 +115,18 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY ord), '')) AS loss_sha256,
   CAST(sum(times * chars) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id""",
+    "op5_suffix_arrays": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, b[p:p + 99] AS s FROM (SELECT doc_id, b, unnest(range(1, n - 98)) AS p FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 OR lag(p) OVER (PARTITION BY doc_id ORDER BY p) IS NULL THEN 1 ELSE 0 END AS opens FROM r),
+i AS (SELECT doc_id, min(p) AS a, max(p) + 99 AS z FROM (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM g) GROUP BY doc_id, k),
+c AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS nxt FROM i),
+k AS (SELECT c.doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed,
+    string_agg(hex(CASE WHEN a - 1 > before THEN d.b[before + 1:a - 1] ELSE ''::BLOB END) || CASE WHEN nxt IS NULL AND z < d.n THEN hex(d.b[z + 1:d.n]) ELSE '' END, '' ORDER BY a) AS kept
+  FROM c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  CASE WHEN kept IS NULL THEN sha256(d.b) ELSE sha256(unhex(kept)) END AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op2_line_frequency": rf"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls,
