@@ -135,6 +135,13 @@ def persistable(status: Column, lyric: Column) -> Column:
     return F.when(status.isin("matched", "no_lyrics"), T.strip_nul(F.coalesce(lyric, F.lit(""))))
 
 
+def evidence(outcomes: DataFrame) -> Column:
+    """What led to an outcome, as JSON without nulls and NUL characters."""
+    fields = ("reason", "candidate_id", "basis", "similarity", "version_agrees", "promotion")
+    fields = [c for c in fields if c in outcomes.columns]
+    return T.strip_nul(F.to_json(F.struct(*fields, F.when(F.col("n_groups") > 1, F.col("n_groups")).alias("count"), F.col("track_tokens"), F.col("candidate_tokens"))))
+
+
 def retrieve(tracks: DataFrame, dump: DataFrame, lyrics: DataFrame, most: int = 200) -> DataFrame:
     """Candidates of each track from a landed dump, nearest in duration first, at most ``most`` (the source's own limit; null durations come first).
 

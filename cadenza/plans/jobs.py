@@ -216,6 +216,7 @@ def evaluate_lyrics(tracks: DataFrame, candidates: DataFrame, existing: DataFram
     pairs = resolve.plausible(tracks, candidates)
     done = resolve.promote(resolve.decide(tracks, candidates, pairs), pairs).withColumn("matcher", F.when(F.col("promotion").isNotNull(), "match-1+best-1").otherwise("match-1"))
     done = done.withColumn("lyric_plain", resolve.persistable(F.col("match_status"), F.col("lyric_plain"))).withColumn("lyric_synced", T.strip_nul(F.col("lyric_synced")))
+    done = done.withColumn("evidence", resolve.evidence(done))
     ok = resolve.consistent(F.col("match_status"), F.col("basis"), F.col("version_agrees"), F.col("promotion"))
     good, writable = done.where(ok), done.where(ok)
     if existing is not None:

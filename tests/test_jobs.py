@@ -145,3 +145,20 @@ def test_dump_guard(spark, tmp_path):
     spark.createDataFrame([(1,)], "id int").write.parquet(str(tmp_path / "t"))
     with pytest.raises(ValueError, match="lack"):
         landed.read_dump(spark, str(tmp_path / "t"), str(tmp_path / "t"))
+
+
+def test_routing(spark):
+    from cadenza.plans import dispatch
+
+    bodies = [("1", '{"album_ids": ["a"]}'), ("2", '{"job": "follow_import", "user_id": "u"}'), ("3", '{"job": "follow_import", "user_id": "v", "rerun": true}'), ("4", "nonsense"), ("5", '{"job": "dance"}'), ("6", None)]
+    good, bad = dispatch.route(spark.createDataFrame(bodies, "message_id string, body string"))
+    assert {(r.message_id, r.job) for r in good.collect()} == {("1", "album_sync"), ("2", "follow_import"), ("3", "follow_import")}
+    assert {r.message_id for r in bad.collect()} == {"4", "5", "6"}
+    sent = {(r.job, r.user_id, r.rerun, str(r.not_before)) for r in dispatch.follow_ups(good, F.to_timestamp(F.lit(NOW))).collect()}
+    assert sent == {("lyrics", None, False, NOW), ("follow_import", "u", True, "2026-01-01 00:15:00")}
+
+
+def test_schemas(spark):
+    from cadenza import schemas
+
+    assert all(set(key) <= set(schemas.empty(spark, name).columns) for name, (_, key) in schemas.TABLES.items())

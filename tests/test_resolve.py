@@ -79,7 +79,7 @@ def test_evaluation_respects_what_is_held(spark):
     existing = spark.createDataFrame([(1, "matched", "isrc"), (2, "ambiguous", None)], "track_id int, match_status string, basis string")
     out = jobs.evaluate_lyrics(tracks, cands, existing)
     assert [r.track_id for r in out["write"].collect()] == [2]
-    assert out["rejects"].count() == 0
+    assert out["rejects"].count() == 0 and '"candidate_id":2' in out["write"].first().evidence
     assert {r.match_status: r.n for r in out["counts"].collect()} == {"matched": 2}
 
 
