@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.session import durable
+
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key; Spark limits groups before the shuffle."""
@@ -31,9 +33,12 @@ def newest(df: DataFrame, at: str, tie: str, n: int) -> DataFrame:
 
 
 def positions(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Row numbers from 0 in a total order, without one task that sorts all rows: ranges are sorted apart and start after the sizes of those before."""
-    sorted_parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    numbered = sorted_parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
+    """Row numbers from 0 in a total order, without one task that sorts all rows: ranges are sorted apart and start after the sizes of those before.
+
+    Ranges are sampled, so the rows are written once with their range; sizes and numbers then speak of the same ranges.
+    """
+    parts = durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    numbered = parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_size"))  # a row for each range
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return numbered.join(F.broadcast(starts.select("_part", "_start")), "_part").withColumn(name, F.col("_start") + F.col("_in")).drop("_part", "_in", "_start")

@@ -12,6 +12,7 @@ from cadenza.functions import dates
 from cadenza.functions import text as T
 from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve
 from cadenza.operators.merge import Rule
+from cadenza.session import durable
 from cadenza.sources import flatten
 
 ALBUM_RULES = dict.fromkeys(("title", "release_date", "cover_url", "album_type", "total_tracks", "label", "popularity"), Rule.OVERWRITE) | {"ext_refs": Rule.MAP_MERGE}
@@ -200,10 +201,11 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     while True:  # deferred acceptance: an id keeps the first artist that asked so far, the others ask for their next
         wish = rank.best_per_key(c, ["artist_id"], F.struct("rank", "at", "mbid"))
         given = rank.best_per_key(wish, ["mbid"], F.struct("artist_ord", "artist_id"))
-        refused = wish.select("artist_id", "mbid").join(given.select("artist_id", "mbid"), ["artist_id", "mbid"], "left_anti").checkpoint()
+        refused = wish.select("artist_id", "mbid").join(given.select("artist_id", "mbid"), ["artist_id", "mbid"], "left_anti")
+        refused = durable(refused, "refused")
         if refused.isEmpty():
             break
-        c = c.join(refused, ["artist_id", "mbid"], "left_anti").checkpoint()
+        c = durable(c.join(refused, ["artist_id", "mbid"], "left_anti"), "asking")
     rows = pending.select("artist_id").join(given.select("artist_id", "mbid", "aliases"), "artist_id", "left")
     return rows.select("artist_id", F.coalesce("mbid", F.lit("not_found")).alias("mbid"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
 
