@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,25 +10,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.session import durable as materialize
+from cadenza.session import shared_dir
+
 #: Bytes that separate words everywhere here: space and \x09 to \x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step handles; temporaries are a few dozen times that.
 STEP_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a folder under the warehouse where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and executors may be lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Rows in one Arrow batch of texts.  Spark's default of 10,000 makes batches of tens of MB, several of which are alive in a task.
 BATCH_ROWS = 1_000
 
