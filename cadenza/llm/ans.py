@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, output, steps
+from cadenza.llm.common import column_bytes, gathered, long_rows, materialize, output, steps
 from cadenza.llm.token_counts import recall_pieces, seen_pieces, tokenizer
 
 SCALE, LANES, BLOCK, EVERY, END = 20, 512, 1 << 18, 256, 1
 #: Bytes of text whose words are encoded together.
-WORD_BYTES = 4 << 20
+WORD_BYTES = 8 << 20
 _HEAD = struct.Struct("<4sIIQII")  # mark, lanes, steps between checkpoints, tokens, words, checkpoints
 _MARK = b"rANS"
 _LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
@@ -83,7 +83,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id"
         made = tokenizer(path)
         if made.get_vocab_size() > 1 << 16:
             raise ValueError("this layout holds vocabularies of up to 65,536 ids")
-        for part in steps(batches, "text", WORD_BYTES):
+        for part in steps(gathered(batches, "text", WORD_BYTES), "text", 2 * WORD_BYTES):
             ids, before = word_ids(part.column("text"), made, seen_pieces(path))
             ids = np.insert(ids, before[1:], end).astype("<u2")
             bounds = (before + np.arange(before.size)) * 2
@@ -100,8 +100,7 @@ def token_totals(coded: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                totals += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+            totals += np.bincount(column_bytes(batch.column("ids"))[0].view("<u2"), minlength=1 << 16)
         used = np.flatnonzero(totals)
         yield output(schema, id=used.astype(np.int32), n=totals[used])
 

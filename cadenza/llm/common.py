@@ -65,6 +65,19 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     pa.default_memory_pool().release_unused()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until ``column`` holds ``least`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def output(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in schema)], schema=schema)
 

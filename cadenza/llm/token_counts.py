@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, output, steps
+from cadenza.llm.common import column_bytes, gathered, long_rows, output, steps
 
 #: Bytes of text whose pieces are encoded together, pieces that a worker remembers, and pieces in one text of a call.
-BATCH_BYTES, SEEN, RUN = 4 << 20, 300_000, 2_048
+BATCH_BYTES, SEEN, RUN = 8 << 20, 300_000, 2_048
 _LETTERS = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 _MARKS = np.array([chr(b) in ".,;:!?" for b in range(256)])
 #: Bytes that surely start a character other than white space: ASCII from 0x21 to 0x7E and leads of U+00C0 to U+07FF.
@@ -89,7 +89,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, seen = tokenizer(path), seen_pieces(path)
-        for part in steps(batches, "text", BATCH_BYTES):
+        for part in steps(gathered(batches, "text", BATCH_BYTES), "text", 2 * BATCH_BYTES):
             column = part.column("text")
             pieces, before = split_pieces(column)
             coded = pieces.dictionary_encode()
