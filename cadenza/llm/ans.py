@@ -34,7 +34,7 @@ from cadenza.llm.token_counts import recall_pieces, seen_pieces, tokenizer
 
 SCALE, LANES, BLOCK, EVERY, END = 20, 512, 1 << 18, 256, 1
 #: Bytes of text whose words are encoded together.
-WORD_BYTES = 8 << 20
+WORD_BYTES = 12 << 20
 _HEAD = struct.Struct("<4sIIQII")  # mark, lanes, steps between checkpoints, tokens, words, checkpoints
 _MARK = b"rANS"
 _LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
