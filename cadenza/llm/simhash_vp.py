@@ -13,6 +13,17 @@
 Null, empty and blank texts have fingerprint zero and link like any other.  Repeated rows with one id are one
 document if their texts agree; else each row is kept with its own fingerprint.  Null ids are kept, and never become
 the smallest id of a component unless all its ids are null.  Extra columns are ignored.
+
+``similar_documents`` links by the Jaccard similarity of shingle sets instead.  Texts with one set are one class.  Links of the
+tree above and shared shingles give candidates, and only pairs whose sets are similar enough stay:
+
+1. Two sets of similarity t share one of the first n - ceil(t n) + 1 shingles of each in any common order (n is the
+   set's size), so the classes that share such a shingle (a block) hold all pairs.  Shingles frequent in a sample come last in the
+   order, which keeps blocks small; it changes no result.
+2. Of a pair, the parities of its sets' shingles in a few hundred cells differ in no more cells than there are shingles in
+   one set only; that drops most pairs whose sets aren't similar before the sets are fetched and compared.
+3. Links of the tree, and of each class to its block's smallest, are verified and give components.
+4. In blocks that hold several components, all pairs across components are verified.  So components are exact.
 """
 
 from __future__ import annotations
@@ -23,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import long_rows, materialize, output, steps
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps, word_spans
 
 SHINGLE, LIMIT = 3, 2
 #: Fingerprints that the driver sees to place the shards' vantage points, how many (of all) a shard is to get, and the least of the sample in a shard.
@@ -34,6 +45,11 @@ SAMPLE, PER_SHARD, LEAST = 32_768, 1_024, 8
 #: A leaf of this size or less compares all its pairs.
 LEAF = 256
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: One of so many classes is in the sample of shingles; those in so many sampled classes are frequent, and so many of them are told apart.
+SHINGLES_OF, FREQUENT, MOST_FREQUENT = 8, 4, 1 << 18
+#: Words of 64 cells of parities in a class.
+PARITY = 8
+_WORD_BYTE = np.array([not bytes([b]).isspace() for b in range(256)])
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -210,3 +226,146 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id
     found = near_duplicates(docs, text, key, **limits)
     gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key")).distinct()
     return docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left_anti")
+
+
+def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles' hashes of each text, ascending, and the n + 1 bounds; a text of fewer words has one shingle."""
+    data, offsets = column_bytes(column)
+    data = np.frombuffer(_LOWER, np.uint8)[data]
+    starts, ends, owner = word_spans(data, offsets, _WORD_BYTE)
+    words, bounds = span_hashes(data, starts, ends), np.searchsorted(owner, np.arange(len(column) + 1))
+    hashes = np.zeros(max(0, words.size - size + 1), np.uint64)
+    for k in range(size):
+        hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + words[k : k + hashes.size])
+    fits = np.flatnonzero(np.arange(hashes.size) + size <= bounds[owner[: hashes.size] + 1])
+    short = np.flatnonzero(np.diff(bounds) < size)
+    lone = np.zeros(short.size, np.uint64)
+    for at, i in enumerate(short):
+        for word in words[bounds[i] : bounds[i + 1]]:
+            lone[at : at + 1] = mix(lone[at : at + 1] * np.uint64(0x9E3779B97F4A7C15) + word)
+    hashes, owner = np.r_[hashes[fits], lone], np.r_[owner[fits], short]
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    first = np.ones(hashes.size, bool)
+    first[1:] = (np.diff(owner) > 0) | (hashes[1:] != hashes[:-1])
+    return hashes[first], np.searchsorted(owner[first], np.arange(len(column) + 1))
+
+
+def set_classes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each set, as a signed long."""
+    return mix(np.add.reduceat(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), bounds[:-1]) + np.diff(bounds).astype(np.uint64)).view(np.int64)
+
+
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(sets, PARITY) signed longs: whether a cell holds an odd number of the set's shingles."""
+    owner, cell = np.repeat(np.arange(bounds.size - 1), np.diff(bounds)), hashes % np.uint64(64 * PARITY)
+    odd = np.bincount(owner * 64 * PARITY + cell.astype(np.int64), minlength=(bounds.size - 1) * 64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, PARITY)
+
+
+def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether a shingle is among the first of its set that a similar set can't miss; ``frequent`` (ascending) come last."""
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(sizes.size), sizes)
+    order = np.lexsort((hashes, np.isin(hashes, frequent), owner))
+    most = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+    out = np.zeros(hashes.size, bool)
+    out[order] = np.arange(hashes.size) - bounds[owner] < most[owner]
+    return out
+
+
+def _marks(picked: DataFrame, size: int) -> DataFrame:
+    """(key, fp, class, n, parity) of every row of (key, text)."""
+    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches):
+            hashes, bounds = shingle_sets(part.column("text"), size)
+            values = np.array([fingerprint((t or "").encode(), size) for t in part.column("text").to_pylist()], np.uint64)
+            yield output(schema, **{"key": part.column("key"), "fp": values.view(np.int64), "class": set_classes(hashes, bounds), "n": np.diff(bounds), "parity": pa.ListArray.from_arrays(pa.array(np.arange(bounds.size) * PARITY, pa.int32()), pa.array(parities(hashes, bounds).ravel()))})
+
+    return picked.mapInArrow(run, "key long, fp long, class long, n long, parity array<long>")
+
+
+def _shingles(picked: DataFrame, size: int, similarity: float, frequent: np.ndarray | None) -> DataFrame:
+    """(hash, class): the prefixes of all sets, or the whole sets of the sample if ``frequent`` is None."""
+    schema = pa.schema([("hash", pa.int64()), ("class", pa.int64())])
+    common = None if frequent is None else picked.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches):
+            hashes, bounds = shingle_sets(part.column("text"), size)
+            of = set_classes(hashes, bounds)
+            once = np.zeros(of.size, bool)
+            once[np.unique(of, return_index=True)[1]] = True
+            owner = np.repeat(of, np.diff(bounds))
+            keep = (owner % SHINGLES_OF == 0 if common is None else prefixes(hashes, bounds, common.value, similarity)) & np.repeat(once, np.diff(bounds))
+            yield output(schema, **{"hash": hashes[keep].view(np.int64), "class": owner[keep]})
+
+    return picked.mapInArrow(run, "hash long, class long")
+
+
+def _sets(picked: DataFrame, size: int) -> DataFrame:
+    """(class, shingles) of every row of (key, text)."""
+    schema = pa.schema([("class", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in steps(batches):
+            hashes, bounds = shingle_sets(part.column("text"), size)
+            yield output(schema, **{"class": set_classes(hashes, bounds), "shingles": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))})
+
+    return picked.mapInArrow(run, "class long, shingles array<long>")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, picked: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Of the pairs (a, b) of classes, those whose sets are similar."""
+    sized = [classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("parity").alias(f"parity_{s}")) for s in "ab"]
+    differ = sum((F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY)), F.lit(0))
+    both = F.col("n_a") + F.col("n_b")
+    fits = (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9) & (differ <= (1 - similarity) / (1 + similarity) * both + 1e-9)
+    pairs = materialize(pairs.join(sized[0], "a").join(sized[1], "b").where(fits).select("a", "b"), "tried")
+    wanted = materialize(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(classes.select("class", "least"), "class"), "wanted")
+    texts = picked.join(wanted.select(F.col("least").alias("of")).distinct(), F.col("key").eqNullSafe(F.col("of")), "left_semi")
+    sets = materialize(_sets(texts, size).join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
+    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("of_b")), "b")
+    shared = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("n"), F.size(F.array_intersect("of_a", "of_b")).alias("shared"))
+    return materialize(shared.where(F.col("shared") >= similarity * (F.col("n") - F.col("shared")) - 1e-9).select("a", "b"), "similar")
+
+
+def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, similarity: float = 0.8, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
+    """``key``, fp and component_id (smallest ``key`` reachable over pairs of documents whose shingle sets have at least that Jaccard similarity) for every row."""
+    picked = long_rows(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    marked = materialize(_marks(picked, size), "marks")
+    classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("parity").alias("parity"), F.min("key").alias("least")), "classes")
+
+    often = _shingles(picked, size, similarity, None).distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
+    frequent = np.sort(often.select("hash").toArrow().column("hash").to_numpy().view(np.uint64))
+    block = Window.partitionBy("hash")
+    first = _shingles(picked, size, similarity, frequent).withColumns({"least": F.min("class").over(block), "most": F.max("class").over(block)})
+    blocks = materialize(first.where("least <> most").select("hash", "class", "least").distinct(), "blocks")
+
+    by_fp = materialize(classes.groupBy("fp").agg(F.min("class").alias("least")), "distinct")
+    near = links(by_fp, limit, sample)
+    near = near.join(by_fp.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
+    near = near.select(F.col("x").alias("a"), F.col("y").alias("b")).union(classes.join(by_fp, "fp").select("class", by_fp["least"]))
+    tried = near.union(blocks.select("class", "least")).where("a <> b").distinct()
+    sure = _verified(tried, classes, picked, size, similarity)
+    roots = components(sure)
+    parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", F.coalesce("root", "class").alias("part"))
+    mixed = parts.groupBy("hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("hash")
+    open_ = materialize(parts.join(mixed, "hash").join(classes.select("class", "n"), "class"), "open")
+    left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n"))) for side in "ab")
+    fits = (F.col("part_a") < F.col("part_b")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9)
+    across = left.join(right, "hash").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    edges = sure.union(_verified(across, classes, picked, size, similarity))
+
+    named = classes.join(components(edges), F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(named.join(smallest, "root").select("class", "component_id"), "class").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def drop_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
+    """As ``drop_near_duplicates``, of the components of ``similar_documents``."""
+    found = similar_documents(docs, text, key, **limits)
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key")).distinct()
+    return docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left_anti")

@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints, the one with the smallest id stays."""
-    return simhash_vp.drop_near_duplicates(docs)
+    """Of documents linked by five-word shingle sets of Jaccard similarity 0.8 and more, the one with the smallest id stays."""
+    return simhash_vp.drop_similar(docs, size=5, similarity=0.8)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -419,3 +419,43 @@ def test_a_chain_is_one_component(spark):
     roots = {r.node: r.root for r in simhash_vp.components(edges).collect()}
     assert roots == {i: 0 for i in range(1, 61)} | {100: 99}
     assert simhash_vp.components(edges.where("false")).count() == 0
+
+
+def test_similar_documents(spark, docs, empty):
+    rnd = random.Random(21)
+    vocab = [f"v{i}" for i in range(300)]
+    passage = [rnd.choice(vocab) for _ in range(60)]
+    texts = []
+    for i in range(12):
+        words = [rnd.choice(vocab) for _ in range(rnd.choice((12, 100, 160)))]
+        texts.append(words)
+        for k in range(5):  # chains of copies, each with one more word changed
+            words = list(words)
+            words[rnd.randrange(len(words))] = f"x{i}_{k}"
+            texts.append(words)
+    texts += [passage + [rnd.choice(vocab) for _ in range(rnd.choice((10, 13, 40)))] for _ in range(60)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(900, None), (901, " "), (902, "V1 v2"), (903, "v1  v2"), (None, " ".join(texts[0]))]
+    sets = {}
+    for i, t in rows:
+        words = low((t or "").encode()).split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    close = {(a, b) for a in sets for b in sets if a is not None and b is not None and b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    root = {i: i for i, _ in rows if i is not None}
+    for _ in root:
+        for a, b in close:
+            root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).repartition(3)
+    got = by_id(simhash_vp.similar_documents(df))
+    assert {i: got[i].component_id for i in root} == root and got[None].component_id == root[0]
+    kept = {r.doc_id for r in simhash_vp.drop_similar(df).collect()}
+    assert kept == {None, *root.values()} and len(kept) < len({r.doc_id for r in simhash_vp.drop_near_duplicates(df, size=5).collect()})
+    assert simhash_vp.similar_documents(empty).count() == 0 and simhash_vp.similar_documents(docs.union(docs)).count() == 2 * docs.count()
+
+
+def test_the_pipeline_drops_similar_documents(spark, sf):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:50], "changed", *words[51:]])), (3, " ".join([*words[:30], "a", *words[31:60], "b", *words[61:]])), (4, " ".join(words[:50]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, df, sf).collect()} == {1, 4}
