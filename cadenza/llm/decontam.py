@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Texts are lower-cased and cut into tokens (runs of ASCII letters, digits and bytes from 0x80), each a 64-bit hash.  A seed
-is a fixed mask over a few tokens that ignores some positions, so it survives substitutions there.  The hashes
+Texts are lower-cased and cut into tokens, each a 64-bit hash: runs of ASCII letters, digits and other characters
+that are neither punctuation nor space nor control, and single characters in scripts written without spaces.  A seed is a fixed mask over a few tokens that ignores some positions, so it survives substitutions there.  The hashes
 of all masks at all positions of the training documents are joined with those of the test items:
 
 1. A bitmap of fixed size, set from the test hashes, drops nearly all training positions where they are made.
@@ -11,12 +11,15 @@ of all masks at all positions of the training documents are joined with those of
 4. A candidate is verified on the tokens: along its diagonal, the segment with the best score (+1 a match, -2 a
    substitution) must hold at least ``least`` matches, or a whole shorter item, and ``identity`` of its length.
 
-Items of fewer tokens than the shortest mask are never found.  Null and empty texts hold no tokens.  Repeated rows
+Items of fewer tokens than the shortest mask have one seed, a mask of ones as long as they are, so they are found where
+they occur unchanged; items of up to ``least`` tokens are also found unchanged only.  Null and empty texts hold no tokens.  Repeated rows
 of one id give one result; a null id is dropped with its row from the findings, and so stays in ``clean``.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,20 +28,60 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps
 
 #: The masks; 1 is a token that counts.
 MASKS = ("111111", "1101001011", "10110001101", "110010100011")
 LEAST, IDENTITY = 10, 0.7
 #: Tokens kept on both sides of a hit, and the bits of the bitmap (2 MB).
 AROUND, BITMAP_BITS = 64, 24
-_TOKEN = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
+_ASCII = np.array([b < 128 and chr(b).isalnum() for b in range(256)], np.uint8)
+#: Scripts written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Tai, Balinese, Javanese, Han, kana, Bopomofo, Yi.
+_UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Of each code point from 0x80: 0 cuts, 1 is part of a token, 2 is a token of its own."""
+    out = np.ones(0x110000, np.uint8)
+    for low, high in _UNSPACED:
+        out[low : high + 1] = 2
+    out[[c for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] in "PZ" or unicodedata.category(chr(c)) == "Cc"] + [0x200B]] = 0
+    return out
+
+
+def token_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text numbers of the tokens in UTF-8 bytes, never across texts."""
+    kinds, lead = np.zeros(data.size + 4, np.uint8), np.flatnonzero(data >= 0xC0)
+    kinds[: data.size] = _ASCII[data]
+    if lead.size:
+        padded = np.r_[data, np.zeros(3, np.uint8)]
+        more = 1 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        points = data[lead].astype(np.int64) & (0x3F >> more)
+        for k in (1, 2, 3):
+            points = np.where(k <= more, points << 6 | (padded[lead + k] & 0x3F), points)
+        kind = _kinds()[np.minimum(points, 0x10FFFF)]
+        kinds[lead] = kind
+        for k in (1, 2, 3):
+            kinds[lead[k <= more] + k] = kind[k <= more]
+    kinds = kinds[: data.size + 1]
+    kinds[-1] = 0
+    inside, alone = kinds > 0, kinds == 2
+    fresh = np.ones(data.size + 1, bool)
+    fresh[1:-1] = ~inside[:-2] | ((alone[1:-1] | alone[:-2]) & ((data[1:] & 0xC0) != 0x80))
+    fresh[offsets] = True
+    starts = np.flatnonzero(inside & fresh)
+    ends = np.flatnonzero(inside[:-1] & (~inside[1:] | fresh[1:])) + 1
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
 def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of a string column, and the number of tokens before each text (n + 1)."""
     data, offsets = column_bytes(pc.utf8_lower(column))
-    starts, ends, owner = word_spans(data, offsets, _TOKEN)
+    starts, ends, owner = token_spans(data, offsets)
     return span_hashes(data, starts, ends), np.searchsorted(owner, np.arange(len(column) + 1))
 
 
@@ -62,8 +105,9 @@ def text_seeds(tokens: np.ndarray, bounds: np.ndarray, mask: str) -> tuple[np.nd
 
 
 def item_seeds(items: DataFrame, text: str = "text", key: str = "item_id") -> DataFrame:
-    """(hash, item, at) of all masks at all positions of the test items."""
-    schema = pa.schema([("hash", pa.int64()), ("item", pa.int64()), ("at", pa.int32())])
+    """(hash, item, at, whole) of all masks at all positions of the test items, and of shorter items as a whole; whole is their length, else 0."""
+    schema = pa.schema([("hash", pa.int64()), ("item", pa.int64()), ("at", pa.int32()), ("whole", pa.int32())])
+    shortest = min(map(len, MASKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
@@ -72,10 +116,14 @@ def item_seeds(items: DataFrame, text: str = "text", key: str = "item_id") -> Da
             for mask in MASKS:
                 hashes, at = text_seeds(tokens, bounds, mask)
                 owner = np.searchsorted(bounds, at, "right") - 1
-                yield output(schema, hash=hashes.view(np.int64), item=ids[owner], at=(at - bounds[owner]).astype(np.int32))
+                yield output(schema, hash=hashes.view(np.int64), item=ids[owner], at=(at - bounds[owner]).astype(np.int32), whole=np.zeros(at.size, np.int32))
+            for size in range(1, shortest):
+                owner = np.flatnonzero(np.diff(bounds) == size)
+                hashes = seed_hashes(tokens, "1" * size)[bounds[owner]]
+                yield output(schema, hash=hashes.view(np.int64), item=ids[owner], at=np.zeros(owner.size, np.int32), whole=np.full(owner.size, size, np.int32))
 
     picked = items.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("item"), F.col(text).alias("text"))
-    return picked.mapInArrow(run, "hash long, item long, at int").distinct()
+    return picked.mapInArrow(run, "hash long, item long, at int, whole int").distinct()
 
 
 def item_tokens(items: DataFrame, text: str = "text", key: str = "item_id") -> DataFrame:
@@ -106,8 +154,9 @@ def bitmap(seeds: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return words.view(np.uint8)
 
 
-def clusters(docs: DataFrame, passed: np.ndarray, bits: int = BITMAP_BITS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per cluster of training positions that pass the bitmap: key, base (a token's number), tokens from there on, hit hashes and places."""
+def clusters(docs: DataFrame, passed: np.ndarray, bits: int = BITMAP_BITS, text: str = "text", key: str = "doc_id", whole: tuple[int, ...] = ()) -> DataFrame:
+    """Per cluster of training positions that pass the bitmap: key, base (a token's number), tokens from there on, hit hashes and places.
+    ``whole`` are the lengths of items shorter than all masks; of their hits, the first of each hash in a text is enough."""
     spark, shift = docs.sparkSession, np.uint64(64 - bits)
     table = spark.sparkContext.broadcast(passed)
     longest = max(map(len, MASKS))
@@ -117,14 +166,22 @@ def clusters(docs: DataFrame, passed: np.ndarray, bits: int = BITMAP_BITS, text:
         seen = table.value
         for part in steps(batches):
             tokens, bounds = token_hashes(part.column("text"))
-            found = [text_seeds(tokens, bounds, mask) for mask in MASKS]
+            found = []
+            for mask in (*MASKS, *("1" * n for n in whole)):
+                hashes, at = text_seeds(tokens, bounds, mask)
+                bit = hashes >> shift
+                hit = np.flatnonzero(seen[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                if len(mask) in whole and mask not in MASKS:
+                    owner = np.searchsorted(bounds, at[hit], "right") - 1
+                    order = np.lexsort((at[hit], hashes[hit], owner))
+                    again = (np.diff(owner[order]) == 0) & (np.diff(hashes[hit][order]) == 0)
+                    hit = hit[order[np.flatnonzero(np.r_[np.ones(min(1, order.size), bool), ~again])]]
+                found.append((hashes[hit], at[hit]))
             hashes, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            bit = hashes >> shift
-            hit = np.flatnonzero(seen[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
-            if not hit.size:
+            if not at.size:
                 continue
-            hit = hit[np.argsort(at[hit], kind="stable")]
-            hashes, at = hashes[hit], at[hit]
+            order = np.argsort(at, kind="stable")
+            hashes, at = hashes[order], at[order]
             owner = np.searchsorted(bounds, at, "right") - 1
             cut = np.flatnonzero((np.diff(at) > AROUND) | (np.diff(owner) > 0)) + 1
             low, high = np.r_[0, cut], np.r_[cut, at.size]
@@ -164,7 +221,8 @@ def verify(tokens: np.ndarray, item: np.ndarray, diagonal: int, least: int = LEA
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST, identity: float = IDENTITY) -> DataFrame:
     """``key``, item_id, n_matches and n_overlap (tokens) of the best verified overlap of each pair of document and item that has one."""
     seeds = materialize(item_seeds(items), "seeds")
-    found = materialize(clusters(docs, bitmap(seeds), text=text, key=key), "clusters")
+    whole = tuple(r.whole for r in seeds.where("whole > 0").select("whole").distinct().collect())
+    found = materialize(clusters(docs, bitmap(seeds), text=text, key=key, whole=whole), "clusters")
     hits = found.select(key, "base", F.explode(F.arrays_zip("hashes", "places")).alias("hit")).select(key, "base", F.col("hit.hashes").alias("hash"), F.col("hit.places").alias("place"))
     pairs = hits.join(seeds, "hash").select(key, "base", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct()
     rows = pairs.join(found.select(key, "base", "tokens").dropDuplicates([key, "base"]), [key, "base"]).join(item_tokens(items), "item")

@@ -312,6 +312,23 @@ def test_decontamination(spark, empty):
     assert decontam.contaminated(docs.union(docs), bench).count() == len(got)
 
 
+def test_decontamination_without_spaces_and_of_short_items(spark):
+    rnd = random.Random(9)
+    text = lambda low, n: "".join(chr(low + rnd.randrange(40)) for _ in range(n))
+    items = [(0, text(0x4E00, 30)), (1, text(0x3042, 30)), (2, text(0x0E01, 30)), (3, "one two Three"), (4, "日本語学"), (5, "a «quoted» word, then ten more words are following it"), (6, "five tokens are in this")]
+    around = lambda low, s: text(low, 50) + "。" + s + text(low, 50) + "、" + text(low, 20)
+    rows = [(0, around(0x5000, items[0][1])), (1, around(0x5000, items[1][1])), (2, around(0x0E01, items[2][1])), (3, "Zero one, two THREE four one two three"), (4, "これは日本語学です"), (5, "x…a “quoted” word—then ten more words are following it。y"), (6, "one two four three"), (7, "日本語の学"), (8, "five tokens are in that"), (9, around(0x5000, text(0x4E00, 30)))]
+    spoiled = list(items[0][1])
+    spoiled[10] = spoiled[20] = "\u9000"
+    rows += [(10, around(0x5000, "".join(spoiled))), (11, "five tokens are in this")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_matches, r.n_overlap) for r in decontam.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {k: v for k, v in got.items() if k != (10, 0)} == {(0, 0): (30, 30), (1, 1): (30, 30), (2, 2): (30, 30), (3, 3): (3, 3), (4, 4): (4, 4), (5, 5): (10, 10), (11, 6): (5, 5)}
+    assert got[10, 0] == (28, 30)
+    cut = lambda t: decontam.token_hashes(pa.array(t))[1].tolist()
+    assert cut(["été’s x", "", None, "日本", "日a本é語", "é", "ก"]) == [0, 3, 3, 3, 5, 10, 11, 12]
+
+
 # 8 pieces
 
 
