@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a folder under the warehouse where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    """The folder that all executors share: ``spark.checkpoint.dir``.  Only where all tasks run on the driver's machine, a folder under the warehouse stands in for it."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found
+    if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
-def durable(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: what follows sees one and the same result, and lineage ends there."""
+def scratch(df: DataFrame, tag: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` written to the shared folder and read back, and a function that empties the table once what was made of it is written too."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def drop() -> None:
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+
+    return spark.read.schema(df.schema).parquet(path), drop
+
+
+def durable(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows sees one and the same result, and lineage ends there."""
+    return scratch(df, tag)[0]
