@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.session import durable as materialize
-from cadenza.session import shared_dir
+from cadenza.session import scratch, shared_dir
 
 #: Bytes that separate words everywhere here: space and \x09 to \x0D.
 WORD = r"[^\x20\x09-\x0D]+"

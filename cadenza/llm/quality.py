@@ -1,14 +1,15 @@
 """Quality rules: cross-document line frequency, after a few per-document measures.
 
 Each document is read once.  A pass in Arrow batches returns its measures and, for each distinct normalised line,
-a 64-bit hash with the words it holds.  Lines are then counted natively: distinct documents per (host, line), with
-copies of one text counted once, combined before the shuffle.  A line above ``line_docs`` documents of its host is
+a 64-bit hash with the words it holds.  Lines are then counted natively: distinct documents per (host, line), copies
+of one text gathered first and all combined before the shuffle.  A line above ``line_docs`` documents of its host is
 boilerplate there and is removed from all documents of that host but the first (smallest id), so one copy of
 everything stays.  A document that keeps less than ``kept_share`` of its words is depleted and rejected.
 
 A normalised line is its words joined by single spaces, A-Z lower-cased and digits written as 0; lines without a
 word are neither counted nor removed.  Null texts have no words and fail the base rules.  A null host is a host of
-its own.  Repeated rows with one id share a verdict; their lines count once.  Extra columns pass through ``apply``.
+its own.  A document is an id with a host and a text: rows that repeat all three share a verdict and count once, rows of one id with
+different texts (or hosts) are judged apart, and so are rows without an id, which come last in the order of documents.  Extra columns pass through ``apply``.
 """
 
 from __future__ import annotations
@@ -73,12 +74,11 @@ def measures(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
-            texts = [(t or "").encode() for t in part.column("text").to_pylist()]
-            got = [measure(t) for t in texts]
+            got = [measure((t or "").encode()) for t in part.column("text").to_pylist()]
             counts = zip(*(m for m, _ in got), strict=True)
-            yield output(schema, **{key: part.column(key), "host": part.column("host"), "text_hash": [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]} | {n: list(c) for n, c in zip(names, counts, strict=True)}, lines=[list(h) for _, h in got], line_words=[list(h.values()) for _, h in got])
+            yield output(schema, **{key: part.column(key), "host": part.column("host"), "text_hash": part.column("text_hash")} | {n: list(c) for n, c in zip(names, counts, strict=True)}, lines=[list(h) for _, h in got], line_words=[list(h.values()) for _, h in got])
 
-    picked = long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
+    picked = long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     return picked.mapInArrow(run, f"{key} long, host string, text_hash long, {_MEASURES}, lines array<long>, line_words array<long>")
 
 
@@ -87,25 +87,30 @@ def base_failed() -> Column:
 
 
 def frequent_lines(marked: DataFrame, key: str = "doc_id", line_docs: int = LINE_DOCS) -> DataFrame:
-    """(host, line, first): lines in more than ``line_docs`` different texts of a host, and the first document that has each."""
-    texts = marked.groupBy("host", "text_hash").agg(F.min(F.struct(F.col(key), F.col("lines"))).alias("one"))
-    lines = texts.select("host", F.col(f"one.{key}").alias(key), F.explode("one.lines").alias("line"))
-    return lines.groupBy("host", "line").agg(F.count("*").alias("n_docs"), F.min(key).alias("first")).where(F.col("n_docs") > line_docs)
+    """(host, line, first): lines in more than ``line_docs`` documents of a host, and the first document that has each, as (without an id, id, text hash)."""
+    who = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("id"), F.col("text_hash").alias("text_hash"))
+    n_ids = F.count_distinct(key) + F.max(F.col(key).isNull().cast("long"))
+    texts = marked.groupBy("host", "text_hash").agg(n_ids.alias("n"), F.min(F.struct(who.alias("who"), "lines")).alias("one"))
+    lines = texts.select("host", "n", F.col("one.who").alias("who"), F.explode("one.lines").alias("line"))
+    return lines.groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.min("who").alias("first")).where(F.col("n_docs") > line_docs)
 
 
 def boilerplate(marked: DataFrame, frequent: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document with lines to remove: their hashes and how many words go."""
-    held = marked.select(key, "host", F.explode(F.arrays_zip("lines", "line_words")).alias("held")).select(key, "host", F.col("held.lines").alias("line"), F.col("held.line_words").alias("words"))
-    hits = held.alias("h").join(frequent.alias("f"), F.col("h.host").eqNullSafe(F.col("f.host")) & (F.col("h.line") == F.col("f.line")) & ~F.col("h." + key).eqNullSafe(F.col("f.first")))
-    return hits.groupBy(F.col("h." + key).alias(key)).agg(F.sum("words").alias("n_boilerplate"), F.collect_set("h.line").alias("gone"))
+    """Per document (id, host and text hash) with lines to remove: their hashes and how many words go.  Each line of it counts once, however often its row occurs."""
+    held = marked.select(key, "host", "text_hash", F.explode(F.arrays_zip("lines", "line_words")).alias("held"))
+    is_first = F.col("h." + key).eqNullSafe(F.col("f.first.id")) & (F.col("h.text_hash") == F.col("f.first.text_hash"))
+    hits = held.alias("h").join(frequent.alias("f"), F.col("h.host").eqNullSafe(F.col("f.host")) & (F.col("h.held.lines") == F.col("f.line")) & ~is_first)
+    found = hits.groupBy(F.col("h." + key).alias("_key"), F.col("h.host").alias("_host"), F.col("h.text_hash").alias("_hash")).agg(F.collect_set("h.held").alias("held"))
+    return found.select("_key", "_host", "_hash", F.aggregate("held", F.lit(0).cast("long"), lambda n, x: n + x["line_words"]).alias("n_boilerplate"), F.col("held.lines").alias("gone"))
 
 
 def verdicts(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source", line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE) -> DataFrame:
     """For every row: the measures, base_failed, n_boilerplate (words in removed lines), kept, and gone (hashes of removed lines, or null)."""
     marked = materialize(measures(docs, text, key, host), "quality")
-    found = boilerplate(marked, frequent_lines(marked, key, line_docs), key).withColumnRenamed(key, "_key")
+    found = boilerplate(marked, frequent_lines(marked, key, line_docs), key)
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("host").eqNullSafe(F.col("_host")) & (F.col("text_hash") == F.col("_hash"))
     left = F.col("n_words") - F.col("n_boilerplate")
-    out = marked.drop("lines", "line_words").join(found, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    out = marked.drop("lines", "line_words").join(found, same, "left").drop("_key", "_host", "_hash")
     out = out.withColumn("n_boilerplate", F.coalesce("n_boilerplate", F.lit(0))).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (left >= kept_share * F.col("n_words")))
 
@@ -116,7 +121,7 @@ def drop_lines(text: bytes, gone: set[int]) -> bytes:
 
 def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source", **limits) -> DataFrame:
     """The kept documents with boilerplate lines removed, in the columns of ``docs``."""
-    kept = verdicts(docs, text, key, host, **limits).where("kept").groupBy(F.col(key).alias("_key")).agg(F.first("gone").alias("_gone"))
+    kept = verdicts(docs, text, key, host, **limits).where("kept").groupBy(F.col(key).alias("_key"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash")).agg(F.first("gone").alias("_gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,5 +131,6 @@ def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str =
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch.drop_columns(["_gone"])
 
-    joined = long_rows(docs).join(kept, F.col(key).cast("long").eqNullSafe(F.col("_key"))).drop("_key")
+    same = F.col(key).cast("long").eqNullSafe(F.col("_key")) & F.col(host).cast("string").eqNullSafe(F.col("_host")) & (F.xxhash64(text) == F.col("_hash"))
+    joined = long_rows(docs).join(kept, same).drop("_key", "_host", "_hash")
     return joined.mapInArrow(run, docs.schema)
