@@ -1,10 +1,14 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
-Prefix sums of turn tokens deal a conversation's turns to windows: a turn belongs to the window in which its first
-token falls, so spans are turn-aligned and hold less than ``budget`` tokens before their last turn.  A window
-starts with the conversation's first system turn, then repeats the turns of the window before it that end within
-``history`` tokens of its start, then has its own turns.  The loss mask covers the texts of its own assistant turns only,
-so each target is learned once; repeated turns are context.
+Prefix sums of turn tokens choose spans of whole turns.  A window starts with the conversation's first system turn (if that came before it), then
+repeats turns of the window before it that end within ``history`` tokens of its start, then has its own turns, as many as
+still fit: a turn that would take the window over ``budget`` opens the next one.  If the history would leave no room for the turn that opens a
+window, that window repeats none.  So no window is over budget, unless its only own turn doesn't fit beside the system turn;
+such a window is marked ``over_budget``.  The loss mask covers the texts of its own assistant turns only, so each target is
+learned once; repeated turns are context.
+
+What is left of the room depends on where the window began, which is a fold over the turns before.  It runs on the sizes of at most
+``RUN`` turns: a window also opens at every ``RUN``-th turn, so that no array grows with a conversation.
 
 Template: ``<s>`` role newline text ``</s>`` for each turn.  Inside roles and texts ``&``, ``<`` and ``[`` are
 written ``&amp;``, ``&lt;`` and ``&lb;`` (and a newline in a role ``&nl;``), so control strings occur nowhere but as marks,
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUDGET, HISTORY = 1024, 256
+BUDGET, HISTORY, RUN = 1024, 256, 256
 #: What stands for each character inside a turn, in the order of writing.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
 OPEN, CLOSE = "<s>", "</s>"
@@ -45,40 +49,57 @@ def unescape_role(value: Column) -> Column:
     return unescape(F.replace(value, F.lit("&nl;"), F.lit("\n")))
 
 
-def turn_tokens(text: Column) -> Column:
-    """An estimate in whole tokens: four characters each, and four for the marks."""
-    return (F.ceil(F.char_length(text) / 4) + 4).cast("long")
+def turn_tokens(formatted: Column) -> Column:
+    """An estimate in whole tokens of a turn as it is written: four UTF-8 bytes each."""
+    return F.ceil(F.octet_length(formatted) / 4).cast("long")
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=turn_tokens) -> DataFrame:
-    """conv_id, window_no, formatted, n_context (turns repeated at the start, of which the system turn is the first if has_system),
-    and loss_spans (start, length in code points of ``formatted``, in order)."""
+    """conv_id, window_no, formatted, n_context (turns repeated at the start, of which the system turn is the first if there is one), loss_spans (start,
+    length in code points of ``formatted``, in order), n_tokens (by ``tokens``, a function of a written turn) and over_budget."""
     rows = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("piece", F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(CLOSE))).withColumn("n", tokens(F.col("piece")))
     whole = Window.partitionBy("conv_id")
     ordered = whole.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("n", tokens(F.col("text"))).withColumns({"ord": F.row_number().over(ordered), "ends": F.sum("n").over(so_far), "of_system": F.sum((F.col("role") == "system").cast("int")).over(so_far)})
-    rows = rows.withColumns({"starts": F.col("ends") - F.col("n"), "system": (F.col("role") == "system") & (F.col("of_system") == 1)})
-    rows = rows.withColumn("slot", F.floor(F.col("starts") / budget))
+    is_system = F.col("role") == "system"
+    rows = rows.withColumns({"ord": F.row_number().over(ordered), "of_system": F.sum(is_system.cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = rows.withColumn("system", is_system & (F.col("of_system") == 1)).withColumn("run", F.floor((F.col("ord") - 1) / RUN))
     by_ord = whole.orderBy("ord")
-    rows = rows.withColumn("opens", (F.coalesce(F.lag("slot").over(by_ord), F.lit(-1)) < F.col("slot")).cast("int"))
+    before = by_ord.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"starts": F.coalesce(F.sum(F.when(F.col("system"), 0).otherwise(F.col("n"))).over(before), F.lit(0)), "fixed": F.coalesce(F.sum(F.when(F.col("system"), F.col("n"))).over(before), F.lit(0))})
+    near = F.min(F.when(~F.col("system"), F.col("starts"))).over(whole.orderBy("starts").rangeBetween(-history, 0))  # where turns begin that end within ``history``
+    rows = rows.withColumn("past", F.coalesce(F.col("starts") - near, F.lit(0)))
+    rows = rows.withColumn("repeats", F.col("fixed") + F.col("past") + F.col("n") <= budget)
+    rows = rows.withColumn("room", F.lit(budget) - F.col("fixed") - F.when(F.col("repeats"), F.col("past")).otherwise(0))
+    sizes = F.collect_list(F.struct("n", "room")).over(Window.partitionBy("conv_id", "run").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
+    nothing = F.struct(F.lit(0).alias("windows"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("room"), F.lit(False).alias("opens"))
+
+    def place(held: Column, x: Column) -> Column:
+        fits = (held["windows"] > 0) & (held["used"] + x["n"] <= held["room"])
+        return F.struct((held["windows"] + F.when(fits, 0).otherwise(1)).alias("windows"), (F.when(fits, held["used"]).otherwise(0) + x["n"]).alias("used"), F.when(fits, held["room"]).otherwise(x["room"]).alias("room"), (~fits).alias("opens"))
+
+    rows = rows.withColumn("opens", F.aggregate(sizes, nothing, place)["opens"].cast("int"))
     rows = rows.withColumn("window_no", F.sum("opens").over(by_ord.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    rows = rows.withColumns({"last_no": F.max("window_no").over(whole), "closes": F.max("ends").over(Window.partitionBy("conv_id", "window_no"))})
+    by_window = whole.orderBy("window_no")
+    rows = rows.withColumns({
+        "last_no": F.max("window_no").over(whole), "closes": F.max(F.col("starts") + F.when(F.col("system"), 0).otherwise(F.col("n"))).over(Window.partitionBy("conv_id", "window_no")),
+        "next_repeats": F.max(F.when(F.col("opens") == 1, F.col("repeats"))).over(by_window.rangeBetween(1, 1)),
+    })
     later = F.when(F.col("window_no") < F.col("last_no"), F.sequence(F.col("window_no") + 1, F.col("last_no")))
     again = (
         F.when(F.col("system"), F.transform(later, lambda w: F.struct(w.alias("no"), F.lit(0).alias("kind"))))
-        .when((F.col("window_no") < F.col("last_no")) & (F.col("closes") - F.col("starts") <= history), F.array(F.struct((F.col("window_no") + 1).alias("no"), F.lit(1).alias("kind"))))
+        .when(F.col("next_repeats") & (F.col("closes") - F.col("starts") <= history), F.array(F.struct((F.col("window_no") + 1).alias("no"), F.lit(1).alias("kind"))))
     )
     places = F.concat(F.array(F.struct(F.col("window_no").alias("no"), F.lit(2).alias("kind"))), F.coalesce(again, F.array()))
-    piece = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(CLOSE))
-    rows = rows.select("conv_id", "ord", piece.alias("piece"), F.char_length(escape(F.col("text"))).alias("text_chars"), (F.col("role") == "assistant").alias("target"), F.explode(places).alias("place"))
-    rows = rows.select("conv_id", F.col("place.no").alias("window_no"), F.col("place.kind").alias("kind"), "ord", "piece", "text_chars", "target")
+    rows = rows.select("conv_id", "ord", "piece", "n", F.char_length(escape(F.col("text"))).alias("text_chars"), (F.col("role") == "assistant").alias("target"), F.explode(places).alias("place"))
+    rows = rows.select("conv_id", F.col("place.no").alias("window_no"), F.col("place.kind").alias("kind"), "ord", "piece", "n", "text_chars", "target")
     inside = Window.partitionBy("conv_id", "window_no").orderBy("kind", "ord").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("to", F.sum(F.char_length("piece")).over(inside))
     start = F.col("to") - F.col("text_chars") - len(CLOSE)
     rows = rows.withColumn("span", F.when(F.col("target") & (F.col("kind") == 2), F.struct(start.cast("int").alias("start"), F.col("text_chars").alias("length"))))
-    made = rows.groupBy("conv_id", "window_no").agg(F.array_sort(F.collect_list(F.struct("to", "kind", "piece"))).alias("pieces"), F.array_sort(F.collect_list("span")).alias("loss_spans"))
-    return made.select("conv_id", "window_no", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("formatted"), F.size(F.filter("pieces", lambda p: p["kind"] < 2)).alias("n_context"), "loss_spans")
+    made = rows.groupBy("conv_id", "window_no").agg(F.array_sort(F.collect_list(F.struct("to", "kind", "piece"))).alias("pieces"), F.array_sort(F.collect_list("span")).alias("loss_spans"), F.sum("n").alias("n_tokens"))
+    text = F.array_join(F.transform("pieces", lambda p: p["piece"]), "")
+    return made.select("conv_id", "window_no", text.alias("formatted"), F.size(F.filter("pieces", lambda p: p["kind"] < 2)).alias("n_context"), "loss_spans", "n_tokens", (F.col("n_tokens") > budget).alias("over_budget"))
 
 
 def read_turns(formatted: Column, n_context: Column) -> Column:

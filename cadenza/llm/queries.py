@@ -93,18 +93,28 @@ WITH base AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 a AS (
-  SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 4 AS n,
+  SELECT *, '<s>' || replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), chr(10), '&nl;') || chr(10)
+      || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;') || '</s>' AS piece,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS ord FROM base),
 b AS (
-  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY ord) AS ends,
-    sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY ord) AS of_system FROM a),
-c AS (SELECT *, ends - n AS starts, floor((ends - n) / {chat.BUDGET}) AS slot, role = 'system' AND of_system = 1 AS sys FROM b),
-d AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY slot) AS no FROM c),
-e AS (SELECT *, max(no) OVER (PARTITION BY conv_id) AS last_no, max(ends) OVER (PARTITION BY conv_id, no) AS closes FROM d),
+  SELECT *, CAST(ceil(strlen(piece) / 4.0) AS BIGINT) AS n, role = 'system' AND sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY ord) = 1 AS sys FROM a),
+c AS (
+  SELECT *, CAST(coalesce(sum(CASE WHEN sys THEN 0 ELSE n END) OVER w, 0) AS BIGINT) AS starts, CAST(coalesce(sum(CASE WHEN sys THEN n END) OVER w, 0) AS BIGINT) AS fixed
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d AS (
+  SELECT *, coalesce(starts - min(CASE WHEN NOT sys THEN starts END) OVER (PARTITION BY conv_id ORDER BY starts RANGE BETWEEN {chat.HISTORY} PRECEDING AND CURRENT ROW), 0) AS past FROM c),
+e AS (
+  SELECT *, fixed + past + n <= {chat.BUDGET} AS repeats, {chat.BUDGET} - fixed - CASE WHEN fixed + past + n <= {chat.BUDGET} THEN past ELSE 0 END AS room FROM d),
 f AS (
-  SELECT *, 1 + CASE WHEN sys THEN last_no - no WHEN no < last_no AND closes - starts <= {chat.HISTORY} THEN 1 ELSE 0 END AS times,
-    8 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), chr(10), '&nl;'))
-      + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) AS chars FROM e)
+  SELECT *, list({{'n': n, 'room': room, 'used': n, 'opens': 1}}) OVER (PARTITION BY conv_id, (ord - 1) // {chat.RUN} ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far FROM e),
+g AS (
+  SELECT *, list_reduce(so_far, lambda h, x: CASE WHEN h.used + x.n <= h.room THEN {{'n': x.n, 'room': h.room, 'used': h.used + x.n, 'opens': 0}} ELSE x END).opens AS opens FROM f),
+h AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY ord) AS no FROM g),
+i AS (
+  SELECT *, max(no) OVER (PARTITION BY conv_id) AS last_no, max(starts + CASE WHEN sys THEN 0 ELSE n END) OVER (PARTITION BY conv_id, no) AS closes,
+    max(CASE WHEN opens = 1 THEN repeats END) OVER (PARTITION BY conv_id ORDER BY no RANGE BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS next_repeats FROM h),
+t AS (
+  SELECT *, 1 + CASE WHEN sys THEN last_no - no WHEN next_repeats AND closes - starts <= {chat.HISTORY} THEN 1 ELSE 0 END AS times, length(piece) AS chars FROM i)
 """
 
 ORACLES: dict[str, str] = {
@@ -114,7 +124,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY ord), '')) AS loss_sha256,
   CAST(sum(times * chars) AS BIGINT) AS formatted_chars
-FROM f GROUP BY conv_id""",
+FROM t GROUP BY conv_id""",
     "op5_suffix_arrays": """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
 w AS (SELECT doc_id, p, b[p:p + 99] AS s FROM (SELECT doc_id, b, unnest(range(1, n - 98)) AS p FROM d WHERE n >= 100)),
@@ -128,34 +138,28 @@ k AS (SELECT c.doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed,
 SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
   CASE WHEN kept IS NULL THEN sha256(d.b) ELSE sha256(unhex(kept)) END AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op2_line_frequency": rf"""
-WITH w AS (
-  SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS words FROM documents),
+WITH d AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM (SELECT DISTINCT doc_id, source, coalesce(text, '') AS t FROM documents)),
+w AS (SELECT r, doc_id, source, t, string_split(t, chr(10)) AS ls, regexp_extract_all(t, '[^ \t-\r]+') AS words FROM d),
 m AS (
-  SELECT doc_id, source, t, words, len(words) AS n_words, length(regexp_replace(t, '[ 	-
-]', '', 'g')) AS word_chars,
-    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
-]'))) - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ 	-
-]')))) AS n_dup_lines FROM w),
-pos AS (SELECT doc_id, n_words, words, unnest(range(1, n_words - 3)) AS p FROM m WHERE n_words >= 5),
-win AS (SELECT doc_id, p, array_to_string(words[p:p + 4], ' ') AS g FROM pos),
-rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS k FROM win) WHERE k > 1),
-cov AS (SELECT doc_id, sum(least(5, coalesce(nxt - p, 5))) AS n_repeat_words FROM (SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS nxt FROM rep) GROUP BY doc_id),
+  SELECT r, words, len(words) AS n_words, length(regexp_replace(t, '[ \t-\r]', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(ls, lambda x: regexp_matches(x, '[^ \t-\r]'))) - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ \t-\r]')))) AS n_dup_lines FROM w),
+pos AS (SELECT r, words, unnest(range(1, n_words - 3)) AS p FROM m WHERE n_words >= 5),
+win AS (SELECT r, p, array_to_string(words[p:p + 4], ' ') AS g FROM pos),
+rep AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS k FROM win) WHERE k > 1),
+cov AS (SELECT r, sum(least(5, coalesce(nxt - p, 5))) AS n_repeat_words FROM (SELECT r, p, lead(p) OVER (PARTITION BY r ORDER BY p) AS nxt FROM rep) GROUP BY r),
 l AS (
-  SELECT doc_id, source, t, trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[ 	-
-]+', ' ', 'g'), ' ') AS line
-  FROM (SELECT doc_id, source, t, unnest(ls) AS x FROM w)),
-lw AS (SELECT doc_id, source, t, line, sum(len(string_split(line, ' '))) AS words FROM l WHERE line <> '' GROUP BY ALL),
-freq AS (SELECT source, line, min(doc_id) AS first FROM lw GROUP BY source, line HAVING count(DISTINCT t) > {quality.LINE_DOCS}),
-gone AS (SELECT lw.doc_id, sum(lw.words) AS n_boilerplate FROM lw JOIN freq ON lw.source IS NOT DISTINCT FROM freq.source AND lw.line = freq.line AND lw.doc_id <> freq.first GROUP BY lw.doc_id),
+  SELECT r, doc_id, source, t, trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[ \t-\r]+', ' ', 'g'), ' ') AS line
+  FROM (SELECT r, doc_id, source, t, unnest(ls) AS x FROM w)),
+lw AS (SELECT r, doc_id, source, t, line, sum(len(string_split(line, ' '))) AS words FROM l WHERE line <> '' GROUP BY ALL),
+n AS (SELECT r, words, count(*) OVER (PARTITION BY source, line) AS docs, row_number() OVER (PARTITION BY source, line ORDER BY doc_id NULLS LAST, t) AS place FROM lw),
+gone AS (SELECT r, sum(words) AS n_boilerplate FROM n WHERE docs > {quality.LINE_DOCS} AND place > 1 GROUP BY r),
 v AS (
-  SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_boilerplate, 0) AS n_boilerplate
-  FROM m LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id))
-SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  SELECT d.doc_id, d.source, d.t, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_boilerplate, 0) AS n_boilerplate
+  FROM d JOIN m USING (r) LEFT JOIN cov USING (r) LEFT JOIN gone USING (r))
+SELECT o.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
   NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words) AND n_words - n_boilerplate >= {quality.KEPT_SHARE} * n_words AS kept,
-  CAST(n_boilerplate AS BIGINT) AS n_boilerplate FROM v""",
+  CAST(n_boilerplate AS BIGINT) AS n_boilerplate
+FROM documents o JOIN v ON o.doc_id IS NOT DISTINCT FROM v.doc_id AND o.source IS NOT DISTINCT FROM v.source AND coalesce(o.text, '') = v.t""",
 }
