@@ -11,7 +11,7 @@
 5. Components of the links by large-star and small-star rounds, each written to the shared folder.
 
 Null, empty and blank texts have fingerprint zero and link like any other.  Repeated rows with one id are one
-document if their texts agree; else each row is kept with its own fingerprint.  Null ids are kept, and never become
+document if their texts agree; else each row has its own fingerprint and is judged by it.  Null ids are kept, and never become
 the smallest id of a component unless all its ids are null.  Extra columns are ignored.
 
 ``similar_documents`` links by the Jaccard similarity of shingle sets instead.  Texts with one set are one class.  Links of the
@@ -20,7 +20,7 @@ tree above and shared shingles give candidates, and only pairs whose sets are si
 1. Two sets of similarity t share one of the first n - ceil(t n) + 1 shingles of each in any common order (n is the
    set's size), so the classes that share such a shingle (a block) hold all pairs.  Shingles frequent in a sample come last in the
    order, which keeps blocks small; it changes no result.
-2. Of a pair, the parities of its sets' shingles in a few hundred cells differ in no more cells than there are shingles in
+2. Of a pair, the counts of its sets' shingles in a few hundred cells differ by no more than there are shingles in
    one set only; that drops most pairs whose sets aren't similar before the sets are fetched and compared.
 3. Links of the tree, and of each class to its block's smallest, are verified and give components.
 4. In blocks that hold several components, all pairs across components are verified.  So components are exact.
@@ -37,18 +37,19 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, scratch, span_hashes, steps, word_spans
 
 SHINGLE, LIMIT = 3, 2
-#: Fingerprints that the driver sees to place the shards' vantage points, how many (of all) a shard is to get, and the least of the sample in a shard.
+#: Fingerprints that the driver sees (about so many, chosen by a hash) to place the shards' vantage points, how many (of all) a shard is to get, and the least of the
+#: sample in a shard.
 SAMPLE, PER_SHARD, LEAST = 32_768, 1_024, 8
 #: A leaf of this size or less compares all its pairs.
 LEAF = 256
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: One of so many classes is in the sample of shingles; those in so many sampled classes are frequent, and so many of them are told apart.
 SHINGLES_OF, FREQUENT, MOST_FREQUENT = 8, 4, 1 << 18
-#: Words of 64 cells of parities in a class.
-PARITY = 8
+#: Cells of a class in which its shingles are counted.
+CELLS = 256
 _WORD_BYTE = np.array([not bytes([b]).isspace() for b in range(256)])
 
 
@@ -66,15 +67,15 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """``key`` and ``fp`` (64 bits as a signed long) for every row."""
-    schema = pa.schema([(key, pa.int64()), ("fp", pa.int64())])
+    """``key``, ``fp`` (64 bits as a signed long) and a hash of the text for every row."""
+    schema = pa.schema([(key, pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
             values = np.array([fingerprint((t or "").encode(), size) for t in part.column("text").to_pylist()], np.uint64)
-            yield output(schema, **{key: part.column(key), "fp": values.view(np.int64)})
+            yield output(schema, **{key: part.column(key), "fp": values.view(np.int64), "text_hash": part.column("text_hash")})
 
-    return long_rows(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias("text")).mapInArrow(run, f"{key} long, fp long")
+    return long_rows(docs).select(F.col(key).cast("long").alias(key), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).mapInArrow(run, f"{key} long, fp long, text_hash long")
 
 
 def split(values: np.ndarray, radius: int, rng: np.random.Generator, tries: int = 12) -> tuple[int, int] | None:
@@ -164,9 +165,11 @@ def local_links(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]
 def links(distinct: DataFrame, limit: int = LIMIT, sample: int = SAMPLE, per_shard: int = PER_SHARD) -> DataFrame:
     """Links (a, b), b < a, that connect exactly the distinct fingerprints of column ``fp`` joined by chains of pairs within ``limit``."""
     spark, radius = distinct.sparkSession, -(-limit // 2)
-    seen = distinct.select(F.xxhash64("fp").alias("h"), "fp").orderBy("h", "fp").limit(sample).collect()
-    few = max(LEAST, math.ceil(len(seen) * per_shard / max(1, distinct.count())))
-    nodes = shard_tree(np.array([r.fp for r in seen], np.int64).view(np.uint64), radius, few)
+    n = distinct.count()
+    chosen = F.pmod(F.xxhash64("fp"), F.lit(1 << 40)) < math.ceil((1 << 40) * min(1.0, sample / max(1, n)))  # so about ``sample`` of all, whatever the number of partitions
+    seen = np.sort(distinct.where(chosen).select("fp").toArrow().column("fp").to_numpy())
+    few = max(LEAST, math.ceil(seen.size * per_shard / max(1, n)))
+    nodes = shard_tree(seen.view(np.uint64), radius, few)
     tree = spark.sparkContext.broadcast(nodes)
     routed, linked = pa.schema([("shard", pa.int32()), ("fp", pa.int64())]), pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -191,7 +194,7 @@ def _stamp(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) with the smallest reachable node, for every node of the links (a, b); alternating large and small stars."""
-    edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
+    edges, drop = scratch(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
     stamp = _stamp(edges)
     for _ in range(rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -200,8 +203,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
-        after = materialize(small.distinct(), "stars")
-        edges, before, stamp = after, stamp, _stamp(after)
+        after, drop_after = scratch(small.distinct(), "stars")
+        before, stamp = stamp, _stamp(after)
+        drop()
+        edges, drop = after, drop_after
         if stamp == before:
             break
     else:
@@ -209,23 +214,32 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
-    """``key``, fp and component_id (smallest ``key`` reachable over links of at most ``limit`` bits) for every row."""
+def _fingerprint_components(docs: DataFrame, text: str, key: str, size: int, limit: int, sample: int) -> DataFrame:
+    """``key``, fp, text_hash and component_id of every row."""
     marked = materialize(fingerprints(docs, text, key, size), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
     roots = components(links(distinct, limit, sample))
     classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, "fp", "component_id")
+    return marked.join(named, "fp").select(key, "fp", "text_hash", "component_id")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
+    """``key``, fp and component_id (smallest ``key`` reachable over links of at most ``limit`` bits) for every row."""
+    return _fingerprint_components(docs, text, key, size, limit, sample).drop("text_hash")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
-    """The document with the smallest id of each component, in the columns of ``docs``.  Rows with a null id stay; rows that repeat an id
-    with one text stay or go together."""
-    found = near_duplicates(docs, text, key, **limits)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key")).distinct()
-    return docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left_anti")
+def _first_of_each(docs: DataFrame, found: DataFrame, text: str, key: str) -> DataFrame:
+    """``docs`` without the rows (by id and text) that ``found`` puts into a component under another id."""
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(gone, (F.col(key).cast("long") == F.col("_key")) & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
+    """The document with the smallest id of each component, in the columns of ``docs``.  Rows with a null id stay.  Rows that repeat an id with one text stay or go
+    together; rows of one id with different texts are judged apart."""
+    return _first_of_each(docs, _fingerprint_components(docs, text, key, size, limit, sample), text, key)
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,11 +270,16 @@ def set_classes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), bounds[:-1]) + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(sets, PARITY) signed longs: whether a cell holds an odd number of the set's shingles."""
-    owner, cell = np.repeat(np.arange(bounds.size - 1), np.diff(bounds)), hashes % np.uint64(64 * PARITY)
-    odd = np.bincount(owner * 64 * PARITY + cell.astype(np.int64), minlength=(bounds.size - 1) * 64 * PARITY) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, PARITY)
+def cell_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(sets, CELLS) bytes: how many of the set's shingles fall into a cell, modulo 256."""
+    owner, cell = np.repeat(np.arange(bounds.size - 1), np.diff(bounds)), (hashes >> np.uint64(32)) % np.uint64(CELLS)
+    return np.bincount(owner * CELLS + cell.astype(np.int64), minlength=(bounds.size - 1) * CELLS).astype(np.uint8).reshape(-1, CELLS)
+
+
+def _fixed(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    ends = np.arange(rows.shape[0] + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), rows.shape[0], [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
@@ -275,16 +294,16 @@ def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, simil
 
 
 def _marks(picked: DataFrame, size: int) -> DataFrame:
-    """(key, fp, class, n, parity) of every row of (key, text)."""
-    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("parity", pa.list_(pa.int64()))])
+    """(key, text_hash, fp, class, n, cells) of every row of (key, text_hash, text)."""
+    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
             hashes, bounds = shingle_sets(part.column("text"), size)
             values = np.array([fingerprint((t or "").encode(), size) for t in part.column("text").to_pylist()], np.uint64)
-            yield output(schema, **{"key": part.column("key"), "fp": values.view(np.int64), "class": set_classes(hashes, bounds), "n": np.diff(bounds), "parity": pa.ListArray.from_arrays(pa.array(np.arange(bounds.size) * PARITY, pa.int32()), pa.array(parities(hashes, bounds).ravel()))})
+            yield output(schema, **{"key": part.column("key"), "text_hash": part.column("text_hash"), "fp": values.view(np.int64), "class": set_classes(hashes, bounds), "n": np.diff(bounds), "cells": _fixed(cell_counts(hashes, bounds))})
 
-    return picked.mapInArrow(run, "key long, fp long, class long, n long, parity array<long>")
+    return picked.mapInArrow(run, "key long, text_hash long, fp long, class long, n long, cells binary")
 
 
 def _shingles(picked: DataFrame, size: int, similarity: float, frequent: np.ndarray | None) -> DataFrame:
@@ -317,32 +336,48 @@ def _sets(picked: DataFrame, size: int) -> DataFrame:
     return picked.mapInArrow(run, "class long, shingles array<long>")
 
 
+def _near_enough(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Of (a, b, n_a, n_b, cells_a, cells_b), the pairs that may be similar: a shingle of one set only changes one cell by one, so counts differ by no more than such
+    shingles are allowed (modulo 256 a difference only looks smaller)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (column_bytes(batch.column(f"cells_{s}"))[0].reshape(-1, CELLS) for s in "ab")
+            differ = np.abs((a - b).view(np.int8).astype(np.int16)).sum(1, dtype=np.int64)
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= (1 - similarity) / (1 + similarity) * both + 1e-9)).cast(schema)
+
+    return pairs.select("a", "b", "n_a", "n_b", "cells_a", "cells_b").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, picked: DataFrame, size: int, similarity: float) -> DataFrame:
     """Of the pairs (a, b) of classes, those whose sets are similar."""
-    sized = [classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("parity").alias(f"parity_{s}")) for s in "ab"]
-    differ = sum((F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY)), F.lit(0))
-    both = F.col("n_a") + F.col("n_b")
-    fits = (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9) & (differ <= (1 - similarity) / (1 + similarity) * both + 1e-9)
-    pairs = materialize(pairs.join(sized[0], "a").join(sized[1], "b").where(fits).select("a", "b"), "tried")
-    wanted = materialize(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(classes.select("class", "least"), "class"), "wanted")
+    sized = [classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("cells").alias(f"cells_{s}")) for s in "ab"]
+    fits = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9
+    pairs, drop_pairs = scratch(_near_enough(pairs.join(sized[0], "a").join(sized[1], "b").where(fits), similarity), "tried")
+    wanted, drop_wanted = scratch(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(classes.select("class", "least"), "class"), "wanted")
     texts = picked.join(wanted.select(F.col("least").alias("of")).distinct(), F.col("key").eqNullSafe(F.col("of")), "left_semi")
-    sets = materialize(_sets(texts, size).join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
+    sets, drop_sets = scratch(_sets(texts, size).join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("of_b")), "b")
     shared = both.select("a", "b", (F.size("of_a") + F.size("of_b")).alias("n"), F.size(F.array_intersect("of_a", "of_b")).alias("shared"))
-    return materialize(shared.where(F.col("shared") >= similarity * (F.col("n") - F.col("shared")) - 1e-9).select("a", "b"), "similar")
+    similar = materialize(shared.where(F.col("shared") >= similarity * (F.col("n") - F.col("shared")) - 1e-9).select("a", "b"), "similar")
+    for drop in (drop_pairs, drop_wanted, drop_sets):
+        drop()
+    return similar
 
 
-def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, similarity: float = 0.8, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
-    """``key``, fp and component_id (smallest ``key`` reachable over pairs of documents whose shingle sets have at least that Jaccard similarity) for every row."""
-    picked = long_rows(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+def _set_components(docs: DataFrame, text: str, key: str, size: int, similarity: float, limit: int, sample: int) -> DataFrame:
+    """``key``, fp, text_hash and component_id of every row."""
+    picked = long_rows(docs).select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     marked = materialize(_marks(picked, size), "marks")
-    classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("parity").alias("parity"), F.min("key").alias("least")), "classes")
+    classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("cells").alias("cells"), F.min("key").alias("least")), "classes")
 
     often = _shingles(picked, size, similarity, None).distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
     frequent = np.sort(often.select("hash").toArrow().column("hash").to_numpy().view(np.uint64))
     block = Window.partitionBy("hash")
     first = _shingles(picked, size, similarity, frequent).withColumns({"least": F.min("class").over(block), "most": F.max("class").over(block)})
-    blocks = materialize(first.where("least <> most").select("hash", "class", "least").distinct(), "blocks")
+    blocks, drop_blocks = scratch(first.where("least <> most").select("hash", "class", "least").distinct(), "blocks")
 
     by_fp = materialize(classes.groupBy("fp").agg(F.min("class").alias("least")), "distinct")
     near = links(by_fp, limit, sample)
@@ -353,19 +388,25 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     roots = components(sure)
     parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", F.coalesce("root", "class").alias("part"))
     mixed = parts.groupBy("hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("hash")
-    open_ = materialize(parts.join(mixed, "hash").join(classes.select("class", "n"), "class"), "open")
+    open_, drop_open = scratch(parts.join(mixed, "hash").join(classes.select("class", "n"), "class"), "open")
+    drop_blocks()
     left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n"))) for side in "ab")
     fits = (F.col("part_a") < F.col("part_b")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9)
     across = left.join(right, "hash").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
     edges = sure.union(_verified(across, classes, picked, size, similarity))
+    roots = components(edges)
+    drop_open()
 
-    named = classes.join(components(edges), F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
+    named = classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(named.join(smallest, "root").select("class", "component_id"), "class").select(F.col("key").alias(key), "fp", "component_id")
+    return marked.join(named.join(smallest, "root").select("class", "component_id"), "class").select(F.col("key").alias(key), "fp", "text_hash", "component_id")
+
+
+def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, similarity: float = 0.8, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
+    """``key``, fp and component_id (smallest ``key`` reachable over pairs of documents whose shingle sets have at least that Jaccard similarity) for every row."""
+    return _set_components(docs, text, key, size, similarity, limit, sample).drop("text_hash")
 
 
-def drop_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
+def drop_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, similarity: float = 0.8, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:
     """As ``drop_near_duplicates``, of the components of ``similar_documents``."""
-    found = similar_documents(docs, text, key, **limits)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key")).distinct()
-    return docs.join(gone, F.col(key).cast("long") == F.col("_key"), "left_anti")
+    return _first_of_each(docs, _set_components(docs, text, key, size, similarity, limit, sample), text, key)
