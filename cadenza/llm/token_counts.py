@@ -2,21 +2,25 @@
 
 Texts are split at boundaries where the byte-level pre-tokenizer must break anyway, so the counts of the pieces add up to the count of the
 whole: before a space that a character other than white space follows (a match starts at that space, whatever white
-space comes before it), and between an ASCII letter and a mark like a comma (letters and marks never share a match).
-An added token holds neither.  Long texts are thus never encoded in one call, and a piece that comes again, in a batch or among those
-that a worker remembers, isn't encoded again.
+space comes before it), and between a letter and a mark like a comma, of ASCII or of Chinese, Japanese and Korean (letters and marks never share a match).
+An added token holds neither.  So a long text is encoded in many small pieces, in any script that has spaces or such marks; what lies between two
+boundaries is one match of the pre-tokenizer, or a few, and can't be cut.  A vocabulary that cuts texts in another way has whole texts encoded.
+A piece that comes again, in a batch or among those that a worker remembers, isn't encoded again.
 
-Null texts count as empty.  Repeated rows each give a row.  Extra columns are ignored.
+Null texts count as empty.  Repeated rows each give a row, null ids are kept, extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,18 +30,35 @@ from cadenza.llm.common import column_bytes, gathered, long_rows, output, steps
 BATCH_BYTES, SEEN, RUN = 8 << 20, 400_000, 2_048
 _LETTERS = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 _MARKS = np.array([chr(b) in ".,;:!?" for b in range(256)])
-#: Bytes that surely start a character other than white space: ASCII from 0x21 to 0x7E and leads of U+00C0 to U+07FF.
-_SOLID = np.array([0x21 <= b < 0x7F or 0xC3 <= b < 0xE0 for b in range(256)])
+#: Bytes after which a character other than white space surely stands: ASCII from 0x21 to 0x7E and leads of U+00C0 and up, but for those that white space shares.
+_SOLID = np.array([0x21 <= b < 0x7F or (0xC3 <= b < 0xF5 and b not in (0xE1, 0xE2, 0xE3)) for b in range(256)])
+#: Second bytes that no white space has after the leads E1 (U+1680), E2 (U+2000 to U+205F) and E3 (U+3000).
+_SECOND = {0xE1: (0x9A,), 0xE2: (0x80, 0x81), 0xE3: (0x80,)}
+#: Leads of three-byte characters that are all letters: U+4E00 to U+9FFF (but its first lead, which others share) and Hangul syllables (but the last lead).
+_IDEOGRAPHS = np.array([0xE5 <= b <= 0xE9 or b in (0xEB, 0xEC) for b in range(256)])
+#: Marks of three bytes after them: U+3001, U+3002 and the full-width ! , : ; ?.
+_WIDE_MARKS = ("、", "。", "！", "，", "：", "；", "？")
+
+
+@contextmanager
+def threads(on: bool):
+    """Whether the library uses threads of its own for calls in this block."""
+    before = os.environ.get("TOKENIZERS_PARALLELISM")
+    os.environ["TOKENIZERS_PARALLELISM"] = "true" if on else "false"
+    try:
+        yield
+    finally:
+        if before is None:
+            del os.environ["TOKENIZERS_PARALLELISM"]
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = before
 
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
-    """The library's tokenizer for a .json file, once per Python worker.  Tasks run side by side already, so the library's own threads, which
-    spin between short calls, stay off."""
+    """The library's tokenizer for a .json file, once per Python worker."""
     from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-
     made = Tokenizer.from_file(path)
     made.no_truncation()
     made.no_padding()
@@ -52,6 +73,12 @@ def seen_pieces(path: str) -> dict[str, bytes]:
 
 def encode_pieces(made, pieces: list[str], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces end to end and the n + 1 bounds.  An added special token separates the pieces in a text, as the library cuts there first."""
+    # tasks run side by side already, so the library's own threads, which spin between short calls, stay off
+    with threads(False):
+        return _encode_pieces(made, pieces, run)
+
+
+def _encode_pieces(made, pieces: list[str], run: int) -> tuple[np.ndarray, np.ndarray]:
     special = next(((str(t), i) for i, t in made.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)), None)
     if special is None or any(special[0] in p for p in pieces):
         lists = [e.ids for e in made.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -74,13 +101,30 @@ def recall_pieces(made, pieces: list[str], seen: dict[str, bytes], most: int = S
     return np.frombuffer(b"".join(got), "<u4"), np.cumsum([0, *map(len, got)]) // 4
 
 
+def byte_level(made) -> bool:
+    """Whether the tokenizer cuts texts as ``split_pieces`` takes for granted: the byte-level pattern on the text as it is."""
+    parts = json.loads(made.to_str())
+    before = parts["pre_tokenizer"] or {}
+    return parts["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+
+
 def split_pieces(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The pieces of all texts of a column, and the number of pieces before each text (n + 1)."""
     data, offsets = column_bytes(column)
     inner = np.zeros(data.size + 1, bool)
     if data.size > 2:
-        inner[1:-2] = (data[1:-1] == 32) & _SOLID[data[2:]]
+        solid = _SOLID[data[2:]]
+        for lead, seconds in _SECOND.items():
+            at = np.flatnonzero((data[2:-1] == lead) & (data[1:-2] == 32))
+            solid[at[~np.isin(data[at + 3], seconds)]] = True
+        inner[1:-2] = (data[1:-1] == 32) & solid
         inner[1:-1] |= _MARKS[data[1:]] & _LETTERS[data[:-1]]
+    if data.size > 5:
+        wide = np.zeros(data.size - 2, bool)  # where a mark of three bytes starts
+        for mark in map(str.encode, _WIDE_MARKS):
+            wide |= (data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2])
+        starts = np.flatnonzero(wide[3:]) + 3
+        inner[starts[_IDEOGRAPHS[data[starts - 3]]]] = True
     inner[offsets] = True
     cuts = np.flatnonzero(inner) if data.size else np.zeros(1, np.int64)
     pieces = pa.Array.from_buffers(pa.large_string(), cuts.size - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
@@ -93,9 +137,10 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, seen = tokenizer(path), seen_pieces(path)
+        splits = byte_level(made)
         for part in steps(gathered(batches, "text", BATCH_BYTES), "text", 2 * BATCH_BYTES):
             column = part.column("text")
-            pieces, before = split_pieces(column)
+            pieces, before = split_pieces(column) if splits else (pc.fill_null(column, ""), np.arange(len(column) + 1))
             coded = pieces.dictionary_encode()
             sizes = np.diff(recall_pieces(made, coded.dictionary.to_pylist(), seen)[1])
             totals = np.r_[0, np.cumsum(sizes[coded.indices.to_numpy()])]
