@@ -8,7 +8,7 @@ earlier in its own.  Verdicts are on the input, matches never cross documents, a
    hash.  The windows of one anchor are a run; runs whose hash occurs once in the corpus hold no repeat and end here.
    Runs equal in content collapse to the first of them: all windows of the others are repeats.
 2. Shards.  The text of the remaining runs (those whose anchor hash has different contents) is dealt by anchor hash; a hash with
-   very many is salted over several shards.  A shard's suffix array is refined as by Larsson and Sadakane (only groups that are
+   many is salted over several shards.  A shard's suffix array is refined as by Larsson and Sadakane (only groups that are
    still tied are sorted again, by the ranks of what follows, at depths 8, 16, 32, 64 and ``length``).  Kasai's bound on
    neighbouring positions, taken in blocks of positions, gives common prefixes; windows with a common prefix
    of ``length`` are one class, and all but its first are repeats.
@@ -16,6 +16,8 @@ earlier in its own.  Verdicts are on the input, matches never cross documents, a
    ranges of a 64-bit window hash, and within a range each shard's sorted run is merged with the others by binary search.
 4. The repeats' bytes are cut from their documents.
 
+Runs are equal in content if two independent 64-bit hashes of them agree, and windows of one anchor in different shards if a 64-bit hash of them does; within a shard bytes are compared.
+
 Null and short texts have no windows.  Rows that repeat an id with the same text are one document, and all keep the
 same bytes; ids must otherwise be unique.  A row with a null id is neither compared nor cut.  Extra columns pass through ``apply``.
 """
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ from cadenza.llm.common import column_bytes, long_rows, materialize, output, spa
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
-SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 4_096, 1 << 16
+SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 256, 1 << 16
 #: Bytes of text in one numpy step; its arrays then stay in a core's cache.
 STEP_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)
@@ -300,7 +303,30 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: in
     found = shard_repeats(texts.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(extract, "h long, runs long, doc long, at int, n int, bytes binary"), length, shard_runs)
     found = materialize(found, "found")
     every = same.union(found.where("n > 0").select("doc", "at", "n")).union(merge_shards(found))
-    return every.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    return joined_runs(every).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+
+
+def joined_runs(runs: DataFrame) -> DataFrame:
+    """doc, at and n of the fewest runs of windows that are those of ``runs``: what meets or overlaps becomes one, so a document has few, however many windows repeat."""
+    schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_doc, open_at, open_end = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last run, which the next batch may lengthen
+        for batch in batches:
+            doc, at, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("doc", "at", "n"))
+            doc, at, end = np.r_[open_doc, doc], np.r_[open_at, at], np.r_[open_end, at + n]
+            if not doc.size:
+                continue
+            place = np.cumsum(np.r_[0, doc[1:] != doc[:-1]])  # ends of earlier documents lie below those of later ones
+            reach = np.maximum.accumulate(end + (place << 32))
+            first = np.flatnonzero(np.r_[True, at[1:] + (place[1:] << 32) > reach[:-1]])
+            last = np.r_[first[1:], doc.size] - 1
+            doc, at, end = doc[first], at[first], reach[last] - (place[last] << 32)
+            open_doc, open_at, open_end = doc[-1:], at[-1:], end[-1:]
+            yield output(schema, doc=doc[:-1], at=at[:-1].astype(np.int32), n=(end - at)[:-1].astype(np.int32))
+        yield output(schema, doc=open_doc, at=open_at.astype(np.int32), n=(open_end - open_at).astype(np.int32))
+
+    return runs.select("doc", "at", "n").repartition("doc").sortWithinPartitions("doc", "at").mapInArrow(run, "doc long, at int, n int")
 
 
 def keep_mask(size: int, at: np.ndarray, n: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -313,10 +339,12 @@ def keep_mask(size: int, at: np.ndarray, n: np.ndarray, length: int = LENGTH) ->
 
 def _cut(part: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     data, offsets = column_bytes(part.column("text"))
-    for i, spans in enumerate(part.column("spans").to_pylist()):
+    lists = part.column("spans")
+    at, n = (lists.flatten().field(k).to_numpy().astype(np.int64) for k in (0, 1))
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64))
+    for i, (low, high) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
         own = data[offsets[i] : offsets[i + 1]]
-        at, n = (np.array([s[k] for s in spans or ()], np.int64) for k in ("at", "n"))
-        yield own, keep_mask(own.size, at, n, length)
+        yield own, keep_mask(own.size, at[low:high], n[low:high], length)
 
 
 def measure_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_runs: int = SHARD_RUNS) -> DataFrame:
