@@ -6,16 +6,17 @@ of the contexts one byte longer.  All depths are mixed so, and a text's code len
 
 1. Gathering.  Each task counts the words and the 5-byte strings (context and byte) of its training texts; strings of other
    texts go along with count 0.  Spark sums them, combined before the shuffle.
-2. Weighting.  Strings that share the two bytes before the last have the whole tree below depth 2 in common, and no more than
-   2 ** 24 members.  Each such group is weighted bottom-up in numpy; what depths 1 and 0 need (at most 256 * 255
-   sums) meets on the driver.  A second pass, with these, gives each string the log-probability of its last byte.  A node that training
+2. Weighting.  Strings that share the three bytes before the last have the whole tree below depth 3 in common, and no more than
+   2 ** 16 members.  Sorted by these bytes they stream through numpy, some such groups at a time, and are weighted bottom-up; the sums
+   that depth 2 needs are added up by Spark, and what depths 1 and 0 need (at most 256 * 255 sums) meets on the driver.  A second pass,
+   in which the nodes of depth 2 go before their strings, gives each string the log-probability of its last byte.  A node that training
    never reached is left out of the mixture, so its context one byte shorter decides.
-3. Scoring.  Texts are dealt into blocks of about ``BLOCK_BYTES`` by a hash of their id.  A block asks for each of its distinct
-   words and strings once, gets counts and log-probabilities by a join, and scores its texts.
+3. Scoring.  Texts are dealt into blocks of about ``BLOCK_BYTES`` by a hash of their id and text, each block a partition of its own (up to
+   ``MOST_PARTS``).  A block asks for each of its distinct words and strings once, gets counts and log-probabilities by a join, and scores its texts.
 
 A text ends with an end mark (byte 0xFF), whose probability counts; 0xFF stands before its start.  The base score is the
 add-one unigram score over lower-cased words and one end token.  Null texts count as empty.  Rows with a null id are in
-training and scored in block 0.  Repeated rows count and are scored each.  Extra columns are ignored.
+training and scored like any other.  Repeated rows count and are scored each.  Extra columns are ignored.
 Without a training text, counts are 0 and each binary decision has probability 1/2.
 """
 
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import column_bytes, long_rows, materialize, output, span_hashes, steps, word_spans
 
 DEPTH, BLOCK_BYTES, MARK = 4, 24 << 20, 255
+#: Strings weighted together, and the most partitions of blocks (further blocks share them).
+CHUNK, MOST_PARTS = 1 << 16, 20_000
 #: Bytes of text in one numpy step, whose arrays then stay in a core's cache; bits of a look-up table's slots.
 STEP_BYTES, SLOT_BITS = 1 << 18, 22
 WORDS, STRINGS, END = 0, 1, 0  # kinds of keys, and the key of the end token
@@ -178,9 +181,9 @@ class Level:
 
 
 def tree(key: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Depths 2 to DEPTH of the strings of one group, weighted."""
+    """Depths 3 to DEPTH of whole groups of strings, weighted."""
     byte, context = key & 255, key >> 8
-    levels = [Level(context & ((1 << 8 * depth) - 1), byte, n) for depth in range(2, DEPTH + 1)]
+    levels = [Level(context & ((1 << 8 * depth) - 1), byte, n) for depth in range(3, DEPTH + 1)]
     levels[-1].weighted = levels[-1].own
     for upper, deeper in zip(levels[-2::-1], levels[:0:-1]):
         upper.hang(deeper)
@@ -196,21 +199,72 @@ def mixture(estimates: list[np.ndarray], own: list[np.ndarray], weighted: list[n
     return p
 
 
+def _sum_by(ids: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    unique, at = np.unique(ids, return_inverse=True)
+    return unique, *(np.bincount(at, c, unique.size) for c in columns)
+
+
+def _streamed(rows: DataFrame) -> DataFrame:
+    """(third, key, n) with those of one pair of bytes before the last in one partition, in the order of the pairs and the byte before them (``third``)."""
+    pair = F.shiftright("key", 8).bitwiseAND(0xFFFF)
+    return rows.withColumn("pair", pair).repartition("pair").sortWithinPartitions("pair", "third").select("third", "key", "n")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays third, key and n of about ``size`` rows, cut where the pair or the third byte changes."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(tuple(batch.column(c).to_numpy() for c in ("third", "key", "n")))
+        rows += batch.num_rows
+        if rows < size:
+            continue
+        third, key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        group = (key >> 8 & 0xFFFF) << 16 | np.maximum(third, -1).astype(np.int64) & 0xFFFF  # the kinds of told rows are one group
+        changes = np.flatnonzero(group[1:] != group[:-1]) + 1
+        if changes.size:
+            cut = changes[-1]
+            yield third[:cut], key[:cut], n[:cut]
+            held, rows = [(third[cut:], key[cut:], n[cut:])], key.size - cut
+        else:
+            held = [(third, key, n)]
+    if rows:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+#: Kinds of rows that tell the sums of a node of depth 2, in the place of the third byte, so that they come before the strings.
+ZEROS, ONES, BELOW = -3, -2, -1
+_ROW = pa.schema([("third", pa.int16()), ("key", pa.int64()), ("n", pa.int64())])
+
+
 def log_probabilities(counted: DataFrame) -> DataFrame:
     """(key, value): the natural log-probability of the last byte of each string of ``counted`` (key, n) after the bytes before it."""
     spark = counted.sparkSession
-    grouped = counted.select("key", "n", F.shiftright(F.col("key"), 8).bitwiseAND(0xFFFF).cast("int").alias("pair"))
-    sums = pa.schema([("first", pa.int32()), ("node", pa.int32()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())])
-
-    def up(table: pa.Table) -> pa.Table:
-        key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-        two = tree(key, n)[0]
-        return pa.table({"first": (two.ids >> 8 & 255).astype(np.int32), "node": (two.ids & 255).astype(np.int32), "zeros": two.n[0].astype(float), "ones": two.n[1].astype(float), "below": two.weighted}, sums)
-
+    strings_ = counted.select(F.shiftright("key", 24).bitwiseAND(0xFF).cast("short").alias("third"), "key", "n")
+    sums = pa.schema([("node", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())])
+    tops = pa.schema([("node", pa.int32()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())])
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, key, n in _groups(batches):
+            three = tree(key, n)[0]
+            node, zeros, ones, below = _sum_by(three.ids & 0xFFFFFF, three.n[0], three.n[1], three.weighted)
+            yield output(sums, node=node, zeros=zeros, ones=ones, below=below)
+
+    def upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, zeros, ones, below = (batch.column(c).to_numpy() for c in sums.names)
+            node, zeros, ones, below = _sum_by(node & 0xFFFF, zeros, ones, weigh(log_kt(zeros, ones), below))
+            yield output(tops, node=node.astype(np.int32), zeros=zeros, ones=ones, below=below)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, c in ((ZEROS, "zeros"), (ONES, "ones"), (BELOW, "below")):
+                yield output(_ROW, third=np.full(batch.num_rows, kind, np.int16), key=batch.column("node"), n=batch.column(c).to_numpy().view(np.int64))
+
+    added = lambda df: df.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
+    twos = materialize(added(_streamed(strings_).mapInArrow(up, "node long, zeros double, ones double, below double")), "nodes")
     top = np.zeros((3, 256, 256))  # zeros, ones, and the product below, by the byte before and the node
-    summed = grouped.groupBy("pair").applyInArrow(up, "first int, node int, zeros double, ones double, below double")
-    for r in summed.groupBy("first", "node").agg(F.sum("zeros"), F.sum("ones"), F.sum("below")).collect():  # 256 * 255 rows at most
-        top[:, r[0], r[1]] = r[2:]
+    for r in added(twos.mapInArrow(upper, "node int, zeros double, ones double, below double")).collect():  # 256 * 255 rows at most
+        top[:, r["node"] >> 8, r["node"] & 255] = r["zeros"], r["ones"], r["below"]
     one_own = log_kt(top[0], top[1])
     one_weighted = weigh(one_own, top[2])
     root = top[:2].sum(1)
@@ -218,21 +272,36 @@ def log_probabilities(counted: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((top[:2], one_own, one_weighted, root, root_own, weigh(root_own, one_weighted.sum(0))))
     valued = pa.schema([("key", pa.int64()), ("value", pa.float64())])
 
-    def down(table: pa.Table) -> pa.Table:
-        key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-        levels = tree(key, n)
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, one_own, one_weighted, root, root_own, root_weighted = shared.value
-        first, node, bit = key[0] >> 8 & 255, levels[0].ids[levels[0].of] & 255, levels[0].bit
-        kt = lambda held: (np.where(bit, held[1][node], held[0][node]) + 0.5) / (held.sum(0)[node] + 1)
-        p = mixture(
-            [kt(root), kt(one[:, first]), *(x.estimate() for x in levels)],
-            [root_own[node], one_own[first][node], *(x.own[x.of] for x in levels)],
-            [root_weighted[node], one_weighted[first][node], *(x.weighted[x.of] for x in levels)],
-            [root.sum(0)[node] > 0, one[:, first].sum(0)[node] > 0, *(x.n.sum(0)[x.of] > 0 for x in levels)],
-        )
-        return pa.table({"key": key, "value": np.log(p).sum(0)}, valued)
-
-    return grouped.groupBy("pair").applyInArrow(down, "key long, value double")
+        ids, known = np.zeros(0, np.int64), np.zeros((3, 0))  # nodes of depth 2 that strings to come may need: zeros, ones, below
+        for third, key, n in _groups(batches):
+            rows = [key[third == kind] for kind in (ZEROS, ONES, BELOW)]
+            by = [np.argsort(r) for r in rows]
+            fresh = np.array([n[third == kind][b].view(np.float64) for kind, b in zip((ZEROS, ONES, BELOW), by, strict=True)]).reshape(3, -1)
+            ids, known = np.r_[ids, rows[0][by[0]]], np.concatenate([known, fresh], axis=1)
+            key, n = key[third >= 0], n[third >= 0]
+            if not key.size:
+                continue
+            two_own = log_kt(known[0], known[1])
+            two_weighted = weigh(two_own, known[2])
+            levels = tree(key, n)
+            bit, three = levels[0].bit, levels[0].ids[levels[0].of]
+            node, first = three & 255, np.broadcast_to(key >> 8 & 255, three.shape)
+            at = np.searchsorted(ids, three & 0xFFFFFF)
+            kt = lambda zeros, ones, bit=bit: (np.where(bit, ones, zeros) + 0.5) / (zeros + ones + 1)
+            p = mixture(
+                [kt(root[0][node], root[1][node]), kt(one[0][first, node], one[1][first, node]), kt(known[0][at], known[1][at]), *(x.estimate() for x in levels)],
+                [root_own[node], one_own[first, node], two_own[at], *(x.own[x.of] for x in levels)],
+                [root_weighted[node], one_weighted[first, node], two_weighted[at], *(x.weighted[x.of] for x in levels)],
+                [root.sum(0)[node] > 0, one.sum(0)[first, node] > 0, known[:2].sum(0)[at] > 0, *(x.n.sum(0)[x.of] > 0 for x in levels)],
+            )
+            yield output(valued, key=key, value=np.log(p).sum(0))
+            keep = ids >> 8 == key[-1] >> 8 & 0xFFFF  # the last pair's strings may go on
+            ids, known = ids[keep], known[:, keep]
+
+    both = strings_.unionByName(twos.mapInArrow(told, "third short, key long, n long"))
+    return _streamed(both).mapInArrow(down, "key long, value double")
 
 
 def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -244,7 +313,9 @@ def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_i
     known = counted.where((F.col("kind") == WORDS) & (F.col("n") > 0)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = known["n"], known["v"]
     blocks = math.ceil((rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 1) / block_bytes)
-    dealt = rows.select("id", "text", F.coalesce(F.pmod(F.xxhash64("id"), F.lit(blocks)), F.lit(0)).cast("int").alias("block"))
+    parts = min(blocks, MOST_PARTS)
+    apart = lambda df: df.withColumn("slot", F.pmod("block", F.lit(parts)).cast("int")).repartitionById(parts, "slot")
+    dealt = apart(rows.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int").alias("block")))
     asked = pa.schema([("block", pa.int32()), ("kind", pa.int8()), ("key", pa.int64())])
 
     def ask(table: pa.Table) -> pa.Table:
@@ -261,7 +332,7 @@ def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_i
         return pa.table({"block": np.full(size, table.column("block")[0].as_py(), np.int32), "kind": np.repeat(np.array(list(keys), np.int8), [k.size for k in keys.values()]), "key": np.concatenate(list(keys.values()))}, asked)
 
     table = counted.where(F.col("kind") == WORDS).select("kind", "key", F.col("n").cast("double").alias("value")).union(values.select(F.lit(STRINGS).cast("byte").alias("kind"), "key", "value"))
-    answers = dealt.groupBy("block").applyInArrow(ask, "block int, kind byte, key long").join(table, ["kind", "key"]).select("block", "kind", "key", "value")
+    answers = apart(dealt.groupBy("slot", "block").applyInArrow(ask, "block int, kind byte, key long").join(table, ["kind", "key"]).select("block", "kind", "key", "value"))
     scored = pa.schema([(key, pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
     def tell(texts: pa.Table, held: pa.Table) -> pa.Table:
@@ -285,5 +356,5 @@ def score(docs: DataFrame, trains: Column, text: str = "text", key: str = "doc_i
             done.append(output(scored, **{key: part.column("id")}, n_tokens=n_words + 1, n_known=n_known, base_score=base, score=whole / _LN10, bits_per_byte=bits))
         return pa.Table.from_batches(done, scored)
 
-    out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tell, f"{key} long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
+    out = dealt.groupBy("slot", "block").cogroup(answers.groupBy("slot", "block")).applyInArrow(tell, f"{key} long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
     return out.withColumn("train_tokens", F.lit(total).cast("long"))
