@@ -117,6 +117,23 @@ def test_quality_apply(docs, empty):
     assert quality.apply(twice).count() == 2 * quality.apply(docs.where("doc_id < 20")).count()
 
 
+def test_quality_of_rows_without_sound_ids(spark):
+    """Repeated rows count once; rows with a null id, or of one id with other texts, are judged apart."""
+    tail = lambda k: f"subscribe to our letter right now\n" + " ".join(f"w{k}x{i}" for i in range(10))
+    many = [(i, tail(i), "h") for i in range(12)]
+    df = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("host", F.lit("clash"))
+    got = collections.Counter((r.doc_id, r.n_boilerplate, r.kept) for r in quality.verdicts(df([*many, many[5]])).collect())
+    assert got == collections.Counter([(0, 0, True), (5, 6, True), *((i, 6, True) for i in range(1, 12))])
+    short, fine = "too short", "a quite ordinary text of more than ten words stands in this row"
+    assert [r.text for r in quality.apply(df([(None, short, "h"), (None, fine, "h")])).collect()] == [fine]
+    assert [r.text for r in quality.apply(df([(1, short, "h"), (1, fine, "h")])).collect()] == [fine]
+    unnamed = [(None, t, h) for _, t, h in many]
+    kept = quality.apply(df(unnamed)).collect()
+    assert len(kept) == 12 and sum("subscribe" in r.text for r in kept) == 1
+    copies = quality.verdicts(df([(i, many[0][1], "h") for i in range(11)])).collect()  # documents are counted, not texts
+    assert {(r.doc_id, r.kept) for r in copies} == {(i, i == 0) for i in range(11)}
+
+
 # 3 token files
 
 
@@ -133,20 +150,49 @@ def test_token_files(spark, docs, corpus, empty, tmp_path):
     assert sorted(r.start for r in ans.round_trip(twice, WORD_BPE, str(tmp_path / "c")).collect())[2] == got[1].n_tokens + got[2].n_tokens
 
 
-@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 200_000])
+@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 300_000])
 def test_blocks(n):
     ids = np.random.default_rng(n).zipf(1.3, n) % 40_000
     freq = ans.scale(np.bincount(ids, minlength=1 << 16))
     assert freq.sum() == 1 << ans.SCALE
-    block = ans.encode_block(ids, freq)
-    assert np.array_equal(ans.decode_block(block, freq), ids)
-    if n > ans.LANES * ans.EVERY:  # any checkpoint is a start
-        assert np.array_equal(ans.decode_block(block, freq, 1, 2), ids[ans.LANES * ans.EVERY :][: ans.LANES * ans.EVERY])
-    if n > 1:
-        broken = bytearray(block)
+    sections = ans.encode_block(ids, freq)
+    every = ans.LANES * ans.EVERY
+    assert len(sections) == -(-n // every)
+    for k, section in reversed(list(enumerate(sections))):  # any checkpoint is a start
+        assert np.array_equal(ans.decode_section(section, freq), ids[k * every : (k + 1) * every])
+        broken = bytearray(section)
         broken[len(broken) // 2] ^= 1
         with pytest.raises(ValueError, match="checksum"):
-            ans.decode_block(bytes(broken), freq)
+            ans.decode_section(bytes(broken), freq)
+
+
+def test_a_folder_is_read_alone(spark, tmp_path):
+    """Long documents over several blocks and parts, null and repeated ids; another session reads the folder; a spoiled table is refused."""
+    rnd = random.Random(3)
+    long = " ".join(rnd.choice("abc xyz quiet river stone".split()) for _ in range(300_000))
+    rows = [(5, "a b c"), (None, "first"), (None, "again"), (None, None), (7, long), (7, "x"), (8, "tail"), (7, "x")]
+    folder = str(tmp_path / "f")
+    ans.write(spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash")), WORD_BPE, folder)
+    got = ans.read_blocks(folder, spark.newSession()).collect()
+    made = token_counts.tokenizer(WORD_BPE)
+    ids = lambda t: np.array([*made.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == sorted((str(i), ids(t).size, zlib.crc32(ids(t))) for i, t in rows)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [None, None, None, 5, 7, 7, 7, 8]
+    assert spark.read.parquet(f"{folder}/blocks").count() > 1
+    table = spark.read.parquet(f"{folder}/table")
+    table.withColumn("frequencies", F.concat(F.col("frequencies"), F.lit(b"abcd"))).write.parquet(f"{folder}2/table")
+    with pytest.raises(ValueError, match="table"):
+        ans.read_table(spark, f"{folder}2")
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 1000, 100_001])
+def test_checksums_combine(n):
+    a, b = random.Random(n).randbytes(50), random.Random(n + 1).randbytes(n)
+    assert ans.crc32_shift(zlib.crc32(a), n) ^ zlib.crc32(b) == zlib.crc32(a + b)
 
 
 # 4 context-tree weighting
@@ -214,6 +260,26 @@ def test_context_tree(spark):
             assert math.isclose(got[i].score, sequential_ctw(train, (t or "").encode()), rel_tol=1e-6, abs_tol=1e-6), i
 
 
+def test_context_tree_of_rows_without_sound_ids(spark):
+    df = spark.createDataFrame([(None, "ab ab"), (None, "bca"), (1, "ab ab"), (1, "ab ab"), (1, None)], "doc_id long, text string").withColumn("kind", F.lit("clash"))
+    got = ctw.score(df, F.lit(True), block_bytes=4).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [("1", 1), ("1", 3), ("1", 3), ("None", 2), ("None", 3)]
+    assert len({round(r.score, 9) for r in got if r.n_tokens == 3}) == 1 and {r.train_tokens for r in got} == {12}
+
+
+def test_context_trees_stream_alike(spark, monkeypatch):
+    """Groups cut into chunks of any size give the same values."""
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(i, "".join(rnd.choice("abc \n") for _ in range(400))) for i in range(20)], "doc_id long, text string")
+    rows = lambda: {r.key: r.value for r in ctw.log_probabilities(ctw.gather(df.select("text", F.lit(True).alias("trains"))).where("kind = 1").select("key", "n")).collect()}
+    whole = rows()
+    groups = ctw._groups
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    monkeypatch.setattr(ctw, "_groups", lambda batches: groups(batches, 7))
+    small = rows()
+    assert whole.keys() == small.keys() and all(math.isclose(whole[k], small[k], rel_tol=1e-9) for k in whole)
+
+
 def test_context_tree_of_nothing(empty, docs):
     assert ctw.score(empty, F.lit(True)).count() == 0
     some = docs.where("doc_id in (1, 500)")
@@ -244,6 +310,15 @@ def test_repeats(docs, corpus, shard_runs):
     assert got == brute_repeats(corpus)
 
 
+def test_runs_are_joined(spark):
+    rnd = random.Random(17)
+    rows = [(rnd.randrange(5), rnd.randrange(300), rnd.randrange(1, 9)) for _ in range(400)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    got = [(r.doc, r.at, r.n) for r in suffix_dedup.joined_runs(spark.createDataFrame(rows, "doc long, at int, n int")).collect()]
+    windows = {(d, p) for d, at, n in rows for p in range(at, at + n)}
+    assert {(d, p) for d, at, n in got for p in range(at, at + n)} == windows and len(got) == sum((d, p - 1) not in windows for d, p in windows)
+
+
 def test_repeats_edges(spark, docs, empty):
     assert suffix_dedup.measure_cuts(empty).count() == 0
     assert all(r.n_removed == 0 for r in suffix_dedup.measure_cuts(docs.where("doc_id = 7").union(docs.where("doc_id = 7"))).collect())
@@ -291,6 +366,30 @@ def test_chat_windows(spark):
     assert chat.digests(chat.format_windows(df.where("false"))).count() == 0
 
 
+def test_no_window_is_over_budget(spark):
+    rnd = random.Random(12)
+    rows = []
+    for c in range(60):
+        n = rnd.choice((1, 3, 12, 40, 600 if c == 7 else 5))
+        size = lambda: rnd.choice((0, 5, 90, 400, 1500, 3000, 9000 if c % 10 == 0 else 10))  # noqa: E731, B023
+        for k in range(n):
+            role = "system" if (k == 0 and c % 2) or (c % 7 == 3 and k in (2, 5)) else "user" if k % 2 else "assistant"
+            rows.append((c, k, role, "".join(rnd.choice("ab <[&é日") for _ in range(size()))))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("n", F.lit("clash"))
+    windows = chat.format_windows(df).withColumn("own", F.size(chat.read_turns(F.col("formatted"), F.col("n_context")))).cache()
+    for r in windows.collect():
+        assert math.ceil(len(r.formatted.encode()) / 4) <= r.n_tokens and (r.n_tokens <= chat.BUDGET or (r.over_budget and r.own == 1 and r.n_context <= 1))
+        assert len(r.formatted) / 4 <= chat.BUDGET or r.over_budget
+    assert windows.where("over_budget").count() > 0 and windows.where("n_context > 1").count() > 10
+    full = windows.where(f"n_tokens > 0.6 * {chat.BUDGET}").count()
+    assert full > windows.count() / 3
+    digest = by_id(chat.digests(windows), "conv_id")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for c in range(60):
+        own = [r for r in rows if r[0] == c]
+        assert digest[c].turns_sha256 == sha("".join(f"{r}\n{t}\n" for _, _, r, t in own)) and digest[c].loss_sha256 == sha("".join(t for _, _, r, t in own if r == "assistant"))
+
+
 # 7 decontamination
 
 
@@ -307,7 +406,7 @@ def test_decontamination(spark, empty):
     got = {(r.doc_id, r.item_id): (r.n_matches, r.n_overlap) for r in decontam.contaminated(docs, bench).collect()}
     assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 4), (5, 5), (6, 0), (7, 0)}
     assert got[1, 0] == (40, 40) and got[3, 2] == (15, 15) and got[2, 1][0] >= 33
-    assert {r.doc_id for r in decontam.clean(docs, bench).collect()} == {0, 4, 8, 9, None}
+    assert {r.doc_id for r in decontam.clean(docs, bench).collect()} == {0, 4, 8, 9}  # a row without an id is judged too
     assert decontam.contaminated(docs, bench.where("false")).count() == decontam.contaminated(docs.where("false"), bench).count() == 0
     assert decontam.contaminated(docs.union(docs), bench).count() == len(got)
 
@@ -329,6 +428,65 @@ def test_decontamination_without_spaces_and_of_short_items(spark):
     assert cut(["été’s x", "", None, "日本", "日a本é語", "é", "ก"]) == [0, 3, 3, 3, 5, 10, 11, 12]
 
 
+def brute_overlaps(docs, items, least=10, identity=0.7):
+    """All (document, item) with a segment of a diagonal that is an overlap."""
+    out = set()
+    for d, t in docs:
+        for i, u in items:
+            a, b = t.split(), u.split()
+            for diagonal in range(-len(b) + 1, len(a)):
+                same = [a[k + diagonal] == b[k] for k in range(max(0, -diagonal), min(len(b), len(a) - diagonal))]
+                sums = np.r_[0, np.cumsum(same)]
+                low, high = np.triu_indices(len(same) + 1, 1)
+                n = sums[high] - sums[low]
+                if ((n >= min(least, len(b))) & (n >= identity * (high - low) - 1e-9)).any():
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    rnd = random.Random(31)
+    vocab = [f"w{i}" for i in range(3000)]
+    text = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    items = [(i, text(rnd.choice((12, 30, 60)))) for i in range(25)] + [(30, text(330))]
+    docs = []
+    for k in range(60):
+        item = rnd.choice(items[:25])[1]
+        low = rnd.randrange(max(1, len(item) - 12))
+        piece = list(item[low : low + rnd.choice((8, 12, 40))])
+        for _ in range(int(len(piece) * rnd.choice((0, 0.1, 0.2)))):
+            piece[rnd.randrange(len(piece))] = "zzz"
+        docs.append((k, text(30) + piece + text(30)))
+    chained = [w if k % 16 < 11 else f"other{k}" for k, w in enumerate(items[-1][1])]  # blocks of 11 equal tokens, 5 others between
+    docs += [(100, chained), (101, chained[:11] + text(20)), (102, text(80))]
+    docs, items = ([(i, " ".join(w)) for i, w in x] for x in (docs, items))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute_overlaps(docs, items)
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()}
+    assert got == want and {(100, 30), (101, 30)} <= want and len(want) > 30
+
+
+def test_decontamination_of_rows_without_sound_ids(spark):
+    rnd = random.Random(32)
+    words = lambda n: " ".join(f"v{rnd.randrange(5000)}" for _ in range(n))
+    item, other, fine = words(30), words(30), words(50)
+    rows = [(1, fine), (1, f"{words(9)} {item}"), (None, f"{item} {words(9)}"), (None, fine), (2, other), (2, other), (3, fine)]
+    bench = spark.createDataFrame([(0, item), (0, other), (None, fine)], "item_id long, text string")
+    kept = decontam.clean(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", fine), ("None", fine), ("3", fine)])
+
+
+def test_widest_segment():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        same = rng.random(rng.integers(1, 30)) < rng.random()
+        sums = np.r_[0, np.cumsum(same)]
+        ok = [(sums[b] - sums[a], a - b, -a, b) for a in range(same.size) for b in range(a + 1, same.size + 1) if same[a] and same[b - 1] and sums[b] - sums[a] >= 0.7 * (b - a) - 1e-9]
+        best = max(ok, default=None)
+        assert decontam.widest_segment(same, 0.7) == ((-best[2], best[3]) if best else (0, 0))
+
+
 # 8 pieces
 
 
@@ -347,6 +505,23 @@ def test_pieces(docs, corpus, empty):
     assert piece.encode_decode(empty, PIECES).count() == piece.add_pieces(empty, PIECES).count() == 0
 
 
+def test_the_rebuilt_tokenizer_agrees_on_every_word(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    units = [r.u for r in docs.select(F.explode(F.split("text", " ")).alias("u")).distinct().collect() if r.u]
+    units += ["a" * 9, "ab" * 5, "ana" * 4, "\n\n\n", "日本語", "\u0301", "=====", "x" * 300]
+    made = piece.codec(PIECES)
+    fast = [e.ids for e in made.fast.encode_batch_fast(units, add_special_tokens=False)]
+    assert [u for u, a, b in zip(units, fast, made.own.encode(units)) if a != b and not piece.may_tie(u)] == []
+    ids = np.array([i for x in fast for i in x])
+    data, offsets = made.decode(ids, np.cumsum([0, *map(len, fast)]))
+    assert [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])] == made.fast.decode_batch(fast, skip_special_tokens=False)
+
+
+def test_pieces_of_rows_without_sound_ids(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, "c"), (1, "a b"), (1, "a b"), (1, None)], "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
+    assert sorted((str(r.doc_id), r.n_tokens) for r in piece.encode_decode(df, PIECES).collect()) == [("1", 0), ("1", 2), ("1", 2), ("None", 1), ("None", 2)]
+
+
 def test_a_unigram_model():
     from sentencepiece import SentencePieceProcessor
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -388,6 +563,20 @@ def test_safe_boundaries(corpus):
     assert [sum(sizes[a:b]) for a, b in zip(before, before[1:])] == whole
 
 
+def test_long_texts_of_any_script_are_split(spark):
+    rnd = random.Random(3)
+    words = lambda low, span, n, size, gap: gap.join("".join(chr(low + rnd.randrange(span)) for _ in range(size)) for _ in range(n))
+    texts = [words(0xAC00, 11172, 9000, 3, " "), words(0x905, 50, 9000, 5, " "), words(0x4E00, 20000, 4000, 12, "，"), words(0x4E00, 20000, 4000, 12, "。"), words(0x3041, 80, 900, 9, "、"), "ー。！？、 　日本　 語 ，x，日" * 50]
+    made = token_counts.tokenizer(BYTE_BPE)
+    parts, before = token_counts.split_pieces(pa.array(texts))
+    assert (np.diff(before)[:4] > [8000, 8000, 3000, 3000]).all() and max(len(p.encode()) for p in parts.to_pylist()[: before[4]]) < 200
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (None, None), (1, texts[1])], "doc_id long, text string").withColumn("n_bytes", F.lit("clash"))
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(df, BYTE_BPE).collect())
+    count = [len(made.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert got == collections.Counter([*enumerate(count), (None, count[0]), (None, 0), (1, count[1])])
+    assert token_counts.byte_level(made) and not token_counts.byte_level(token_counts.tokenizer(WORD_BPE))
+
+
 # 10 SimHash
 
 
@@ -431,6 +620,22 @@ def test_links_over_many_shards(spark):
     assert {k: roots.get(k, k) for k in prints} == want
 
 
+def test_near_duplicates_of_rows_without_sound_ids(spark):
+    """Rows of one id with different texts are judged apart; repeated rows go together; rows without an id stay."""
+    rnd = random.Random(14)
+    a, b = (" ".join(f"u{rnd.randrange(900)}" for _ in range(60)) for _ in range(2))
+    df = spark.createDataFrame([(1, a), (2, a), (2, a), (2, b), (None, a), (None, b)], "doc_id long, text string").withColumn("fp", F.lit("clash"))
+    want = sorted([("1", a), ("2", b), ("None", a), ("None", b)])
+    for kept in (simhash_vp.drop_near_duplicates(df), simhash_vp.drop_similar(df)):
+        assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == want and kept.columns == df.columns
+
+
+def test_what_the_driver_sees_does_not_grow_with_partitions(spark):
+    df = spark.range(20_000).select(F.xxhash64("id").alias("fp"))
+    seen = [simhash_vp.links(df.repartition(n), sample=500).count() for n in (1, 64)]
+    assert seen[0] == seen[1]
+
+
 def test_a_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 99)], "a long, b long")
     roots = {r.node: r.root for r in simhash_vp.components(edges).collect()}
