@@ -23,7 +23,8 @@ tree above and shared shingles give candidates, and only pairs whose sets are si
 2. Of a pair, the counts of its sets' shingles in a few hundred cells differ by no more than there are shingles in
    one set only; that drops most pairs whose sets aren't similar before the sets are fetched and compared.
 3. Links of the tree, and of each class to its block's smallest, are verified and give components.
-4. In blocks that hold several components, all pairs across components are verified.  So components are exact.
+4. In blocks that hold several components, pairs across components are verified, unless what follows their first common shingle in
+   the order can't be enough: the smaller of two similar sets has it among its first n - ceil(2 t / (1 + t) n) + 1.  So components are exact.
 """
 
 from __future__ import annotations
@@ -282,15 +283,18 @@ def _fixed(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), rows.shape[0], [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether a shingle is among the first of its set that a similar set can't miss; ``frequent`` (ascending) come last."""
+def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which shingles are among the first of their set that a similar set can't miss, and the place of every shingle in its set; ``frequent`` (ascending) come last.  A place
+    p is given as -p - 1 where no similar set that is as large or larger has its first common shingle there."""
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(sizes.size), sizes)
     order = np.lexsort((hashes, np.isin(hashes, frequent), owner))
-    most = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
-    out = np.zeros(hashes.size, bool)
-    out[order] = np.arange(hashes.size) - bounds[owner] < most[owner]
-    return out
+    least = lambda share: (sizes - np.ceil(share * sizes - 1e-9).astype(np.int64) + 1)[owner]
+    place = np.arange(hashes.size) - bounds[owner]
+    inside, at = np.zeros(hashes.size, bool), np.zeros(hashes.size, np.int32)
+    inside[order] = place < least(similarity)
+    at[order] = np.where(place < least(2 * similarity / (1 + similarity)), place, -place - 1)
+    return inside, at
 
 
 def _marks(picked: DataFrame, size: int) -> DataFrame:
@@ -307,8 +311,8 @@ def _marks(picked: DataFrame, size: int) -> DataFrame:
 
 
 def _shingles(picked: DataFrame, size: int, similarity: float, frequent: np.ndarray | None) -> DataFrame:
-    """(hash, class): the prefixes of all sets, or the whole sets of the sample if ``frequent`` is None."""
-    schema = pa.schema([("hash", pa.int64()), ("class", pa.int64())])
+    """(hash, class, at): the prefixes of all sets with their places, or the whole sets of the sample if ``frequent`` is None."""
+    schema = pa.schema([("hash", pa.int64()), ("class", pa.int64()), ("at", pa.int32())])
     common = None if frequent is None else picked.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,10 +322,11 @@ def _shingles(picked: DataFrame, size: int, similarity: float, frequent: np.ndar
             once = np.zeros(of.size, bool)
             once[np.unique(of, return_index=True)[1]] = True
             owner = np.repeat(of, np.diff(bounds))
-            keep = (owner % SHINGLES_OF == 0 if common is None else prefixes(hashes, bounds, common.value, similarity)) & np.repeat(once, np.diff(bounds))
-            yield output(schema, **{"hash": hashes[keep].view(np.int64), "class": owner[keep]})
+            keep, at = (owner % SHINGLES_OF == 0, np.zeros(hashes.size, np.int32)) if common is None else prefixes(hashes, bounds, common.value, similarity)
+            keep &= np.repeat(once, np.diff(bounds))
+            yield output(schema, **{"hash": hashes[keep].view(np.int64), "class": owner[keep], "at": at[keep]})
 
-    return picked.mapInArrow(run, "hash long, class long")
+    return picked.mapInArrow(run, "hash long, class long, at int")
 
 
 def _sets(picked: DataFrame, size: int) -> DataFrame:
@@ -373,11 +378,11 @@ def _set_components(docs: DataFrame, text: str, key: str, size: int, similarity:
     marked = materialize(_marks(picked, size), "marks")
     classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("cells").alias("cells"), F.min("key").alias("least")), "classes")
 
-    often = _shingles(picked, size, similarity, None).distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
+    often = _shingles(picked, size, similarity, None).select("hash", "class").distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
     frequent = np.sort(often.select("hash").toArrow().column("hash").to_numpy().view(np.uint64))
     block = Window.partitionBy("hash")
-    first = _shingles(picked, size, similarity, frequent).withColumns({"least": F.min("class").over(block), "most": F.max("class").over(block)})
-    blocks, drop_blocks = scratch(first.where("least <> most").select("hash", "class", "least").distinct(), "blocks")
+    first = _shingles(picked, size, similarity, frequent).withColumns({"least": F.min("class").over(block), "most": F.max("class").over(block), "first": F.max("at").over(block)})
+    blocks, drop_blocks = scratch(first.where("least <> most and first >= 0").select("hash", "class", "least", "at").distinct(), "blocks")
 
     by_fp = materialize(classes.groupBy("fp").agg(F.min("class").alias("least")), "distinct")
     near = links(by_fp, limit, sample)
@@ -386,13 +391,16 @@ def _set_components(docs: DataFrame, text: str, key: str, size: int, similarity:
     tried = near.union(blocks.select("class", "least")).where("a <> b").distinct()
     sure = _verified(tried, classes, picked, size, similarity)
     roots = components(sure)
-    parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", F.coalesce("root", "class").alias("part"))
+    parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", "at", F.coalesce("root", "class").alias("part"))
     mixed = parts.groupBy("hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("hash")
     open_, drop_open = scratch(parts.join(mixed, "hash").join(classes.select("class", "n"), "class"), "open")
     drop_blocks()
-    left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n"))) for side in "ab")
-    fits = (F.col("part_a") < F.col("part_b")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9)
-    across = left.join(right, "hash").where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n", "at"))) for side in "ab")
+    # of a pair, the set of fewer shingles (of equals the smaller class) stands left; what can follow their first common shingle must be enough
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.when(F.col("at_b") < 0, -F.col("at_b") - 1).otherwise(F.col("at_b")))
+    fits = (F.col("part_a") != F.col("part_b")) & (F.struct("n_a", "class_a") < F.struct("n_b", "class_b")) & (F.col("n_a") >= similarity * F.col("n_b") - 1e-9)
+    fits &= rest >= similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    across = left.where("at_a >= 0").join(right, "hash").where(fits).select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b")).distinct()
     edges = sure.union(_verified(across, classes, picked, size, similarity))
     roots = components(edges)
     drop_open()
