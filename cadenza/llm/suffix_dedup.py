@@ -37,7 +37,7 @@ from cadenza.llm.common import column_bytes, long_rows, materialize, output, spa
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
-SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 256, 1 << 16
+SHARD_BYTES, SHARD_RUNS, RANGE_ROWS = 1 << 19, 256, 1 << 15
 #: Bytes of text in one numpy step; its arrays then stay in a core's cache.
 STEP_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)
@@ -192,13 +192,13 @@ def spans_of(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[first], at[first], np.diff(np.r_[first, doc.size])
 
 
-_FOUND = "h long, runs long, shard int, w long, doc long, at int, n int"
+_FOUND = "h long, range long, shard int, doc long, at int, n int, places array<int>, hashes array<long>"
 
 
-def shard_repeats(runs: DataFrame, length: int = LENGTH, shard_runs: int = SHARD_RUNS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Repeated windows within shards (runs of n from ``at``), and for salted hashes the first windows of classes (n = 0) with a hash w of each.
-    ``runs``: h, runs (how many of the hash), doc, at, n, bytes."""
-    schema = pa.schema([("h", pa.int64()), ("runs", pa.int64()), ("shard", pa.int32()), ("w", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
+def shard_repeats(runs: DataFrame, length: int = LENGTH, shard_runs: int = SHARD_RUNS, shard_bytes: int = SHARD_BYTES, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Repeated windows within shards (runs of n from ``at``), and for salted hashes the first windows of classes (n = 0): by run and range of the merge, their places after
+    ``at`` and a hash of each.  ``runs``: h, runs (how many of the hash), doc, at, n, bytes."""
+    schema = pa.schema([("h", pa.int64()), ("range", pa.int64()), ("shard", pa.int32()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("places", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))])
 
     def judge(table: pa.Table) -> Iterator[pa.RecordBatch]:
         data, offsets = column_bytes(table.column("bytes").combine_chunks() if table.column("bytes").num_chunks != 1 else table.column("bytes").chunk(0))
@@ -212,15 +212,25 @@ def shard_repeats(runs: DataFrame, length: int = LENGTH, shard_runs: int = SHARD
         opens = np.r_[True, number[by][1:] != number[by][:-1]]
         repeat = by[~opens]
         d, a, k = spans_of(doc[repeat], at[repeat])
-        zero = np.zeros(d.size, np.int64)
-        yield output(schema, h=zero, runs=zero, shard=zero.astype(np.int32), w=zero, doc=d, at=a.astype(np.int32), n=k.astype(np.int32))
+        none, empty = pa.nulls(d.size, pa.int64()), pa.nulls(d.size, pa.list_(pa.int64()))
+        yield output(schema, h=none, range=none, shard=none.cast(pa.int32()), doc=d, at=a.astype(np.int32), n=k.astype(np.int32), places=empty.cast(pa.list_(pa.int32())), hashes=empty)
         of = np.repeat(np.arange(n.size), n)
+        runs = table.column("runs").to_numpy()
         first = by[opens]
-        first = first[table.column("runs").to_numpy()[of[first]] > shard_runs]
+        first = np.sort(first[runs[of[first]] > shard_runs])
         if first.size:
-            w = span_hashes(data, window[first], window[first] + length)
-            row = of[first]
-            yield output(schema, h=table.column("h").to_numpy()[row], runs=table.column("runs").to_numpy()[row], shard=table.column("shard").to_numpy()[row].astype(np.int32), w=w.view(np.int64), doc=doc[first], at=at[first].astype(np.int32), n=np.zeros(first.size, np.int32))
+            w, row = span_hashes(data, window[first], window[first] + length), of[first]
+            ranges = (w % np.ceil(runs[row] * 64 / range_rows).astype(np.uint64)).astype(np.int64)
+            order = np.lexsort((first, ranges, row))
+            w, row, ranges, places = w[order], row[order], ranges[order], inner[first][order]
+            cut = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (ranges[1:] != ranges[:-1])])
+            ends = pa.array(np.r_[cut, w.size].astype(np.int32))
+            held = table.select(["h", "shard", "doc", "at"]).take(pa.array(row[cut])).combine_chunks()
+            column = lambda c: held.column(c).combine_chunks()
+            yield output(
+                schema, h=column("h"), range=ranges[cut], shard=column("shard"), doc=column("doc"), at=column("at"), n=np.zeros(cut.size, np.int32),
+                places=pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32))), hashes=pa.ListArray.from_arrays(ends, pa.array(w.view(np.int64))),
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -244,12 +254,16 @@ def shard_repeats(runs: DataFrame, length: int = LENGTH, shard_runs: int = SHARD
     return dealt.select("h", "runs", "shard", "doc", "at", "n", "bytes").mapInArrow(run, _FOUND)
 
 
-def merge_shards(found: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+def merge_shards(found: DataFrame) -> DataFrame:
     """doc, at, n of the first windows of shards that an earlier one of another shard of the same hash equals."""
     schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 
     def merge(table: pa.Table) -> pa.Table:
-        w, doc, at, shard = (table.column(c).to_numpy() for c in ("w", "doc", "at", "shard"))
+        table = table.combine_chunks()
+        sizes = pc.list_value_length(table.column("places")).to_numpy()
+        w, places = (pc.list_flatten(table.column(c)).to_numpy() for c in ("hashes", "places"))
+        doc, at, shard = (np.repeat(table.column(c).to_numpy(), sizes) for c in ("doc", "at", "shard"))
+        at = at + places
         by = np.lexsort((at, doc, w, shard))
         w, doc, at, shard = w[by], doc[by], at[by], shard[by]
         cuts = np.flatnonzero(np.diff(shard)) + 1
@@ -271,11 +285,11 @@ def merge_shards(found: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
                 into = np.searchsorted(w[a], w[b])
                 merged.append(np.insert(a, into, b))
             runs = merged + runs[len(runs) - len(runs) % 2 :]
-        return output(schema, doc=doc[repeat], at=at[repeat], n=np.ones(int(repeat.sum()), np.int32))
+        doc, at, n = spans_of(doc[repeat], at[repeat])
+        return output(schema, doc=doc, at=at.astype(np.int32), n=n.astype(np.int32))
 
-    ranges = F.ceil(F.col("runs") * 64 / range_rows)
-    rows = found.where("n = 0").withColumn("range", F.pmod("w", ranges))
-    return rows.select("h", "range", "shard", "w", "doc", "at").groupBy("h", "range").applyInArrow(lambda t: pa.Table.from_batches([merge(t)]), "doc long, at int, n int")
+    rows = found.where("n = 0").select("h", "range", "shard", "doc", "at", "places", "hashes")
+    return rows.groupBy("h", "range").applyInArrow(lambda t: pa.Table.from_batches([merge(t)]), "doc long, at int, n int")
 
 
 def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_runs: int = SHARD_RUNS) -> DataFrame:
