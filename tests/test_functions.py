@@ -46,6 +46,24 @@ def test_version_words(spark):
     assert column(spark, ["Crazy (Live Remix)", "Crazy", "노래 (라이브)"], both) == ["live,remix|crazy", "|crazy", "라이브|노래"]
 
 
+def test_titles_hold_what_they_should(spark):
+    """Nested and open brackets, several tails, odd white space, marks with accents, and one title that is noise alone."""
+    cases = {
+        "1 - A (x (Live)) y": "A (x (Live)) y", "A ((Live) x": "A ((Live) x", "A (b": "A (b", "A [b] (c) [Rémix]": "A [Rémix]", "A - b - Live - c": "A - Live", " - b": " - b", "12.\u3000Song": "Song", "7 - ": "7 - ", "A\u00a0–\u2003b": "A",
+        "99 Luftballons": "99 Luftballons", "A (데모) – x": "A (데모)", "1. (x)": "1. (x)", "A (l\u0301ive)": "A (l\u0301ive)", "(a\nb) C": "C",
+    }
+    assert column(spark, list(cases), T.strip_noise) == list(cases.values())
+    normal = ["좋은날 (Feat. 아이유)", "ΟΔΟΣ İ", "A\u0301\u0301b", "½ x²", "'99", "日本 ٣", " \t "]
+    assert column(spark, normal, T.normalize_title) == ["좋은날 feat 아이유", "οδος i", "ab", "½ x²", "'99", "日本 ٣", ""]
+
+
+def test_nul_goes_from_nested_values(spark):
+    kind = "struct<a: string, b: array<struct<c: string, n: int>>, m: map<string, string>>"
+    df = spark.createDataFrame([(("x\0", [("\0y", 1), None], {"k\0": "\0"}),), (None,)], f"v {kind}")
+    got = df.select(T.strip_nul(F.col("v"), df.schema["v"].dataType).alias("v")).collect()
+    assert got[0].v.asDict(True) == {"a": "x", "b": [{"c": "y", "n": 1}, None], "m": {"k": ""}} and got[1].v is None
+
+
 def test_artist_key(spark):
     keys = column(spark, ["the beatles", "beatles", "a the", "drake", "drake miller band", "beatles the"], T.artist_key)
     assert keys[0] == keys[1] == keys[5] and keys[2] == "" and keys[3] != keys[4]
@@ -74,6 +92,7 @@ def test_small_rules(spark):
     assert column(spark, ["Album", "EP", "Broadcast", "", None], T.release_type) == ["album", "ep", "other", None, None]
     assert column(spark, ["X - Single", "X - single", "X - EP"], T.store_release_type) == ["single", "album", "ep"]
     assert column(spark, [[" IU ", "", "아이유", "iu"]], lambda c: T.clean_aliases(c, F.lit("IU")), "array<string>") == [["아이유"]]
+    assert column(spark, [["x"], None], lambda c: T.clean_aliases(c, F.lit(None).cast("string")), "array<string>") == [["x"], None]
     images = [[{"url": "a", "size": "large"}, {"url": "b", "size": "large"}, {"url": "", "size": "mega"}, {"url": "c", "size": "odd"}], [], None]
     assert column(spark, images, T.best_image, "array<struct<url:string,size:string>>") == ["b", None, None]
     assert column(spark, [["a", "", None, "b"], [], None], T.joined_names, "array<string>") == ["a, b", None, None]
