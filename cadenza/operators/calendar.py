@@ -10,6 +10,7 @@ from cadenza.functions import text as T
 from cadenza.operators.joins import band_join
 from cadenza.operators.merge import Rule, upsert
 from cadenza.operators.rank import best_per_key
+from cadenza.session import durable
 
 
 def announce(found: DataFrame, today: Column, horizon_days: int) -> DataFrame:
@@ -25,6 +26,12 @@ def observe(events: DataFrame, announced: DataFrame) -> DataFrame:
     return upsert(events, announced.withColumn("status", F.lit("announced")), ["source", "source_key"], rules)
 
 
+def in_reach(events: DataFrame, candidates: DataFrame, days: int) -> DataFrame:
+    """Events between the candidates' first and last date, ``days`` further on both sides: two dates, which prune the scan of the events."""
+    low, high = candidates.agg(F.date_sub(F.min("release_date"), days), F.date_add(F.max("release_date"), days)).first()
+    return events.where(F.lit(False)) if low is None else events.where(F.col("release_date").between(F.lit(low), F.lit(high)))
+
+
 def confirm(candidates: DataFrame, events: DataFrame, days: int = 7) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(flips, inserts, skipped).
 
@@ -33,8 +40,8 @@ def confirm(candidates: DataFrame, events: DataFrame, days: int = 7) -> tuple[Da
     Candidates: artist_id, spotify_album_id, title, release_type, release_date (date), passes_gate, ord.
     """
     c = best_per_key(candidates, ["artist_id", "spotify_album_id"], F.col("ord")).withColumn("_title", T.confirm_title("title"))
-    e = events.select("id", "artist_id", F.col("release_date").alias("_day"), T.confirm_title("title").alias("_title"))
-    hits = band_join(c.select("artist_id", "spotify_album_id", "_title", "release_date"), e, ["artist_id", "_title"], "release_date", "_day", days)
+    e = in_reach(events, c, days).select("id", "artist_id", F.col("release_date").alias("_day"), T.confirm_title("title").alias("_title"))
+    hits = durable(band_join(c.select("artist_id", "spotify_album_id", "_title", "release_date"), e, ["artist_id", "_title"], "release_date", "_day", days), "hits")
     flips = hits.groupBy("id").agg(F.max("spotify_album_id").alias("spotify_album_id"))
     rest = c.drop("_title").join(hits.select("artist_id", "spotify_album_id").distinct(), ["artist_id", "spotify_album_id"], "left_anti")
     gate = F.coalesce("passes_gate", F.lit(False))

@@ -21,6 +21,11 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, value: str, n
     return df.join(side, F.col(on) == F.col("_key"), "left").drop("_key")
 
 
+def either(held: DataFrame, fresh: DataFrame, on: list[str]) -> DataFrame:
+    """The union of known look-ups and new ones; a key in both keeps what was known."""
+    return held.unionByName(without_keys(fresh.select(*held.columns), held, on))
+
+
 def left_filtered(left: DataFrame, right: DataFrame, on: list[str], condition: Column) -> DataFrame:
     """Left join with rows of the right side that meet a literal condition."""
     return left.join(right.where(condition), on, "left")

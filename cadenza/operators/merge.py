@@ -77,7 +77,8 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], ordinal
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], ordinal: str | None = None, within: Column | None = None) -> DataFrame:
     """What ``insert_ignore`` would insert (and a database would return)."""
-    first = best_per_key(source, keys, F.col(ordinal)) if ordinal else source.dropDuplicates(keys)
+    rest = [c for c in source.columns if c not in keys]
+    first = best_per_key(source, keys, F.col(ordinal) if ordinal else F.struct(*rest)) if ordinal or rest else source.select(*keys).distinct()
     held = target if within is None else target.where(within)
     return first.join(held.select(*keys).distinct(), keys, "left_anti")
 
@@ -94,6 +95,13 @@ def replace_where(target: DataFrame, batch: DataFrame, keys: list[str], scope: C
     return stays.unionByName(batch.select(*target.columns))
 
 
+def singleton(target: DataFrame, source: DataFrame, order: Column) -> DataFrame:
+    """A table of one row: the source's newest one with all its fields, or what was there if it has none."""
+    newest = source.agg(F.max_by(F.struct(*target.columns), order).alias("new")).where("new is not null").select("new.*")
+    none = newest.agg((F.count("*") == 0).alias("_none"))  # one row
+    return newest.unionByName(target.join(F.broadcast(none), F.col("_none")).drop("_none"))
+
+
 def update_keyed(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Overwrite ``columns`` of rows with a key in the source; never inserts."""
     s = source.select(*keys, *(F.col(c).alias(f"_new_{c}") for c in columns), F.lit(True).alias("_hit"))

@@ -66,6 +66,13 @@ def chunks(df: DataFrame, key: str, size: int) -> DataFrame:
     return held.groupBy("chunk").agg(F.array_sort(F.collect_list(key)).alias("keys"))
 
 
+def listed(df: DataFrame, key: str, order: Column, value: str, n: int | None = None) -> DataFrame:
+    """``key`` and its values (at most ``n``) in an order, as an array."""
+    rows = df if n is None else top_per_key(df, [key], [order.asc_nulls_last(), F.col(value).asc()], n)
+    pairs = F.array_sort(F.collect_list(F.struct(order.isNull().alias("a"), order.alias("b"), F.col(value).alias("v"))))
+    return rows.groupBy(key).agg(pairs.alias("_p")).select(key, F.transform("_p", lambda p: p["v"]).alias(f"{value}s"))
+
+
 def ladder(df: DataFrame, keys: list[str], order: list[Column], passes: Column, n: int = 2) -> DataFrame:
     """Chained fallback: of each key's first ``n`` rows, the first that passes."""
     w = Window.partitionBy(*keys).orderBy(*order)

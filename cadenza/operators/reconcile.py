@@ -13,7 +13,7 @@ def plan(wanted: DataFrame, held: DataFrame, provenance: DataFrame, key: str = "
     else's, unknown provenance included.  Keys in both sets need nothing."""
     w, h = wanted.select(key).distinct(), held.select(key).distinct()
     add = w.join(h, key, "left_anti").withColumn("op", F.lit("ADD"))
-    rest = h.join(w, key, "left_anti").join(provenance.select(key, "source").dropDuplicates([key]), key, "left")
+    rest = h.join(w, key, "left_anti").join(provenance.groupBy(key).agg(F.min("source").alias("source")), key, "left")
     return add.unionByName(rest.select(key, F.when(F.col("source").eqNullSafe(OURS), "REMOVE").otherwise("PULL").alias("op")))
 
 

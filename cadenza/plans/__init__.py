@@ -1 +1 @@
-"""Whole jobs, composed from sources, functions and operators."""
+"""Whole jobs, records of a queue, and the registered queries."""

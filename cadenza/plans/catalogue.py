@@ -287,16 +287,17 @@ def rotation_bucket(spark, d):
 
 
 _SETS = """
-WITH w AS (SELECT DISTINCT user_id AS key FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-04'),
-h AS (SELECT DISTINCT user_id AS key FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-04'),
+WITH l AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS newest, arg_min(event_type, (ts, event_id)) AS oldest FROM events GROUP BY user_id),
+w AS (SELECT user_id AS key FROM l WHERE newest IN ('purchase', 'view', 'signup')), h AS (SELECT user_id AS key FROM l WHERE oldest IN ('view', 'click', 'error')),
 p AS (SELECT key, 'ADD' AS op FROM w WHERE key NOT IN (SELECT key FROM h)
   UNION ALL SELECT key, CASE WHEN key % 3 = 0 THEN 'REMOVE' ELSE 'PULL' END FROM h WHERE key NOT IN (SELECT key FROM w)) """
 
 
 def _plan(spark, d):
-    e = table(spark, d, "events").where("ts < timestamp_ntz'2024-01-04'").withColumnRenamed("user_id", "key")
+    e, order = table(spark, d, "events").withColumnRenamed("user_id", "key"), F.struct("ts", "event_id")
+    ends = e.groupBy("key").agg(F.max_by("event_type", order).alias("newest"), F.min_by("event_type", order).alias("oldest"))
     known = e.where("key % 3 <> 2").select("key", F.when(F.col("key") % 3 == 0, reconcile.OURS).otherwise(reconcile.BEFORE).alias("source"))
-    return reconcile.plan(e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), known)
+    return reconcile.plan(ends.where(F.col("newest").isin("purchase", "view", "signup")), ends.where(F.col("oldest").isin("view", "click", "error")), known)
 
 
 @query(_SETS + "SELECT key, op FROM p")
@@ -403,27 +404,33 @@ def title_similarity(spark, d):
 
 
 def _tracks(spark, d):
-    """Parts as tracks of their brands' artists, and candidates made of them: the same title, one with noise, a live one, or none."""
-    p = table(spark, d, "part").where("p_partkey % 2 = 0")
+    """Parts as tracks of their brands' artists, and candidates made of them: the same title, one with noise, a live one, an instrumental one, or none."""
+    p = table(spark, d, "part")
     seconds = (F.col("p_size") * 7 + F.col("p_partkey") % 50).cast("double")
     tracks = p.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("title"), F.array(F.concat(F.lit("The "), "p_brand", F.lit(" "), F.col("p_partkey").cast("string"))).alias("artist_names"), F.array().cast("array<string>").alias("aliases"), seconds.alias("duration_sec"))
-    k = F.col("p_partkey") % 10
-    title = F.when(k == 0, F.col("p_name")).when(k == 2, F.concat("p_name", F.lit(" (feat. Y)"))).when(k == 4, F.concat("p_name", F.lit(" (Live)"))).when(k == 6, F.col("p_name"))
-    cands = p.where("p_partkey % 10 <> 8").select(F.col("p_partkey").alias("id"), title.alias("title"), F.concat("p_brand", F.lit(" "), F.col("p_partkey").cast("string")).alias("artist"), F.lit(None).cast("string").alias("album"), (seconds + F.when(F.col("p_partkey") % 3 == 0, 2.0).when(F.col("p_partkey") % 3 == 1, 0.0).otherwise(2.5)).alias("duration_sec"), (k == 6).alias("instrumental"), F.lit("words").alias("plain_lyrics"), F.lit(None).cast("string").alias("synced_lyrics"), F.col("p_partkey").alias("ord"))
+    k = F.col("p_partkey") % 5
+    title = F.when(k == 1, F.concat("p_name", F.lit(" (feat. Y)"))).when(k == 2, F.concat("p_name", F.lit(" (Live)"))).otherwise(F.col("p_name"))
+    cands = p.where("p_partkey % 5 <> 4").select(F.col("p_partkey").alias("id"), title.alias("title"), F.concat("p_brand", F.lit(" "), F.col("p_partkey").cast("string")).alias("artist"), F.lit(None).cast("string").alias("album"), (seconds + F.when(F.col("p_partkey") % 3 == 0, 2.0).when(F.col("p_partkey") % 3 == 1, 0.0).otherwise(2.5)).alias("duration_sec"), (k == 3).alias("instrumental"), F.lit("words").alias("plain_lyrics"), F.lit(None).cast("string").alias("synced_lyrics"), F.col("p_partkey").alias("ord"))
     return tracks, cands
 
 
-@query("""
-SELECT p_partkey AS track_id, CASE WHEN p_partkey % 10 = 8 OR p_partkey % 3 = 2 THEN 'not_found' WHEN p_partkey % 10 = 6 THEN 'no_lyrics' WHEN p_partkey % 10 = 4 THEN 'review_required' ELSE 'matched' END AS match_status,
-  CASE WHEN p_partkey % 10 NOT IN (4, 6, 8) AND p_partkey % 3 <> 2 THEN 'exact-title' END AS basis FROM part WHERE p_partkey % 2 = 0""")
+_DECIDED = """CASE WHEN p_partkey % 5 = 4 OR p_partkey % 3 = 2 THEN 'not_found' WHEN p_partkey % 5 = 3 THEN 'no_lyrics' WHEN p_partkey % 5 = 2{0} THEN 'review_required' ELSE 'matched' END"""
+
+
+@query(f"""
+SELECT track_id, match_status, CASE WHEN match_status = 'matched' THEN 'exact-title' END AS basis FROM (SELECT p_partkey AS track_id, {_DECIDED.format('')} AS match_status FROM part)""")
 def match_decision(spark, d):
     return resolve.decide(*_tracks(spark, d)).select("track_id", "match_status", "basis")
 
 
-@query()
+@query(f"""
+SELECT track_id, match_status, CASE WHEN match_status = 'matched' THEN 'exact-title' END AS basis,
+  CASE WHEN match_status = 'not_found' THEN NULL WHEN track_id % 5 = 2 AND track_id % 7 <> 0 THEN track_id + 1000000000 ELSE track_id END AS candidate_id,
+  CASE WHEN match_status = 'review_required' THEN 'no_tier1_candidate' END AS promotion
+FROM (SELECT p_partkey AS track_id, {_DECIDED.format(' AND p_partkey % 7 = 0')} AS match_status FROM part)""")
 def match_promotion(spark, d):
     tracks, cands = _tracks(spark, d)
-    twin = cands.where("id % 10 = 4").select(*((F.col("id") + 1_000_000_000).alias("id") if c == "id" else F.regexp_replace("title", r" \(Live\)", "").alias("title") if c == "title" else F.col(c) for c in cands.columns))
+    twin = cands.where("id % 5 = 2 and id % 7 <> 0").select(*((F.col("id") + 1_000_000_000).alias("id") if c == "id" else F.regexp_replace("title", r" \(Live\)", "").alias("title") if c == "title" else F.col(c) for c in cands.columns))
     pairs = resolve.plausible(tracks, cands.union(twin))
     return resolve.promote(resolve.decide(tracks, cands.union(twin), pairs), pairs).select("track_id", "match_status", "basis", "candidate_id", "promotion")
 
@@ -487,9 +494,12 @@ def pick_best_image_ties_later(spark, d):
 
 
 @query("""
-SELECT p_type, CASE WHEN lower(p_type) IN ('album', 'ep', 'single') THEN lower(p_type) ELSE 'other' END AS kind, count(*) AS n FROM part GROUP BY p_type""")
+WITH t AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Album' WHEN 1 THEN 'EP' WHEN 2 THEN 'single' WHEN 3 THEN 'Broadcast' WHEN 4 THEN '' END AS raw, p_name || CASE p_partkey % 4 WHEN 0 THEN ' - Single' WHEN 1 THEN ' - EP' WHEN 2 THEN ' - single' ELSE '' END AS name FROM part)
+SELECT p_partkey, CASE WHEN raw IN ('Album', 'EP', 'single') THEN lower(raw) WHEN raw = 'Broadcast' THEN 'other' END AS kind,
+  CASE WHEN name LIKE '% - Single' THEN 'single' WHEN name LIKE '% - EP' THEN 'ep' ELSE 'album' END AS store FROM t""")
 def release_type_map(spark, d):
-    return table(spark, d, "part").select("p_type", T.release_type(F.col("p_type")).alias("kind")).groupBy("p_type", "kind").agg(F.count("*").alias("n"))
+    p, of = table(spark, d, "part"), lambda n, *v: F.try_element_at(F.array(*map(F.lit, v)), (F.col("p_partkey") % n + 1).cast("int"))
+    return p.select("p_partkey", T.release_type(of(6, "Album", "EP", "single", "Broadcast", "")).alias("kind"), T.store_release_type(F.concat("p_name", of(4, " - Single", " - EP", " - single", ""))).alias("store"))
 
 
 @query("""

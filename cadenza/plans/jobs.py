@@ -104,16 +104,37 @@ def sync_scrobbles(integrations: DataFrame, held: DataFrame, completed: DataFram
     return {"tracks": stays.unionByName(one.join(users, "user_id", "left_semi")), "integrations": integrations.withColumn("last_synced_at", now)}
 
 
-def scrobble_cursors(integrations: DataFrame, held: DataFrame) -> DataFrame:
-    """Connected users, longest unsynced first, with the second after their newest completed scrobble (null: everything)."""
+def connected(integrations: DataFrame, needs: str, limit: int | None = None) -> DataFrame:
+    """Connected users that have ``needs`` (a user name, a payload), longest unsynced first, never synced before all, so that bounded runs come round to everyone."""
+    found = integrations.where((F.col("status") == "connected") & F.col(needs).isNotNull())
+    return found if limit is None else found.orderBy(F.col("last_synced_at").asc_nulls_first(), "user_id").limit(limit)
+
+
+def scrobble_cursors(integrations: DataFrame, held: DataFrame, limit: int | None = None) -> DataFrame:
+    """Connected users (at most ``limit``, longest unsynced first) with the second after their newest completed scrobble (null: everything)."""
+    users = connected(integrations, "username", limit) if "username" in integrations.columns else integrations.where(F.col("status") == "connected")
     newest = held.where(~F.col("is_now_playing")).groupBy("user_id").agg((F.unix_timestamp(F.max("played_at")) + 1).alias("since"))
-    return integrations.where(F.col("status") == "connected").join(newest, "user_id", "left")
+    return users.join(newest, "user_id", "left")
 
 
-def sync_member(held: DataFrame, state: DataFrame, items: DataFrame, polled: DataFrame, now: Column) -> dict[str, DataFrame]:
-    """Members' plays by (user, time, track) and their now-playing rows."""
+def sync_member(held: DataFrame, state: DataFrame, items: DataFrame, polled: DataFrame, now: Column, integrations: DataFrame | None = None, limit: int | None = None) -> dict[str, DataFrame]:
+    """Members' plays by (user, time, track) and their now-playing rows; of the connected users alone if ``integrations`` are given."""
     rows = flatten.plays(items)
-    return {"tracks": merge.insert_ignore(held, rows.select(*held.columns).distinct(), ["user_id", "played_at", "spotify_track_id"]), "state": sync_now_playing(state, polled, now)}
+    if integrations is not None:
+        users = connected(integrations, "payload", limit)
+        rows, polled = joins.with_keys(rows, users, ["user_id"]), joins.with_keys(polled, users, ["user_id"])
+    fresh = rank.best_per_key(rows.select(*held.columns), ["user_id", "played_at", "spotify_track_id"], F.struct(*(c for c in held.columns if c not in ("user_id", "played_at", "spotify_track_id"))))
+    return {"tracks": merge.insert_ignore(held, fresh, ["user_id", "played_at", "spotify_track_id"]), "state": sync_now_playing(state, polled, now)}
+
+
+def untried(df: DataFrame, column: str, order: list[str], limit: int) -> DataFrame:
+    """The pool of a backfill: rows in which ``column`` was never tried (null; a sentinel is an answer), the first ``limit`` in a stable order."""
+    return df.where(F.col(column).isNull()).orderBy(*order).limit(limit)
+
+
+def photoless(artists: DataFrame, batch: DataFrame) -> DataFrame:
+    """Ids of the batch's artists that have no photo yet."""
+    return joins.with_keys(artists.where(F.col("photo_url").isNull()), batch, ["spotify_id"]).select("spotify_id")
 
 
 def ingest_sweep(artists: DataFrame, tracked: DataFrame, per_day: int, day: int, watch_min: int) -> DataFrame:
@@ -188,8 +209,8 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     """MusicBrainz ids of artists: artist_id, mbid (or ``not_found``) and aliases.
 
     ``pending``: artist_id, name, genres, ord; ``found``: artist_id, mbid, score, country, aliases, ord.  Candidates need the score and a plausible country; one whose country
-    is missing while the hint says Korea needs a Hangul alias.  An id goes to one artist, as if artists chose one after another in the order of ``ord``: all
-    ids rank artists alike, so the stable assignment that rounds of asking and refusing reach is that one.
+    is missing while the hint says Korea needs a Hangul alias.  An id goes to one artist, as if artists chose one after another in the order of ``ord``.  Each
+    round settles every artist whose wish no earlier unsettled artist could take, so rounds follow the longest chain of artists that share ids, not the number of artists.
     """
     hint = T.country_hint(F.col("genres"))
     c = found.where(F.col("score") >= least_score).join(pending.select("artist_id", "name", hint.alias("hint"), F.col("ord").alias("artist_ord")), "artist_id")
@@ -198,14 +219,18 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     c = c.where(T.country_plausible(F.col("hint"), F.col("country")) & (~F.coalesce(F.col("hint") == "KR", F.lit(False)) | ~missing | korean))
     c = c.join(taken.select("mbid").distinct(), "mbid", "left_anti")
     c = c.select("artist_id", "artist_ord", "mbid", (-F.col("score")).alias("rank"), F.col("ord").alias("at"), T.clean_aliases(F.coalesce("aliases", F.array().cast("array<string>")), F.col("name")).alias("aliases"))
-    while True:  # deferred acceptance: an id keeps the first artist that asked so far, the others ask for their next
-        wish = rank.best_per_key(c, ["artist_id"], F.struct("rank", "at", "mbid"))
-        given = rank.best_per_key(wish, ["mbid"], F.struct("artist_ord", "artist_id"))
-        refused = wish.select("artist_id", "mbid").join(given.select("artist_id", "mbid"), ["artist_id", "mbid"], "left_anti")
-        refused = durable(refused, "refused")
-        if refused.isEmpty():
+    left, given = durable(c, "asking"), None
+    while True:  # the first artist in each chain of shared ids has its wish; who wishes for one of those ids asks again
+        wish = rank.best_per_key(left, ["artist_id"], F.struct("rank", "at", "mbid"))
+        first = left.groupBy("mbid").agg(F.min(F.struct("artist_ord", "artist_id")).alias("first"))  # nobody before may still come to want it
+        sure = wish.join(first, "mbid").where(F.struct("artist_ord", "artist_id") == F.col("first")).select(*wish.columns)
+        sure = durable(sure, "given")
+        if sure.isEmpty():
             break
-        c = durable(c.join(refused, ["artist_id", "mbid"], "left_anti"), "asking")
+        given = sure if given is None else given.unionByName(sure)
+        rest = left.join(sure.select("artist_id"), "artist_id", "left_anti").join(sure.select("mbid"), "mbid", "left_anti")
+        left = durable(rest, "asking")
+    given = left.where("false") if given is None else given
     rows = pending.select("artist_id").join(given.select("artist_id", "mbid", "aliases"), "artist_id", "left")
     return rows.select("artist_id", F.coalesce("mbid", F.lit("not_found")).alias("mbid"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
 
@@ -215,10 +240,10 @@ def evaluate_lyrics(tracks: DataFrame, candidates: DataFrame, existing: DataFram
 
     ``existing`` (track_id, match_status, basis) turns on the guard against downgrades.
     """
-    pairs = resolve.plausible(tracks, candidates)
+    pairs = durable(resolve.plausible(tracks, candidates), "pairs")  # both steps and all outputs read them
     done = resolve.promote(resolve.decide(tracks, candidates, pairs), pairs).withColumn("matcher", F.when(F.col("promotion").isNotNull(), "match-1+best-1").otherwise("match-1"))
     done = done.withColumn("lyric_plain", resolve.persistable(F.col("match_status"), F.col("lyric_plain"))).withColumn("lyric_synced", T.strip_nul(F.col("lyric_synced")))
-    done = done.withColumn("evidence", resolve.evidence(done))
+    done = durable(done.withColumn("evidence", resolve.evidence(done)), "outcomes")
     ok = resolve.consistent(F.col("match_status"), F.col("basis"), F.col("version_agrees"), F.col("promotion"))
     good, writable = done.where(ok), done.where(ok)
     if existing is not None:
@@ -229,6 +254,11 @@ def evaluate_lyrics(tracks: DataFrame, candidates: DataFrame, existing: DataFram
     return {"write": writable, "rejects": done.where(~ok), "counts": counts}
 
 
+def search_key(rows: DataFrame) -> DataFrame:
+    """``rows`` with the artist to search by: the first of the sorted names (null without one)."""
+    return rows.withColumn("search_artist", F.try_element_at("artist_names", F.lit(1)))
+
+
 def uncorpused(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame, lyrics: DataFrame) -> DataFrame:
     """Tracks without a lyrics row, with sorted distinct artist names and aliases."""
     open_ = tracks.join(lyrics.select("track_id").distinct(), "track_id", "left_anti")

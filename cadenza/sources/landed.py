@@ -6,7 +6,7 @@ with explicit schemas.  A page that is missing or malformed yields no rows, neve
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _NAMED = "array<struct<id: string, name: string>>"
@@ -70,6 +70,29 @@ def scrobbles(pages: DataFrame, column: str = "page") -> tuple[DataFrame, DataFr
     return flat.where(~F.col("is_now_playing") & F.col("played_at").isNotNull()), flat.where("is_now_playing")
 
 
+def fetch_status(code: Column, body: Column) -> Column:
+    """What an answer means: ``found``, ``none`` (404, or a body that isn't a list), or ``failed`` for anything that is worth another try."""
+    return F.when(code == 404, "none").when(F.coalesce(code.between(200, 299), F.lit(False)), F.when(F.coalesce(F.trim(body).startswith("["), F.lit(False)), "found").otherwise("none")).otherwise("failed")
+
+
+def newest_releases(pages: DataFrame, limit: int = 50) -> DataFrame:
+    """The first page of each artist's discography: artist_id, album_sid, release_date (text), newest first, ``ord`` from 0."""
+    order = [F.rpad(F.coalesce("release_date", F.lit("")), 10, "-").desc(), F.col("album_sid").asc()]
+    ranked = pages.withColumn("ord", F.row_number().over(Window.partitionBy("artist_id").orderBy(*order)) - 1)
+    return ranked.where(F.col("ord") < limit).select("artist_id", "album_sid", "release_date", "ord")
+
+
+def collections(rows: DataFrame) -> DataFrame:
+    """Storefront look-ups without the artist's own row."""
+    return rows.where(F.col("wrapperType") == "collection").select("artist_id", F.col("collectionId").cast("string").alias("source_key"), F.col("collectionName").alias("title"), F.substring("releaseDate", 1, 10).alias("release_date"))
+
+
+def artist_candidates(pages: DataFrame, most: int = 10) -> DataFrame:
+    """Search results, the first ``most`` of each query: artist_id, mbid, score, country, aliases, ord."""
+    rows = pages.select(F.col("query_id").alias("artist_id"), F.posexplode("artist-list").alias("ord", "a")).where(F.col("ord") < most)
+    return rows.select("artist_id", F.col("a.id").alias("mbid"), F.col("a.ext:score").try_cast("int").alias("score"), F.col("a.country").alias("country"), F.transform(F.col("a.alias-list"), lambda x: x["alias"]).alias("aliases"), "ord")
+
+
 def lyric_candidates(pages: DataFrame) -> DataFrame:
     """API results in the shape that resolution takes."""
     return pages.select("track_id", "id", F.col("trackName").alias("title"), F.col("artistName").alias("artist"), F.col("albumName").alias("album"), F.col("duration").alias("duration_sec"), F.coalesce("instrumental", F.lit(False)).alias("instrumental"), F.col("plainLyrics").alias("plain_lyrics"), F.col("syncedLyrics").alias("synced_lyrics"), F.col("id").alias("ord"))

@@ -4,7 +4,7 @@ import pytest
 from compare import rows
 
 import __spark_entry__ as entry_point
-from cadenza.plans import catalogue
+from cadenza.plans import catalogue, job_queries  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
