@@ -22,15 +22,15 @@ tree above and shared shingles give candidates, and only pairs whose sets are si
    order, which keeps blocks small; it changes no result.
 2. Of a pair, the counts of its sets' shingles in a few hundred cells differ by no more than there are shingles in
    one set only; that drops most pairs whose sets aren't similar before the sets are fetched and compared.
-3. Links of the tree, and of each class to its block's smallest, are verified and give components.
-4. In blocks that hold several components, pairs across components are verified, unless what follows their first common shingle in
+3. Links of the tree, and of each class to the smallest of the few of its blocks that share most with it, are verified and give components.
+4. In blocks that hold several components, pairs across components are verified, unless counts in a few coarse cells tell them apart, or what follows their first common shingle in
    the order can't be enough: the smaller of two similar sets has it among its first n - ceil(2 t / (1 + t) n) + 1.  So components are exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, scratch, span_hashes, steps, word_spans
+from cadenza.operators import rank
 
 SHINGLE, LIMIT = 3, 2
 #: Fingerprints that the driver sees (about so many, chosen by a hash) to place the shards' vantage points, how many (of all) a shard is to get, and the least of the
@@ -49,8 +50,10 @@ LEAF = 256
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: One of so many classes is in the sample of shingles; those in so many sampled classes are frequent, and so many of them are told apart.
 SHINGLES_OF, FREQUENT, MOST_FREQUENT = 8, 4, 1 << 18
-#: Cells of a class in which its shingles are counted.
-CELLS = 256
+#: Smallest classes of its blocks that a class is compared with first, those of the most blocks; the rest is up to the step that compares across components.
+HUBS = 4
+#: Cells of a class in which its shingles are counted, and coarse ones for a first look.
+CELLS, COARSE = 256, 64
 _WORD_BYTE = np.array([not bytes([b]).isspace() for b in range(256)])
 
 
@@ -277,6 +280,12 @@ def cell_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.bincount(owner * CELLS + cell.astype(np.int64), minlength=(bounds.size - 1) * CELLS).astype(np.uint8).reshape(-1, CELLS)
 
 
+def coarse_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(sets, COARSE) counts of the set's shingles by coarse cell, 127 for more."""
+    owner, cell = np.repeat(np.arange(bounds.size - 1), np.diff(bounds)), (hashes >> np.uint64(20)) % np.uint64(COARSE)
+    return np.minimum(np.bincount(owner * COARSE + cell.astype(np.int64), minlength=(bounds.size - 1) * COARSE), 127).astype(np.int8)
+
+
 def _fixed(rows: np.ndarray) -> pa.Array:
     """Rows of bytes as a binary column."""
     ends = np.arange(rows.shape[0] + 1, dtype=np.int32) * rows.shape[1]
@@ -298,16 +307,16 @@ def prefixes(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, simil
 
 
 def _marks(picked: DataFrame, size: int) -> DataFrame:
-    """(key, text_hash, fp, class, n, cells) of every row of (key, text_hash, text)."""
-    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())])
+    """(key, text_hash, fp, class, n, cells, coarse) of every row of (key, text_hash, text)."""
+    schema = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary()), ("coarse", pa.list_(pa.int8()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
             hashes, bounds = shingle_sets(part.column("text"), size)
             values = np.array([fingerprint((t or "").encode(), size) for t in part.column("text").to_pylist()], np.uint64)
-            yield output(schema, **{"key": part.column("key"), "text_hash": part.column("text_hash"), "fp": values.view(np.int64), "class": set_classes(hashes, bounds), "n": np.diff(bounds), "cells": _fixed(cell_counts(hashes, bounds))})
+            yield output(schema, **{"key": part.column("key"), "text_hash": part.column("text_hash"), "fp": values.view(np.int64), "class": set_classes(hashes, bounds), "n": np.diff(bounds), "cells": _fixed(cell_counts(hashes, bounds)), "coarse": pa.ListArray.from_arrays(pa.array(np.arange(bounds.size) * COARSE, pa.int32()), pa.array(coarse_counts(hashes, bounds)))})
 
-    return picked.mapInArrow(run, "key long, text_hash long, fp long, class long, n long, cells binary")
+    return picked.mapInArrow(run, "key long, text_hash long, fp long, class long, n long, cells binary, coarse array<byte>")
 
 
 def _shingles(picked: DataFrame, size: int, similarity: float, frequent: np.ndarray | None) -> DataFrame:
@@ -372,11 +381,18 @@ def _verified(pairs: DataFrame, classes: DataFrame, picked: DataFrame, size: int
     return similar
 
 
+def _open_blocks(blocks: DataFrame, roots: DataFrame, classes: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """(hash, class, at, part, n, coarse) of the blocks that hold several components, written, and how to empty that table."""
+    parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", "at", F.coalesce("root", "class").alias("part"))
+    mixed = parts.groupBy("hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("hash")
+    return scratch(parts.join(mixed, "hash").join(classes.select("class", "n", "coarse"), "class"), "open")
+
+
 def _set_components(docs: DataFrame, text: str, key: str, size: int, similarity: float, limit: int, sample: int) -> DataFrame:
     """``key``, fp, text_hash and component_id of every row."""
     picked = long_rows(docs).select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     marked = materialize(_marks(picked, size), "marks")
-    classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("cells").alias("cells"), F.min("key").alias("least")), "classes")
+    classes = materialize(marked.groupBy("class").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("cells").alias("cells"), F.min("coarse").alias("coarse"), F.min("key").alias("least")), "classes")
 
     often = _shingles(picked, size, similarity, None).select("hash", "class").distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
     frequent = np.sort(often.select("hash").toArrow().column("hash").to_numpy().view(np.uint64))
@@ -388,18 +404,18 @@ def _set_components(docs: DataFrame, text: str, key: str, size: int, similarity:
     near = links(by_fp, limit, sample)
     near = near.join(by_fp.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
     near = near.select(F.col("x").alias("a"), F.col("y").alias("b")).union(classes.join(by_fp, "fp").select("class", by_fp["least"]))
-    tried = near.union(blocks.select("class", "least")).where("a <> b").distinct()
+    hubs = rank.top_per_key(blocks.where("class <> least").groupBy("class", "least").count(), ["class"], [F.desc("count"), F.col("least").asc()], HUBS)
+    tried = near.union(hubs.select("class", "least")).where("a <> b").distinct()
     sure = _verified(tried, classes, picked, size, similarity)
-    roots = components(sure)
-    parts = blocks.join(roots, F.col("class") == F.col("node"), "left").select("hash", "class", "at", F.coalesce("root", "class").alias("part"))
-    mixed = parts.groupBy("hash").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("hash")
-    open_, drop_open = scratch(parts.join(mixed, "hash").join(classes.select("class", "n"), "class"), "open")
+    open_, drop_open = _open_blocks(blocks, components(sure), classes)
     drop_blocks()
-    left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n", "at"))) for side in "ab")
+    left, right = (open_.select("hash", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "part", "n", "at", "coarse"))) for side in "ab")
     # of a pair, the set of fewer shingles (of equals the smaller class) stands left; what can follow their first common shingle must be enough
     rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.when(F.col("at_b") < 0, -F.col("at_b") - 1).otherwise(F.col("at_b")))
     fits = (F.col("part_a") != F.col("part_b")) & (F.struct("n_a", "class_a") < F.struct("n_b", "class_b")) & (F.col("n_a") >= similarity * F.col("n_b") - 1e-9)
     fits &= rest >= similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    differ = F.aggregate(F.zip_with("coarse_a", "coarse_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
+    fits &= differ <= (1 - similarity) / (1 + similarity) * (F.col("n_a") + F.col("n_b")) + 1e-9
     across = left.where("at_a >= 0").join(right, "hash").where(fits).select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b")).distinct()
     edges = sure.union(_verified(across, classes, picked, size, similarity))
     roots = components(edges)
