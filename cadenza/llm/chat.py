@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUDGET, HISTORY, RUN = 1024, 256, 256
+BUDGET, HISTORY, RUN = 1024, 256, 64
 #: What stands for each character inside a turn, in the order of writing.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
 OPEN, CLOSE = "<s>", "</s>"
