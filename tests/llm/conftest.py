@@ -33,3 +33,12 @@ def docs(spark, corpus):
 @pytest.fixture(scope="session")
 def empty(docs):
     return docs.where("false")
+
+
+@pytest.fixture
+def small_batches(spark):
+    """Sets the rows of an Arrow batch for one test."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, str(n))
+    spark.conf.set(name, before)

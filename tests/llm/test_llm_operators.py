@@ -267,14 +267,14 @@ def test_context_tree_of_rows_without_sound_ids(spark):
     assert len({round(r.score, 9) for r in got if r.n_tokens == 3}) == 1 and {r.train_tokens for r in got} == {12}
 
 
-def test_context_trees_stream_alike(spark, monkeypatch):
+def test_context_trees_stream_alike(spark, monkeypatch, small_batches):
     """Groups cut into chunks of any size give the same values."""
     rnd = random.Random(5)
     df = spark.createDataFrame([(i, "".join(rnd.choice("abc \n") for _ in range(400))) for i in range(20)], "doc_id long, text string")
     rows = lambda: {r.key: r.value for r in ctw.log_probabilities(ctw.gather(df.select("text", F.lit(True).alias("trains"))).where("kind = 1").select("key", "n")).collect()}
     whole = rows()
     groups = ctw._groups
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    small_batches(50)
     monkeypatch.setattr(ctw, "_groups", lambda batches: groups(batches, 7))
     small = rows()
     assert whole.keys() == small.keys() and all(math.isclose(whole[k], small[k], rel_tol=1e-9) for k in whole)
@@ -310,10 +310,10 @@ def test_repeats(docs, corpus, shard_runs):
     assert got == brute_repeats(corpus)
 
 
-def test_runs_are_joined(spark):
+def test_runs_are_joined(spark, small_batches):
     rnd = random.Random(17)
     rows = [(rnd.randrange(5), rnd.randrange(300), rnd.randrange(1, 9)) for _ in range(400)]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    small_batches(16)
     got = [(r.doc, r.at, r.n) for r in suffix_dedup.joined_runs(spark.createDataFrame(rows, "doc long, at int, n int")).collect()]
     windows = {(d, p) for d, at, n in rows for p in range(at, at + n)}
     assert {(d, p) for d, at, n in got for p in range(at, at + n)} == windows and len(got) == sum((d, p - 1) not in windows for d, p in windows)

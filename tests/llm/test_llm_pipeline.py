@@ -32,3 +32,31 @@ def test_registered(spark, duck, sf, name):
     if name in queries.ORACLES:
         assert rows(got) == rows(duck(sf, queries.ORACLES[name]))
     assert len(got) == len(spark.read.parquet(f"{sf}/documents.parquet").toPandas()) or name in ("op6_chat_windows", "op7_spaced_seeds", "pipeline")
+
+
+def test_rows_without_sound_ids_run_through(spark, tmp_path):
+    """Null, repeated and shared ids, null columns and an extra column: each stage's decisions on them."""
+    import random
+
+    rnd = random.Random(41)
+    prose = lambda n: " ".join(f"w{rnd.randrange(4000)}" for _ in range(n))
+    item, a, b, shared = prose(30), prose(60), prose(60), prose(40)
+    rows = [
+        (1, a), (2, a), (2, b), (None, prose(50)), (None, "too short"), (None, None), (3, f"{prose(20)} {item}"), (None, f"{item} {prose(20)}"), (4, prose(40)), (4, prose(45)), (5, f"{shared} {prose(30)}"), (6, f"{prose(30)} {shared}"),
+        (7, ""), (8, prose(5000)), (9, prose(33)), (9, None),
+    ]
+    df = spark.createDataFrame([(i, t, None, None, None, "extra") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, tokens string")
+    spark.createDataFrame([(0, item), (None, a), (1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, str(tmp_path)).checkpoint()
+        kept[name] = [(r.doc_id, r.text) for r in df.collect()]
+    texts = dict(enumerate(t for _, t in rows))
+    gone = {4, 5, 12, 15}
+    assert sorted(map(str, kept["quality_rules"])) == sorted(str(r) for k, r in enumerate(rows) if k not in gone)
+    gone |= {1}  # a copy of document 1; the other row of id 2 has a text of its own
+    assert sorted(map(str, kept["simhash_near_dedup"])) == sorted(str(r) for k, r in enumerate(rows) if k not in gone)
+    cut = dict(x for x in kept["suffix_array_dedup"] if x[0] == 6)
+    assert shared not in cut[6] and texts[11].startswith(cut[6][:40]) and len(kept["suffix_array_dedup"]) == len(rows) - len(gone)
+    assert len(kept["benchmark_decontamination"]) == len(rows) - len(gone) - 2 and not any(item in t for _, t in kept["benchmark_decontamination"])
+    assert df.columns == ["doc_id", "text", "lang", "source", "n_chars", "tokens", "piece_ids", "decoded"] and df.where("text <> decoded").count() == 0
