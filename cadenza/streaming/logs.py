@@ -1,7 +1,8 @@
 """Micro-batches into tables in a folder: append-only logs by key, rolling windows, latest states, and a dead-letter split.
 
-A table is a folder of snapshots, one per batch id, and the newest complete one counts.  A batch that runs again replaces its own snapshot from the one before it, so
-delivery may repeat.  The folder must be one that all executors share.
+A table is a folder with a slice for each batch number, cut into parts.  A batch writes the rows that it adds or changes and nothing else; reading puts the slices
+together.  A batch that runs again replaces its own slice and looks at earlier ones only, so delivery may repeat.  Batch numbers are those of one checkpoint.  The folder must be
+one that all executors share.  Slices add up: from time to time, between runs, ``Snapshots.compacted`` gives a table of two.
 """
 
 from __future__ import annotations
@@ -11,62 +12,89 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from cadenza.operators import merge, rank
 
 
 class Snapshots:
-    """Versions of a table under ``path``."""
+    """The table under ``path``.  ``combine`` makes its rows of those of all slices (None: they are its rows); the functions below set it.  Rows are dealt to ``parts``
+    parts by a hash of their keys where no other part is given."""
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, combine: Callable[[DataFrame], DataFrame] | None = None, parts: int = 64):
+        self.spark, self.path, self.combine, self.parts = spark, path.rstrip("/"), combine, parts
+        self.empty = spark.createDataFrame([], schema)
 
-    def _complete(self) -> list[int]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("v=")]
-        return sorted(int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    def part(self, keys: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(self.parts)).cast("string")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        versions = [v for v in self._complete() if before is None or v < before]
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={versions[-1]}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+    def slices(self) -> DataFrame:
+        """All rows ever written, with ``_batch`` and ``_part``."""
+        laid = StructType(self.empty.schema.fields[:]).add("_batch", "long").add("_part", "string")
+        self.empty.withColumns({"_batch": F.lit(0), "_part": F.lit("")}).write.partitionBy("_batch", "_part").mode("ignore").parquet(self.path)
+        return self.spark.read.schema(laid).parquet(self.path)
 
-
-def into(table: Snapshots, step: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch function that replaces the table by step(table, batch)."""
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table, or what it was before a batch."""
+        rows = self.slices()
+        rows = (rows if before is None else rows.where(F.col("_batch") < before)).drop("_batch", "_part")
+        return self.combine(rows) if self.combine else rows
+
+    def write(self, df: DataFrame, number: int, part: Column) -> None:
+        """The slice of batch ``number``; other slices stay."""
+        placed = df.select(*self.empty.columns, F.lit(number).cast("long").alias("_batch"), part.cast("string").alias("_part"))
+        placed.hint("rebalance", "_part").write.partitionBy("_batch", "_part").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+
+    def compacted(self, path: str) -> Snapshots:
+        """The same table in a new folder: all but the newest slice as one, and the newest, which may be delivered again, as it is.  The caller swaps folders."""
+        other, rows = Snapshots(self.spark, path, self.empty.schema, self.combine, self.parts), self.slices()
+        last = rows.agg(F.max("_batch")).first()[0]  # one number
+        if last is not None:
+            whole = self.combine or (lambda df: df)
+            old = whole(rows.where(F.col("_batch") < last).drop("_batch"))
+            other.write(old, last - 1, F.col("_part") if "_part" in old.columns else self.part(old.columns))
+            other.write(rows.where(F.col("_batch") == last), last, F.col("_part"))
+        return other
+
+
+def append_log(table: Snapshots, keys: list[str], part: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """First row of each key ever seen, late ones included.  A batch is compared with the keys in the parts that it touches; ``part`` places rows by something
+    that equal keys share, such as the day of a time among the keys, so that batches of recent rows touch recent parts only.  A key with a null is never seen before."""
+    place = table.part(keys) if part is None else part.cast("string")
 
     def run(batch: DataFrame, number: int) -> None:
-        table.write(step(table.read(before=number), batch), number)
+        batch = batch.select(*table.empty.columns).persist()
+        touched = [r[0] for r in batch.select(place).distinct().collect()]  # names of parts
+        held = table.slices().where((F.col("_batch") < number) & F.col("_part").isin([p for p in touched if p is not None]))
+        known = held.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
+        table.write(merge.new_rows(known, batch, keys), number, place)
+        batch.unpersist()
 
     return run
 
 
-def append_log(table: Snapshots, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """First row of each key ever seen, late ones included."""
-    return into(table, lambda held, batch: merge.insert_ignore(held, batch.select(*held.columns), keys))
+def rolling_window(table: Snapshots, keys: list[str], at: str, tie: str, n: int) -> Callable[[DataFrame, int], None]:
+    """The newest ``n`` distinct rows; of a batch, those that enter the window are written."""
+    table.combine = lambda rows: rank.newest(rows, at, tie, n)
 
+    def run(batch: DataFrame, number: int) -> None:
+        held = table.read(before=number)
+        fresh = merge.new_rows(held, batch.select(*held.columns), keys).select(*held.columns)
+        both = held.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+        table.write(rank.newest(both, at, tie, n).where("_fresh"), number, F.lit("0"))
 
-def rolling_window(table: Snapshots, keys: list[str], at: str, tie: str, n: int) -> Callable[[DataFrame, int], None]:
-    """The newest ``n`` distinct rows."""
-    return into(table, lambda held, batch: rank.newest(merge.insert_ignore(held, batch.select(*held.columns), keys), at, tie, n))
+    return run
 
 
 def latest_state(table: Snapshots, key: str, at: str) -> Callable[[DataFrame, int], None]:
-    """The newest row of each key by (``at``, then the rest of the row)."""
+    """The newest row of each key by (``at``, then the rest of the row).  A batch writes its own newest rows; reading takes the newest of all."""
+    rest = [c for c in table.empty.columns if c not in (key, at)]
 
-    def step(held: DataFrame, batch: DataFrame) -> DataFrame:
-        rest = [c for c in held.columns if c not in (key, at)]
-        return rank.best_per_key(held.unionByName(batch.select(*held.columns)), [key], F.struct(at, *rest), descending=True)
+    def newest(rows: DataFrame) -> DataFrame:
+        return rank.best_per_key(rows.select(*table.empty.columns), [key], F.struct(at, *rest), descending=True)
 
-    return into(table, step)
+    table.combine = newest
+    return lambda batch, number: table.write(newest(batch), number, table.part([key]))
 
 
 def split_bad(batch: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:

@@ -47,3 +47,39 @@ def test_dead_letters_and_dedup(spark, tmp_path):
         q = out.writeStream.format("memory").queryName(f"d{n}").trigger(availableNow=True).start()
         q.awaitTermination()
         assert spark.table(f"d{n}").count() == 1
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(values, "k string, at string, v int").withColumn("at", F.to_timestamp("at"))
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
+    table = logs.Snapshots(spark, str(tmp_path / "log"), SCHEMA)
+    step = logs.append_log(table, ["k", "at"], F.to_date("at"))
+    step(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("b", "2024-01-02", 1)), 0)
+    step(rows(spark, ("a", "2024-01-01", 9), ("c", "2023-01-01", 3), (None, None, 4)), 1)
+    step(rows(spark), 2)
+    step(rows(spark, ("a", "2024-01-01", 9), ("c", "2023-01-01", 3), (None, None, 4)), 1)  # again
+    assert {(r._batch, r._part, r.v) for r in table.slices().collect()} == {(0, "2024-01-01", 1), (0, "2024-01-02", 1), (1, "2023-01-01", 3), (1, None, 4)}
+    step(rows(spark, ("c", "2023-01-01", 5), ("d", "2024-01-02", 6)), 3)
+    small = table.compacted(str(tmp_path / "small"))
+    assert {(r._batch, r.v) for r in small.slices().collect()} == {(2, 1), (2, 3), (2, 4), (3, 6)}
+    logs.append_log(small, ["k", "at"], F.to_date("at"))(rows(spark, ("a", "2024-01-01", 7), ("e", "2024-01-02", 8)), 3)  # the newest again, with other rows
+    assert sorted(r.v for r in small.read().collect()) == [1, 1, 3, 4, 8]
+
+
+def test_windows_and_states_over_batches(spark, tmp_path):
+    window, state = (logs.Snapshots(spark, str(tmp_path / n), SCHEMA) for n in ("window", "state"))
+    steps = logs.rolling_window(window, ["k", "at"], "at", "k", 2), logs.latest_state(state, "k", "at")
+    assert window.read().count() == state.read().count() == 0
+    for number, batch in enumerate(([("a", "2024-01-03", 3), ("a", "2024-01-01", 1)], [("a", "2024-01-02", 2), ("b", "2024-01-05", 5), ("b", "2024-01-04", 4)], [("b", "2024-01-05", 9), ("a", "2024-01-01", 7)])):
+        for step in steps:
+            step(rows(spark, *batch), number)
+    assert sorted(r.v for r in window.read().collect()) == [4, 5]
+    assert {(r.k, r.v) for r in state.read().collect()} == {("a", 3), ("b", 9)}
+    assert {(r.k, r.v) for r in state.read(before=2).collect()} == {("a", 3), ("b", 5)}
+    assert sorted(r.v for r in window.slices().where("_batch = 2").collect()) == []
+    for table in (window, state):
+        small = table.compacted(f"{table.path}-small")
+        assert sorted(small.read().collect()) == sorted(table.read().collect())
+    assert small.slices().where("_batch = 1").count() == 2
