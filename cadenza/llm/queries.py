@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ans, chat, ctw, decontam, langid, piece, quality, simhash_vp, suffix_dedup, token_counts
+from cadenza.llm import ans, centroids, chat, ctw, decontam, langid, multi_index, phrases, piece, quality, simhash_vp, suffix_dedup, token_counts
 from cadenza.llm.common import documents, held_out, shared_dir
 
 
@@ -19,6 +19,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_viterbi_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.train(docs.where(~held_out("doc_id", 4, 2)))
@@ -69,6 +73,19 @@ def op10_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_pair_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(documents(spark, sf_dir))
+
+
+def op12_hamerly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.summed(*centroids.cluster(embeddings(spark, sf_dir)))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(embeddings(spark, sf_dir), F.col("id") % multi_index.EVERY == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -84,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_codec": op8_piece_codec,
     "op9_token_counts": op9_token_counts,
     "op10_simhash_vp": op10_simhash_vp,
+    "op11_pair_naming": op11_pair_naming,
+    "op12_hamerly": op12_hamerly,
+    "op13_multi_index": op13_multi_index,
     "pipeline": pipeline,
 }
 
@@ -117,7 +137,52 @@ t AS (
   SELECT *, 1 + CASE WHEN sys THEN last_no - no WHEN next_repeats AND closes - starts <= {chat.HISTORY} THEN 1 ELSE 0 END AS times, length(piece) AS chars FROM i)
 """
 
+
+def _op12_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds one after the other, all centroids scanned for every vector."""
+    said = f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS i, unnest(v) AS x FROM e),
+c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS i, unnest(v) AS c FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id), vec_id, v) - 1 AS k FROM e) WHERE k < {k})"""
+    for r in range(rounds + 1):
+        said += f""",
+d{r} AS (SELECT vec_id, k, sum((x - c) * (x - c)) AS d FROM p JOIN c{r} USING (i) GROUP BY vec_id, k),
+a{r} AS MATERIALIZED (SELECT vec_id, k, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1)"""
+        if r < rounds:
+            said += f""",
+m{r} AS (SELECT k, i, CAST((s - ((s % n) + n) % n) / n AS BIGINT) AS c FROM (SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM p JOIN a{r} USING (vec_id) GROUP BY k, i)),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.k, c{r}.i, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k, i))"""
+    return said + f""",
+h AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha AS centroid_sha256 FROM a{rounds} JOIN h USING (k)"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_hamerly": _op12_sql(),
+    "op11_pair_naming": rf"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+s AS (SELECT doc, lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\f\r]')) AS piece FROM d),
+q AS (SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM s),
+w AS MATERIALIZED (SELECT piece, lang, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM q),
+g AS (SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM w WINDOW p AS (PARTITION BY piece ORDER BY i)),
+g1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM w GROUP BY ALL),
+g2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+g3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+n AS (SELECT lang, sum(f) AS n FROM g1 GROUP BY lang),
+over2 AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, w1 AS x, w2 AS y, f FROM g3 UNION ALL SELECT lang, w2, w3, f FROM g3) GROUP BY ALL),
+c2 AS (SELECT g2.lang, g2.w1 || ' ' || g2.w2 AS phrase, g2.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM g2 JOIN g1 x ON x.lang = g2.lang AND x.w1 = g2.w1 JOIN g1 y ON y.lang = g2.lang AND y.w1 = g2.w2
+  LEFT JOIN over2 o ON o.lang = g2.lang AND o.x = g2.w1 AND o.y = g2.w2 WHERE g2.f >= {phrases.LEAST} AND (o.f IS NULL OR 100 * o.f < {phrases.SUBSUMED} * g2.f)),
+c3 AS (
+  SELECT g3.lang, g3.w1 || ' ' || g3.w2 || ' ' || g3.w3 AS phrase, g3.f AS a, x.f AS l, y.f AS r, 1 AS k FROM g3 JOIN g1 x ON x.lang = g3.lang AND x.w1 = g3.w1 JOIN g2 y ON y.lang = g3.lang AND y.w1 = g3.w2 AND y.w2 = g3.w3
+  UNION ALL
+  SELECT g3.lang, g3.w1 || ' ' || g3.w2 || ' ' || g3.w3, g3.f, x.f, y.f, 2 FROM g3 JOIN g2 x ON x.lang = g3.lang AND x.w1 = g3.w1 AND x.w2 = g3.w2 JOIN g1 y ON y.lang = g3.lang AND y.w1 = g3.w3),
+c AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM (SELECT * FROM c2 UNION ALL SELECT * FROM c3)),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b) JOIN n USING (lang) WHERE rank <= {phrases.TOP}""",
     "op6_chat_windows": _OP6_TURNS + """
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
