@@ -1,7 +1,7 @@
 """The stages of the corpus pipeline: from raw documents to token ids.
 
 Each takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of documents; the last
-adds ``piece_ids`` and ``decoded``.  Nulls in any column, repeated rows, rows that share an id, empty tables and extra columns are taken as the operators define.
+adds ``piece_ids``, ``decoded`` and ``same_ids``.  Nulls in any column, repeated rows, rows that share an id, empty tables and extra columns are taken as the operators define.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def piece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each text, and the text that they decode to."""
+    """Piece ids of each text, the text that they decode to, and whether all ids are the rebuilt tokenizer's."""
     import public_tokenizers
 
     return piece.add_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
