@@ -7,8 +7,9 @@ window, that window repeats none.  So no window is over budget, unless its only
 such a window is marked ``over_budget``.  The loss mask covers the texts of its own assistant turns only, so each target is
 learned once; repeated turns are context.
 
-What is left of the room depends on where the window began, which is a fold over the turns before.  It runs on the sizes of at most
-``RUN`` turns: a window also opens at every ``RUN``-th turn, so that no array grows with a conversation.
+What is left of the room depends on where the window began, which is a fold over the turns before.  It runs once a conversation, on an array of three numbers a turn (no texts),
+and gives the turns that open a window, which are joined back.  The fold goes by runs of ``RUN`` turns and keeps a list a run, so what it copies stays in proportion to the turns;
+runs change no window.
 
 Template: ``<s>`` role newline text ``</s>`` for each turn.  Inside roles and texts ``&``, ``<`` and ``[`` are
 written ``&amp;``, ``&lt;`` and ``&lb;`` (and a newline in a role ``&nl;``), so control strings occur nowhere but as marks,
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUDGET, HISTORY, RUN = 1024, 256, 64
+BUDGET, HISTORY, RUN = 1024, 256, 512
 #: What stands for each character inside a turn, in the order of writing.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
 OPEN, CLOSE = "<s>", "</s>"
@@ -54,16 +55,35 @@ def turn_tokens(formatted: Column) -> Column:
     return F.ceil(F.octet_length(formatted) / 4).cast("long")
 
 
+def window_starts(rows: DataFrame) -> DataFrame:
+    """conv and ord of the turns that open a window, with opens = 1; ``rows``: conv, ord, n and room (what a window that this turn opens has room for) of every turn."""
+    long = lambda v: F.lit(v).cast("long")
+
+    def place(held: Column, x: Column) -> Column:
+        fits = held["used"] + x["n"] <= held["room"]
+        used, room = F.when(fits, held["used"] + x["n"]).otherwise(x["n"]), F.when(fits, held["room"]).otherwise(x["room"])
+        return F.struct(used.alias("used"), room.alias("room"), F.when(fits, held["starts"]).otherwise(F.concat(held["starts"], F.array(x["ord"]))).alias("starts"))
+
+    def run(held: Column, turns: Column) -> Column:
+        got = F.aggregate(turns, F.struct(held["used"].alias("used"), held["room"].alias("room"), F.array().cast("array<long>").alias("starts")), place)
+        return F.struct(got["used"].alias("used"), got["room"].alias("room"), F.concat(held["runs"], F.array(got["starts"])).alias("runs"))
+
+    sizes = rows.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct(F.col("ord").cast("long").alias("ord"), F.col("n").cast("long").alias("n"), F.col("room").cast("long").alias("room")))).alias("turns"))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("turns") - 1) / RUN).cast("int")), lambda k: F.slice("turns", k * RUN + 1, RUN))
+    nothing = F.struct(long(1).alias("used"), long(0).alias("room"), F.array().cast("array<array<long>>").alias("runs"))  # full, so the first turn opens a window
+    return sizes.select("conv", F.explode(F.flatten(F.aggregate(runs, nothing, run)["runs"])).alias("ord"), F.lit(1).alias("opens"))
+
+
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=turn_tokens) -> DataFrame:
     """conv_id, window_no, formatted, n_context (turns repeated at the start, of which the system turn is the first if there is one), loss_spans (start,
     length in code points of ``formatted``, in order), n_tokens (by ``tokens``, a function of a written turn) and over_budget."""
-    rows = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = turns.select("conv_id", F.struct("conv_id").alias("conv"), "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("piece", F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(CLOSE))).withColumn("n", tokens(F.col("piece")))
     whole = Window.partitionBy("conv_id")
     ordered = whole.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     is_system = F.col("role") == "system"
     rows = rows.withColumns({"ord": F.row_number().over(ordered), "of_system": F.sum(is_system.cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))})
-    rows = rows.withColumn("system", is_system & (F.col("of_system") == 1)).withColumn("run", F.floor((F.col("ord") - 1) / RUN))
+    rows = rows.withColumn("system", is_system & (F.col("of_system") == 1))
     by_ord = whole.orderBy("ord")
     before = by_ord.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumns({"starts": F.coalesce(F.sum(F.when(F.col("system"), 0).otherwise(F.col("n"))).over(before), F.lit(0)), "fixed": F.coalesce(F.sum(F.when(F.col("system"), F.col("n"))).over(before), F.lit(0))})
@@ -71,14 +91,7 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     rows = rows.withColumn("past", F.coalesce(F.col("starts") - near, F.lit(0)))
     rows = rows.withColumn("repeats", F.col("fixed") + F.col("past") + F.col("n") <= budget)
     rows = rows.withColumn("room", F.lit(budget) - F.col("fixed") - F.when(F.col("repeats"), F.col("past")).otherwise(0))
-    sizes = F.collect_list(F.struct("n", "room")).over(Window.partitionBy("conv_id", "run").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
-    nothing = F.struct(F.lit(0).alias("windows"), F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("room"), F.lit(False).alias("opens"))
-
-    def place(held: Column, x: Column) -> Column:
-        fits = (held["windows"] > 0) & (held["used"] + x["n"] <= held["room"])
-        return F.struct((held["windows"] + F.when(fits, 0).otherwise(1)).alias("windows"), (F.when(fits, held["used"]).otherwise(0) + x["n"]).alias("used"), F.when(fits, held["room"]).otherwise(x["room"]).alias("room"), (~fits).alias("opens"))
-
-    rows = rows.withColumn("opens", F.aggregate(sizes, nothing, place)["opens"].cast("int"))
+    rows = rows.join(window_starts(rows), ["conv", "ord"], "left").withColumn("opens", F.coalesce("opens", F.lit(0)))
     rows = rows.withColumn("window_no", F.sum("opens").over(by_ord.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     by_window = whole.orderBy("window_no")
     rows = rows.withColumns({

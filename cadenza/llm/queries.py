@@ -126,7 +126,7 @@ d AS (
 e AS (
   SELECT *, fixed + past + n <= {chat.BUDGET} AS repeats, {chat.BUDGET} - fixed - CASE WHEN fixed + past + n <= {chat.BUDGET} THEN past ELSE 0 END AS room FROM d),
 f AS (
-  SELECT *, list({{'n': n, 'room': room, 'used': n, 'opens': 1}}) OVER (PARTITION BY conv_id, (ord - 1) // {chat.RUN} ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far FROM e),
+  SELECT *, list({{'n': n, 'room': room, 'used': n, 'opens': 1}}) OVER (PARTITION BY conv_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far FROM e),
 g AS (
   SELECT *, list_reduce(so_far, lambda h, x: CASE WHEN h.used + x.n <= h.room THEN {{'n': x.n, 'room': h.room, 'used': h.used + x.n, 'opens': 0}} ELSE x END).opens AS opens FROM f),
 h AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY ord) AS no FROM g),

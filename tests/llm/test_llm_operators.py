@@ -390,6 +390,31 @@ def test_no_window_is_over_budget(spark):
         assert digest[c].turns_sha256 == sha("".join(f"{r}\n{t}\n" for _, _, r, t in own)) and digest[c].loss_sha256 == sha("".join(t for _, _, r, t in own if r == "assistant"))
 
 
+@pytest.mark.parametrize("run", [3, 512])
+def test_short_turns_fill_windows(spark, monkeypatch, run):
+    """Windows are what a loop over the turns gives, whatever the length of a run of the fold."""
+    monkeypatch.setattr(chat, "RUN", run)
+    rows = [(c, k, "assistant" if k % 2 else "user", f"two{k} words" * (1 + k % 3 * c)) for c in (0, 1) for k in range(256)] + [(None, k, "system" if k == 0 else "user", "x y") for k in range(40)]
+    windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {(r.conv_id, r.window_no): r.n_tokens for r in windows.select("conv_id", "window_no", "n_tokens").collect()}
+    most = max(math.ceil(len(f"<s>{r}\n{t}</s>") / 4) for _, _, r, t in rows)
+    for conv in (0, 1, None):
+        last = max(w for c, w in got if c == conv)
+        assert all(chat.BUDGET - most < n <= chat.BUDGET for (c, w), n in got.items() if c == conv and w < last)
+    assert len(got) >= 6
+
+
+def test_tokens_beside_marks(spark, small_batches):
+    """Texts over spaces, marks, emoji and ideographs have sentencepiece's ids, and the flag holds only where they are the rebuilt tokenizer's."""
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcqx 1  ▁▁😀日本é\n.") for _ in range(rnd.randrange(14))) for _ in range(6000)] + ["x▁ 😀", "q▁  z", "▁ 1", "a ▁ ▁ c", "", " ", "▁", " ▁ "]
+    made = piece.codec(PIECES)
+    own = made.own.encode(texts)
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for r in piece.encode_decode(df, PIECES, with_ids=True).collect():
+        assert r.ids == own[r.doc_id] and (not r.same_ids or made.fast.encode(texts[r.doc_id], add_special_tokens=False).ids == r.ids)
+
+
 # 7 decontamination
 
 
