@@ -31,6 +31,14 @@ def long_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def own_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_, name__, ... that isn't a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -111,11 +119,23 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes that depends on its content alone."""
+    """A 64-bit hash of each span of bytes that depends on its content alone.
+
+    A span of eight bytes and more is the polynomial of its mixed 8-grams (a plain polynomial of bytes modulo 2 ** 64 has long texts of one hash for every base),
+    a shorter one is its bytes as a number."""
+    if not starts.size:
+        return np.zeros(0, np.uint64)
+    grams = np.zeros(data.size + 8, np.uint64)
+    grams[: data.size] = data
+    for k in (1, 2, 4):  # little-endian words of 2, 4 and 8 bytes from each position on
+        grams[:-k] |= grams[k:] << np.uint64(8 * k)
+    sizes = ends - starts
+    short = sizes < 8
     sums = np.zeros(data.size + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, data.size + 1)[: data.size], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _powers(_INVERSE, data.size + 1)[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+    np.cumsum(mix(grams[: data.size]) * _powers(_BASE, data.size + 1)[: data.size], out=sums[1:])
+    h = (sums[np.maximum(ends - 7, starts)] - sums[starts]) * _powers(_INVERSE, data.size + 1)[starts]
+    h[short] = grams[starts[short]] & ((np.uint64(1) << (8 * sizes[short]).astype(np.uint64)) - np.uint64(1))
+    return mix(h ^ (sizes.astype(np.uint64) << np.uint64(48)) ^ np.uint64(0x9E3779B97F4A7C15))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, span_hashes, steps
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, own_name, span_hashes, steps
 
 #: The masks; 1 is a token that counts.
 MASKS = ("111111", "1101001011", "10110001101", "110010100011")
@@ -282,5 +282,6 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **limits) -> DataFrame:
     """The rows without a verified overlap, in the columns of ``docs``.  A row is known by its id (which may be null) and its text, so rows of one id with other texts are
     judged apart."""
-    leaks = findings(docs, items, text, key, **limits).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(leaks, F.col(key).cast("long").eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+    of_key, of_hash = own_name(docs, "of_key"), own_name(docs, "of_hash")
+    leaks = findings(docs, items, text, key, **limits).select(F.col(key).alias(of_key), F.col("text_hash").alias(of_hash)).distinct()
+    return docs.join(leaks, F.col(key).cast("long").eqNullSafe(F.col(of_key)) & (F.xxhash64(text) == F.col(of_hash)), "left_anti")

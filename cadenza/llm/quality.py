@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import long_rows, materialize, output, steps
+from cadenza.llm.common import long_rows, materialize, output, own_name, steps
 
 LINE_DOCS, KEPT_SHARE, LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 0.4, 10, 20, 5
 SYMBOLS = "#*$%&|<>"
@@ -121,16 +121,17 @@ def drop_lines(text: bytes, gone: set[int]) -> bytes:
 
 def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source", **limits) -> DataFrame:
     """The kept documents with boilerplate lines removed, in the columns of ``docs``."""
-    kept = verdicts(docs, text, key, host, **limits).where("kept").groupBy(F.col(key).alias("_key"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash")).agg(F.first("gone").alias("_gone"))
+    of_key, of_host, of_hash, lines = (own_name(docs, n) for n in ("of_key", "of_host", "of_hash", "gone"))
+    kept = verdicts(docs, text, key, host, **limits).where("kept").groupBy(F.col(key).alias(of_key), F.col("host").alias(of_host), F.col("text_hash").alias(of_hash)).agg(F.first("gone").alias(lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, gone = batch.schema.get_field_index(text), batch.column("_gone").to_pylist()
+            at, gone = batch.schema.get_field_index(text), batch.column(lines).to_pylist()
             if any(gone):
                 texts = [t if not g or t is None else drop_lines(t.encode(), set(g)).decode() for t, g in zip(batch.column(at).to_pylist(), gone, strict=True)]
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-            yield batch.drop_columns(["_gone"])
+            yield batch.drop_columns([lines])
 
-    same = F.col(key).cast("long").eqNullSafe(F.col("_key")) & F.col(host).cast("string").eqNullSafe(F.col("_host")) & (F.xxhash64(text) == F.col("_hash"))
-    joined = long_rows(docs).join(kept, same).drop("_key", "_host", "_hash")
+    same = F.col(key).cast("long").eqNullSafe(F.col(of_key)) & F.col(host).cast("string").eqNullSafe(F.col(of_host)) & (F.xxhash64(text) == F.col(of_hash))
+    joined = long_rows(docs).join(kept, same).drop(of_key, of_host, of_hash)
     return joined.mapInArrow(run, docs.schema)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, scratch, span_hashes, steps, word_spans
+from cadenza.llm.common import column_bytes, long_rows, materialize, mix, output, own_name, scratch, span_hashes, steps, word_spans
 from cadenza.operators import rank
 
 SHINGLE, LIMIT = 3, 2
@@ -236,8 +236,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 
 def _first_of_each(docs: DataFrame, found: DataFrame, text: str, key: str) -> DataFrame:
     """``docs`` without the rows (by id and text) that ``found`` puts into a component under another id."""
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(gone, (F.col(key).cast("long") == F.col("_key")) & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+    of_key, of_hash = own_name(docs, "of_key"), own_name(docs, "of_hash")
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(of_key), F.col("text_hash").alias(of_hash)).distinct()
+    return docs.join(gone, (F.col(key).cast("long") == F.col(of_key)) & (F.xxhash64(text) == F.col(of_hash)), "left_anti")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, limit: int = LIMIT, sample: int = SAMPLE) -> DataFrame:

@@ -19,7 +19,7 @@ earlier in its own.  Verdicts are on the input, matches never cross documents, a
 Runs are equal in content if two independent 64-bit hashes of them agree, and windows of one anchor in different shards if a 64-bit hash of them does; within a shard bytes are compared.
 
 Null and short texts have no windows.  Rows that repeat an id with the same text are one document, and all keep the
-same bytes; ids must otherwise be unique.  A row with a null id is neither compared nor cut.  Extra columns pass through ``apply``.
+same bytes; rows of one id with other texts are documents of their own, in the order of a hash of their texts.  A row with a null id is neither compared nor cut.  Extra columns pass through ``apply``.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import column_bytes, long_rows, materialize, output, span_hashes, steps
+from cadenza.llm.common import column_bytes, long_rows, materialize, output, own_name, span_hashes, steps
+from cadenza.operators import rank
 
 LENGTH, GRAM = 100, 24
 #: Bytes of a shard's text, different contents of one anchor hash in a shard, and first windows in a range of the merge.
@@ -89,8 +90,14 @@ def pieces(part: pa.RecordBatch, length: int = LENGTH, limit: int = STEP_BYTES)
         yield piece, np.array([0, piece.size]), np.array([0]), low
 
 
-def _texts(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return long_rows(docs).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+def _texts(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """doc and text of the rows with an id.  doc is the id where no id has several texts; else it numbers the pairs of id and text hash in their order, and the pairs (doc, id, th) come, too."""
+    picked = long_rows(docs).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    pairs = picked.select("id", "th").distinct()
+    if pairs.groupBy("id").count().where("count > 1").isEmpty():
+        return picked.select(F.col("id").alias("doc"), "text"), None
+    numbered = materialize(rank.positions(pairs, ["id", "th"], "doc"), "numbered")
+    return materialize(picked.join(numbered, ["id", "th"]).select("doc", "text"), "texts"), numbered
 
 
 def anchor_counts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -210,7 +217,8 @@ def shard_repeats(runs: DataFrame, length: int = LENGTH, shard_runs: int = SHARD
         number = window_classes(data, window, length)
         by = np.lexsort((at, doc, number))
         opens = np.r_[True, number[by][1:] != number[by][:-1]]
-        repeat = by[~opens]
+        leader = by[opens][np.cumsum(opens) - 1]
+        repeat = by[(doc[by] != doc[leader]) | (at[by] != at[leader])]  # a row that occurs twice brings its windows twice
         d, a, k = spans_of(doc[repeat], at[repeat])
         none, empty = pa.nulls(d.size, pa.int64()), pa.nulls(d.size, pa.list_(pa.int64()))
         yield output(schema, h=none, range=none, shard=none.cast(pa.int32()), doc=d, at=a.astype(np.int32), n=k.astype(np.int32), places=empty.cast(pa.list_(pa.int32())), hashes=empty)
@@ -293,8 +301,8 @@ def merge_shards(found: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_runs: int = SHARD_RUNS) -> DataFrame:
-    """doc and spans (first window, number of windows): all windows that start earlier elsewhere."""
-    texts = _texts(docs, text, key)
+    """of_id, of_hash (a text's, or null where the id has one text) and spans (first window, number of windows): all windows that start earlier elsewhere."""
+    texts, numbered = _texts(docs, text, key)
     often = materialize(anchor_counts(texts, length), "anchors")
     live = materialize(all_runs(texts, length).join(often, "h"), "runs")
     firsts = materialize(live.groupBy("h", "s").agg(F.min(F.struct("doc", "at", "n")).alias("one")), "contents")
@@ -317,7 +325,18 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: in
     found = shard_repeats(texts.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(extract, "h long, runs long, doc long, at int, n int, bytes binary"), length, shard_runs)
     found = materialize(found, "found")
     every = same.union(found.where("n > 0").select("doc", "at", "n")).union(merge_shards(found))
-    return joined_runs(every).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    spans = joined_runs(every).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    if numbered is None:
+        return spans.select(F.col("doc").alias("of_id"), F.lit(None).cast("long").alias("of_hash"), "spans")
+    return spans.join(numbered, "doc").select(F.col("id").alias("of_id"), F.col("th").alias("of_hash"), "spans")
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame, text: str, key: str, name: str) -> DataFrame:
+    """``docs`` with their spans as the last column, ``name``."""
+    spans = spans.select(F.col("of_id").alias(own_name(docs, "of_id")), F.col("of_hash").alias(own_name(docs, "of_hash")), F.col("spans").alias(name))
+    of_id, of_hash = spans.columns[:2]
+    same = (F.col(key).cast("long") == F.col(of_id)) & (F.col(of_hash).isNull() | (F.xxhash64(text) == F.col(of_hash)))
+    return docs.join(spans, same, "left").drop(of_id, of_hash)
 
 
 def joined_runs(runs: DataFrame) -> DataFrame:
@@ -372,24 +391,24 @@ def measure_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
             yield output(schema, **{key: part.column("_id")}, **{k: list(v) for k, v in columns.items()})
 
     picked = long_rows(docs).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("text"))
-    joined = picked.join(repeats(docs, text, key, length, shard_runs), F.col("_id") == F.col("doc"), "left").select("_id", "text", "spans")
+    joined = _with_spans(picked, repeats(docs, text, key, length, shard_runs), "text", "_id", "spans")
     return joined.mapInArrow(run, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def apply(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_runs: int = SHARD_RUNS) -> DataFrame:
     """``docs`` with repeats cut from their texts (and the rest of a character that a cut splits); rows that are left without a word go."""
+    held = own_name(docs, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            touched = [bool(s) for s in batch.column("_spans").to_pylist()]
+            touched = [bool(s) for s in batch.column(held).to_pylist()]
             if any(touched):
-                part = pa.RecordBatch.from_arrays([batch.column(at), batch.column("_spans")], names=["text", "spans"])
+                part = pa.RecordBatch.from_arrays([batch.column(at), batch.column(held)], names=["text", "spans"])
                 old = batch.column(at).to_pylist()
                 texts = [own[keep].tobytes().decode("utf-8", "ignore") if hit else was for (own, keep), hit, was in zip(_cut(part, length), touched, old, strict=True)]
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
                 batch = batch.filter(pa.array([not hit or bool(t.encode().split()) for t, hit in zip(texts, touched, strict=True)]))
-            yield batch.drop_columns(["_spans"])
+            yield batch.drop_columns([held])
 
-    spans = repeats(docs, text, key, length, shard_runs).select(F.col("doc").alias("_doc"), F.col("spans").alias("_spans"))
-    return long_rows(docs).join(spans, F.col(key).cast("long") == F.col("_doc"), "left").drop("_doc").mapInArrow(run, docs.schema)
+    return _with_spans(long_rows(docs), repeats(docs, text, key, length, shard_runs), text, key, held).mapInArrow(run, docs.schema)

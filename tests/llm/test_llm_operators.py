@@ -310,6 +310,37 @@ def test_repeats(docs, corpus, shard_runs):
     assert got == brute_repeats(corpus)
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """A row is cut by what its own text repeats, whatever its id."""
+    rnd = random.Random(51)
+    prose = lambda n: " ".join(rnd.choice("abcdefghijklmn") * rnd.randrange(1, 9) + str(rnd.randrange(999)) for _ in range(n))
+    c, a, shared = prose(150), prose(150), prose(40)
+    b = prose(20) + " " + c[100:450] + " " + prose(20)
+    cases = [[(0, c), (1, a), (1, b)], [(0, c), (1, b), (1, "short text here")], [(1, c), (1, b), (1, b), (1, a), (2, shared), (2, f"x{shared}"), (2, None), (None, c)]]
+    for rows in cases:
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        numbered = [r.text for r in df.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"), "text").distinct().orderBy("doc_id", "h").collect()]
+        found = dict(zip(numbered, brute_repeats(list(enumerate(numbered))).values(), strict=True))
+        got = suffix_dedup.measure_cuts(df).where("doc_id is not null").collect()
+        assert sorted(tuple(r) for r in got) == sorted((i, *found[t]) for i, t in rows if i is not None)
+        kept = sorted((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in suffix_dedup.apply(df).where("doc_id is not null").collect())
+        assert kept == sorted((i, found[t][3]) for i, t in rows if i is not None and (found[t][0] > found[t][1] or not found[t][1]))
+
+
+def test_span_hashes_depend_on_content_alone():
+    """No two spans of other content agree, not even those on which polynomials modulo 2 ** 64 do; equal ones do wherever they stand."""
+    from cadenza.llm.common import span_hashes
+
+    thue = bytes(97 + bin(i).count("1") % 2 for i in range(4096))
+    other = bytes(195 - x for x in thue)
+    rnd = random.Random(6)
+    parts = [thue[:1024], other[:1024], thue, other, *(bytes(rnd.choice(b"ab") for _ in range(n)) for n in range(1, 40)), b"", b"a", b"a\0", b"\0a"]
+    data = np.frombuffer(b"|".join(parts * 2), np.uint8)
+    ends = np.cumsum([len(p) + 1 for p in parts * 2]) - 1
+    got = span_hashes(data, ends - [len(p) for p in parts * 2], ends)
+    assert np.array_equal(got[: len(parts)], got[len(parts) :]) and len(set(got.tolist())) == len(set(parts))
+
+
 def test_runs_are_joined(spark, small_batches):
     rnd = random.Random(17)
     rows = [(rnd.randrange(5), rnd.randrange(300), rnd.randrange(1, 9)) for _ in range(400)]

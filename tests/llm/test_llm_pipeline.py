@@ -59,4 +59,15 @@ def test_rows_without_sound_ids_run_through(spark, tmp_path):
     cut = dict(x for x in kept["suffix_array_dedup"] if x[0] == 6)
     assert shared not in cut[6] and texts[11].startswith(cut[6][:40]) and len(kept["suffix_array_dedup"]) == len(rows) - len(gone)
     assert len(kept["benchmark_decontamination"]) == len(rows) - len(gone) - 2 and not any(item in t for _, t in kept["benchmark_decontamination"])
-    assert df.columns == ["doc_id", "text", "lang", "source", "n_chars", "tokens", "piece_ids", "decoded"] and df.where("text <> decoded").count() == 0
+    assert df.columns == ["doc_id", "text", "lang", "source", "n_chars", "tokens", "piece_ids", "decoded", "same_ids"] and df.where("text <> decoded").count() == 0
+
+
+def test_helper_names_as_extra_columns(spark, sf, tmp_path):
+    """Columns named as those that the stages add on their way pass through."""
+    names = ["_key", "_host", "_gone", "_hash", "_doc", "_spans", "of_key", "of_host", "OF_HASH", "gone", "of_id", "spans", "spans_", "host", "text_hash", "fp", "class"]
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    df = plain.selectExpr("*", *(f"concat('{n}', doc_id) as {n}" for n in names))
+    for _, stage in corpus_pipeline.STAGES:
+        plain, df = stage(spark, plain, sf).checkpoint(), stage(spark, df, sf).checkpoint()
+    assert df.drop(*names).exceptAll(plain).count() == 0 and df.count() == plain.count()
+    assert df.where(" or ".join(f"{n} <> concat('{n}', doc_id)" for n in names)).count() == 0
