@@ -36,8 +36,8 @@ TOP, EVERY = 20, 20
 #: Entries that the driver sees to fit codebooks, queries among them that measure the share, and what share of their neighbours is to be found there.
 SAMPLE, ASKED, RECALL = 16_384, 512, 0.97
 MOST_CENTROIDS, STEPS = 256, 12
-#: Entries and queries of a block.
-BLOCK, QUERIES = 8_192, 1_024
+#: Entries and queries of a block, and queries whose cells one task looks for.
+BLOCK, QUERIES, WALKS = 8_192, 1_024, 512
 
 
 def usable(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -212,6 +212,7 @@ def search(vectors: DataFrame, queries, vector: str = "embedding", key: str = "v
             yield output(route, id=of.column("id"), x=of.column("x").cast(pa.list_(item)), first=first, seconds=seconds)
 
     distinct = asking.groupBy("id").agg(F.first("x").alias("x"))  # equal by their id
+    distinct = distinct.repartition(max(1, math.ceil(asking.count() / WALKS)), "id")  # few bytes, but a walk each
     visits = materialize(distinct.mapInArrow(walk, f"id long, x {kind.simpleString()}, first int, seconds array<int>"), "visits")
     asked_of = {r["first"]: r["count"] for r in visits.groupBy("first").count().collect()}  # a row for each centroid
     parts = spark.createDataFrame([(int(c), max(1, math.ceil(int(counts[c].sum()) / block)), max(1, math.ceil(asked_of[c] / asked))) for c in asked_of], "first int, parts int, shares int")
