@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
-from cadenza.operators.rank import best_per_key
+from cadenza.operators.nearest import by_gap, nearest
+from cadenza.operators.rank import best_per_key, top_per_key
+from cadenza.session import durable
 
 #: Strength of the basis of a match; an unknown basis has none.
 BASIS = {"fuzzy-title": 1, "best-of-ambiguous": 2, "best-of-review": 2, "exact-title": 3, "mb-recording": 4, "isrc": 5}
@@ -145,15 +147,17 @@ def evidence(outcomes: DataFrame) -> Column:
 def retrieve(tracks: DataFrame, dump: DataFrame, lyrics: DataFrame, most: int = 200) -> DataFrame:
     """Candidates of each track from a landed dump, nearest in duration first, at most ``most`` (the source's own limit; null durations come first).
 
-    Blocked on the artist key instead of substring search, which would compare all pairs.
+    Blocked on the artist key instead of substring search, which would compare all pairs.  The nearest of an artist's recordings come from a join on the line of durations, so a track
+    forms 2 ``most`` pairs for each of its names at most, however many recordings the artist has.  Of rows of the dump that share artist and id, the one with the least duration (null first) counts.
     """
-    from cadenza.operators.rank import top_per_key
-
-    t = tracks.select("track_id", F.col("duration_sec").alias("_sec"), F.explode(F.array_distinct(F.concat(F.coalesce("artist_names", F.array().cast("array<string>")), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("_name"))
-    t = t.withColumn("_artist", T.artist_key(T.normalize_title("_name"))).select("track_id", "_sec", "_artist").distinct()
+    t = tracks.select("track_id", F.col("duration_sec").cast("double").alias("of"), F.explode(F.array_distinct(F.concat(F.coalesce("artist_names", F.array().cast("array<string>")), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("_name"))
+    t = t.withColumn("key", T.artist_key(T.normalize_title("_name"))).select("track_id", "of", "key").distinct()
+    kept = dump.select("id", "name", "artist_name", "album_name", "duration", "last_lyrics_id", T.artist_key(T.normalize_title("artist_name")).alias("key"))
+    d = durable(best_per_key(kept, ["key", "id"], F.struct(F.col("duration").isNotNull(), "duration", "name", "artist_name", "album_name", "last_lyrics_id")), "dump")
+    near = nearest(t.select("key", "of"), d.select("key", F.col("duration").alias("value"), F.col("id").alias("tie")), most)
+    pairs = t.join(near, (t.key == near.key) & t.of.eqNullSafe(near.of)).select("track_id", near.key, "tie", "gap")
+    one = best_per_key(pairs, ["track_id", "tie"], F.struct(F.col("gap").isNotNull(), "gap", "key"))  # by the nearest of a track's names
+    chosen = top_per_key(one, ["track_id"], by_gap(), most).join(d.withColumnRenamed("id", "tie"), ["key", "tie"])
     body = lyrics.select(F.col("id").alias("last_lyrics_id"), "plain_lyrics", "synced_lyrics", "instrumental")
-    d = dump.join(body, "last_lyrics_id", "left").withColumn("_artist", T.artist_key(T.normalize_title("artist_name")))
-    pairs = t.join(d, "_artist").dropDuplicates(["track_id", "id"])
-    order = [F.abs(F.col("duration") - F.col("_sec")).asc_nulls_first(), F.col("id").asc()]
-    near = top_per_key(pairs, ["track_id"], order, most)
+    near = chosen.join(body, "last_lyrics_id", "left").withColumn("id", F.col("tie"))
     return near.select("track_id", "id", F.col("name").alias("title"), F.col("artist_name").alias("artist"), F.col("album_name").alias("album"), F.col("duration").alias("duration_sec"), F.coalesce("instrumental", F.lit(False)).alias("instrumental"), "plain_lyrics", "synced_lyrics", F.col("id").alias("ord"))
