@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import text as T
 from cadenza.operators.nearest import by_gap, nearest
 from cadenza.operators.rank import best_per_key, top_per_key
+from cadenza.operators.similar import bound, characters
 from cadenza.session import durable
 
 #: Strength of the basis of a match; an unknown basis has none.
@@ -31,7 +32,7 @@ def plausible(tracks: DataFrame, candidates: DataFrame) -> DataFrame:
     """Pairs that agree in artist, title (exact or fuzzy) and duration.
 
     Blocked on the artist key and a two-second bin of the duration with its neighbours, which loses nothing: other pairs can't pass the artist and duration
-    rules.  The fuzzy ratio is computed only for blocked pairs that aren't exact.
+    rules.  The fuzzy ratio is computed only for blocked pairs that aren't exact and have enough characters in common.
     """
     t = _forms(tracks, "title", "t_").select("track_id", F.col("duration_sec").cast("double").alias("t_sec"), "artist_names", "aliases", "t_tokens", "t_plain", "t_base")
     names = F.filter(F.concat(F.coalesce("artist_names", F.array().cast("array<string>")), F.coalesce("aliases", F.array().cast("array<string>"))), lambda n: n.isNotNull() & (n != ""))
@@ -43,7 +44,7 @@ def plausible(tracks: DataFrame, candidates: DataFrame) -> DataFrame:
     pairs = t.join(c, ["_artist", "_bin"]).where(T.duration_matches(F.col("t_sec"), F.col("duration_sec"))).drop("_artist", "_bin").dropDuplicates(["track_id", "id", "ord"])
     exact = (F.col("t_base") != "") & ((F.col("c_base") == F.col("t_base")) | ((F.col("t_plain") != "") & (F.col("c_plain") == F.col("t_plain"))))
     same = pairs.where(exact).withColumns({"kind": F.lit("exact"), "similarity": F.lit(1.0), "base": F.col("t_base")})
-    near = pairs.where(~exact & (F.col("t_plain") != "") & (F.col("c_plain") != "")).withColumn("similarity", T.similarity("t_plain", "c_plain")).where(F.col("similarity") >= T.FUZZY)
+    near = pairs.where(~exact & (F.col("t_plain") != "") & (F.col("c_plain") != "")).where(bound(characters(F.col("t_plain")), characters(F.col("c_plain"))) >= T.FUZZY).withColumn("similarity", T.similarity("t_plain", "c_plain")).where(F.col("similarity") >= T.FUZZY)
     return same.unionByName(near.withColumns({"kind": F.lit("fuzzy"), "base": F.col("c_base")}).select(*same.columns))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import dates
 from cadenza.functions import text as T
-from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve
+from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve, similar
 from cadenza.operators.merge import Rule
 from cadenza.plans import jobs
 
@@ -396,11 +396,26 @@ def base_title(spark, d):
     return _titles(spark, d).select("p_partkey", T.base_title(clean).alias("base"), T.base_title(plain).alias("plain"))
 
 
-@query()
+@query("""
+WITH RECURSIVE t AS (SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages UNION SELECT p_name || ' ' || p_type FROM part),
+c AS (SELECT title, ch, count(*) AS n FROM (SELECT title, unnest(string_split(title, '')) AS ch FROM t WHERE title <> '') GROUP BY ALL),
+p AS (SELECT x.title AS a, y.title AS b FROM c x JOIN c y ON x.ch = y.ch AND x.title <> y.title GROUP BY ALL HAVING 2 * sum(least(x.n, y.n)) >= 0.8 * (length(a) + length(b))),
+s AS (
+  SELECT a, b, 1 AS alo, length(a) + 1 AS ahi, 1 AS blo, length(b) + 1 AS bhi, 0 AS found FROM p
+  UNION ALL
+  SELECT a, b, CASE side WHEN 0 THEN alo ELSE i + k END, CASE side WHEN 0 THEN i ELSE ahi END, CASE side WHEN 0 THEN blo ELSE j + k END, CASE side WHEN 0 THEN j ELSE bhi END, CASE side WHEN 0 THEN k ELSE 0 END
+  FROM (
+    SELECT a, b, alo, ahi, blo, bhi, count(*) AS k, min(i) AS i, min(j) AS j
+    FROM (
+      SELECT *, i - row_number() OVER (PARTITION BY a, b, alo, ahi, blo, bhi, j - i ORDER BY i) AS run
+      FROM (SELECT *, unnest(range(blo, bhi)) AS j FROM (SELECT a, b, alo, ahi, blo, bhi, unnest(range(alo, ahi)) AS i FROM s)) WHERE a[i] = b[j])
+    GROUP BY a, b, alo, ahi, blo, bhi, j - i, run
+    QUALIFY row_number() OVER (PARTITION BY a, b, alo, ahi, blo, bhi ORDER BY count(*) DESC, min(i), min(j)) = 1), (VALUES (0), (1)) v(side))
+SELECT a, b, 2.0 * m / (length(a) + length(b)) AS ratio FROM (SELECT a, b, sum(found) AS m FROM s GROUP BY a, b) WHERE 2.0 * m / (length(a) + length(b)) >= 0.8""")
 def title_similarity(spark, d):
-    names = table(spark, d, "part").select("p_name").distinct().withColumn("head", F.element_at(F.split("p_name", " "), 1))
-    pairs = names.alias("a").join(names.alias("b"), "head").where("a.p_name <> b.p_name")
-    return pairs.select(F.col("a.p_name").alias("a"), F.col("b.p_name").alias("b"), T.similarity("a.p_name", "b.p_name").alias("ratio"))
+    titles = table(spark, d, "pages").select(F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    named = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title"))
+    return similar.similar(titles.union(named), T.FUZZY)
 
 
 def _tracks(spark, d):
