@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import dates
 from cadenza.functions import text as T
-from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve
+from cadenza.operators import assign, calendar, joins, merge, rank, reconcile, resolve
 from cadenza.operators.merge import Rule
 from cadenza.session import durable
 from cadenza.sources import flatten
@@ -209,8 +209,8 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     """MusicBrainz ids of artists: artist_id, mbid (or ``not_found``) and aliases.
 
     ``pending``: artist_id, name, genres, ord; ``found``: artist_id, mbid, score, country, aliases, ord.  Candidates need the score and a plausible country; one whose country
-    is missing while the hint says Korea needs a Hangul alias.  An id goes to one artist, as if artists chose one after another in the order of ``ord``.  Each
-    round settles every artist whose wish no earlier unsettled artist could take, so rounds follow the longest chain of artists that share ids, not the number of artists.
+    is missing while the hint says Korea needs a Hangul alias.  An id goes to one artist, as if artists chose one after another in the order of ``ord``
+    (``operators.assign``: rounds follow the logarithm of the longest chain of artists that displace each other).
     """
     hint = T.country_hint(F.col("genres"))
     c = found.where(F.col("score") >= least_score).join(pending.select("artist_id", "name", hint.alias("hint"), F.col("ord").alias("artist_ord")), "artist_id")
@@ -219,18 +219,11 @@ def identify_artists(pending: DataFrame, found: DataFrame, taken: DataFrame, lea
     c = c.where(T.country_plausible(F.col("hint"), F.col("country")) & (~F.coalesce(F.col("hint") == "KR", F.lit(False)) | ~missing | korean))
     c = c.join(taken.select("mbid").distinct(), "mbid", "left_anti")
     c = c.select("artist_id", "artist_ord", "mbid", (-F.col("score")).alias("rank"), F.col("ord").alias("at"), T.clean_aliases(F.coalesce("aliases", F.array().cast("array<string>")), F.col("name")).alias("aliases"))
-    left, given = durable(c, "asking"), None
-    while True:  # the first artist in each chain of shared ids has its wish; who wishes for one of those ids asks again
-        wish = rank.best_per_key(left, ["artist_id"], F.struct("rank", "at", "mbid"))
-        first = left.groupBy("mbid").agg(F.min(F.struct("artist_ord", "artist_id")).alias("first"))  # nobody before may still come to want it
-        sure = wish.join(first, "mbid").where(F.struct("artist_ord", "artist_id") == F.col("first")).select(*wish.columns)
-        sure = durable(sure, "given")
-        if sure.isEmpty():
-            break
-        given = sure if given is None else given.unionByName(sure)
-        rest = left.join(sure.select("artist_id"), "artist_id", "left_anti").join(sure.select("mbid"), "mbid", "left_anti")
-        left = durable(rest, "asking")
-    given = left.where("false") if given is None else given
+    c = durable(c, "asking")
+    place = F.struct("rank", "at", "mbid")
+    given, _ = assign.assign(c.select(F.col("artist_id").alias("who"), F.col("artist_ord").alias("ord"), F.col("mbid").alias("what"), place.alias("place")))
+    given = given.select(F.col("who").alias("artist_id"), F.col("what").alias("mbid"))
+    given = rank.best_per_key(c.join(given, ["artist_id", "mbid"]), ["artist_id"], place)
     rows = pending.select("artist_id").join(given.select("artist_id", "mbid", "aliases"), "artist_id", "left")
     return rows.select("artist_id", F.coalesce("mbid", F.lit("not_found")).alias("mbid"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
 
