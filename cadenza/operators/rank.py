@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,20 +46,71 @@ def positions(df: DataFrame, order: list[str], name: str = "position") -> DataFr
     return numbered.join(F.broadcast(starts.select("_part", "_start")), "_part").withColumn(name, F.col("_start") + F.col("_in")).drop("_part", "_in", "_start")
 
 
+def _part_of(key: Column, cuts: list[Column], low: int = 0, high: int | None = None) -> Column:
+    """How many of ``cuts`` (ascending) are at or below ``key``, by halving."""
+    high = len(cuts) if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(key < cuts[middle], _part_of(key, cuts, low, middle)).otherwise(_part_of(key, cuts, middle + 1, high))
+
+
+def rank_range(df: DataFrame, order: list[str], pick: Callable[[int], tuple[int, int]], name: str = "position", parts: int = 128, rounds: int = 4) -> tuple[DataFrame, int, int]:
+    """Rows of ranks ``start`` to ``stop`` - 1 in a total order, with their rank as ``name``, and both bounds.  ``pick`` gives the bounds for the number of rows.
+
+    A selection, not a sort: keys with the least hashes cut the order into ``parts``, one pass counts each part, and only the parts that hold wanted ranks are looked at again, until
+    they hold little besides (or ``rounds`` are over, or equal keys can't be cut).  What is left is numbered; nothing else is shuffled or written.
+    """
+    left, before, bounds, size = df, 0, None, None
+    key, kinds = F.struct(*order), {f.name: f.dataType for f in df.schema.fields}
+    literal = lambda r: F.struct(*(F.lit(r[c]).cast(kinds[c]).alias(c) for c in order))
+    for _ in range(rounds):
+        cut = left.select(*order).orderBy(F.xxhash64(*order), *order).limit(parts - 1).distinct().orderBy(*order).collect()
+        cuts = [literal(r) for r in cut]
+        held = {r["part"]: r["count"] for r in left.groupBy(_part_of(key, cuts).alias("part")).count().collect()}  # ``parts`` rows
+        if bounds is None:
+            bounds = pick(sum(held.values()))
+        start, stop = bounds
+        low, high, at = None, None, before
+        for part in sorted(held):
+            if at < stop and at + held[part] > start:
+                low, high, first = (part if low is None else low), part, (at if low is None else first)
+            at += held[part]
+        if low is None:
+            return df.limit(0).withColumn(name, F.lit(0).cast("long")), start, stop
+        inside = F.lit(True)
+        if low > 0:
+            least = cut[low - 1][order[0]]
+            inside &= (key >= cuts[low - 1]) & (F.lit(True) if least is None else F.col(order[0]) >= F.lit(least))
+        if high < len(cuts):
+            most = cut[high][order[0]]
+            inside &= (key < cuts[high]) & (F.lit(True) if most is None else F.col(order[0]).isNull() | (F.col(order[0]) <= F.lit(most)))
+        left, before, now = left.where(inside), first, sum(n for p, n in held.items() if low <= p <= high)
+        if now <= 4 * max(1, stop - start) or now == size:
+            break
+        size = now
+    numbered = positions(left, order, name).withColumn(name, F.col(name) + before)
+    return numbered.where((F.col(name) >= start) & (F.col(name) < stop)), start, stop
+
+
 def rotation(df: DataFrame, order: list[str], per_tick: int, tick: int) -> DataFrame:
     """The rows of a tick's bucket with ``visit``, their rank in it.
 
     Buckets are slices of the stable order; each cycle over all buckets starts one place later inside them.  The clock is a parameter, no
-    state is kept.
+    state is kept.  Rows outside the bucket are counted, never numbered or written.
     """
-    held = positions(df, order)
-    total = df.count()
-    buckets = max(1, -(-total // per_tick))
-    start = tick % buckets * per_tick
-    size = max(0, min(per_tick, total - start))
-    offset = tick // buckets % size if size > 1 else 0
-    visit = F.pmod(F.col("position") - start - offset, F.lit(max(size, 1)))
-    return held.where((F.col("position") >= start) & (F.col("position") < start + size)).withColumn("visit", visit)
+    offset = 0
+
+    def bucket(total: int) -> tuple[int, int]:
+        nonlocal offset
+        buckets = max(1, -(-total // per_tick))
+        start = tick % buckets * per_tick
+        size = max(0, min(per_tick, total - start))
+        offset = tick // buckets % size if size > 1 else 0
+        return start, start + size
+
+    held, start, stop = rank_range(df, order, bucket)
+    return held.withColumn("visit", F.pmod(F.col("position") - start - offset, F.lit(max(stop - start, 1))))
 
 
 def chunks(df: DataFrame, key: str, size: int) -> DataFrame:

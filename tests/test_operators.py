@@ -77,6 +77,27 @@ def test_rotation_covers_everything_and_rotates(spark, tick):
     assert out == want[shift:] + want[:shift]
 
 
+@pytest.mark.parametrize("tick", [0, 3, 77])
+def test_a_bucket_is_selected_not_sorted(spark, monkeypatch, tick):
+    """Of a large table only a few rows beside the bucket are written, whatever the order's columns hold."""
+    written = []
+    durable = rank.durable
+    monkeypatch.setattr(rank, "durable", lambda df, tag: (written.append(df.count()), durable(df, tag))[1])
+    n, per = 40_000, 50
+    df = spark.range(n).selectExpr("if(id % 10 = 0, null, cast(id % 700 as string)) as name", "id as k")
+    got = [(r.position, r.name, r.k) for r in rank.rotation(df, ["name", "k"], per, tick).collect()]
+    every = sorted(((i % 10 != 0, str(i % 700) if i % 10 else "", i) for i in range(n)))
+    start = tick % (n // per) * per
+    assert sorted(got) == [(p, every[p][1] if every[p][0] else None, every[p][2]) for p in range(start, start + per)]
+    assert sum(written) <= 5 * per
+
+
+def test_a_range_of_equal_keys(spark):
+    df = spark.range(500).selectExpr("1 as k", "id % 2 as v")
+    held, start, stop = rank.rank_range(df, ["k"], lambda n: (n // 2, n // 2 + 10))
+    assert (start, stop) == (250, 260) and sorted(r.position for r in held.collect()) == list(range(250, 260))
+
+
 def test_rotation_of_nothing(spark):
     assert rank.rotation(spark.createDataFrame([], "k int"), ["k"], 3, 5).count() == 0
 
