@@ -83,3 +83,48 @@ def test_windows_and_states_over_batches(spark, tmp_path):
         small = table.compacted(f"{table.path}-small")
         assert sorted(small.read().collect()) == sorted(table.read().collect())
     assert small.slices().where("_batch = 1").count() == 2
+
+
+def test_slices_without_a_key_stay_closed(spark, tmp_path, monkeypatch):
+    """With parts by hash, a batch that repeats nothing opens no old slice; one that repeats opens those that may hold its keys, and a filter that lets too much pass changes nothing."""
+    table = logs.Snapshots(spark, str(tmp_path / "log"), SCHEMA, parts=4)
+    step, opened = logs.append_log(table, ["k", "at"]), []
+    monkeypatch.setattr(table, "opened", lambda found, f=table.opened: (opened.append(found), f(found))[1])
+    many = lambda low, high: [(f"k{i:04d}", "2024-01-01", i) for i in range(low, high)]
+    for number in range(4):
+        step(rows(spark, *many(number * 200, number * 200 + 200)), number)
+    assert sum(map(len, opened)) <= 1  # of 24 pairs of a batch's part and an earlier slice
+    opened.clear()
+    step(rows(spark, *many(250, 252), ("new", "2024-01-01", -1)), 4)
+    assert {b for b, _ in opened[0]} >= {1} and len(opened[0]) <= 3
+    assert table.read().count() == 801
+    monkeypatch.setattr(logs, "may_hold", lambda filters, keys: F.lit(True))
+    step(rows(spark, *many(0, 3), ("newer", "2024-01-01", -2), (None, "2024-01-01", -3)), 5)
+    assert table.read().count() == 803 and table.read().where("v < 0").count() == 3
+
+
+def test_merged_levels(spark, tmp_path):
+    """Windows and states of many batches are read from few slices; repeated batches and compaction change nothing."""
+    window, state = (logs.Snapshots(spark, str(tmp_path / n), SCHEMA, parts=2) for n in ("window", "state"))
+    steps = logs.rolling_window(window, ["k", "at"], "at", "k", 3), logs.latest_state(state, "k", "at")
+    rnd, every = __import__("random").Random(5), []
+    for number in range(13):
+        batch = [(rnd.choice("abcd"), f"2024-01-{rnd.randrange(1, 29):02d}", number * 10 + k) for k in range(3)]
+        every += batch
+        for step in steps:
+            for _ in range(1 + (number in (3, 5, 12))):  # delivered twice
+                step(rows(spark, *batch), number)
+        if number not in (3, 6, 12):
+            continue
+        first = {}
+        for k, at, v in sorted(every, key=lambda r: r[2] // 10):
+            first.setdefault((k, at), set()).add((v // 10, v))
+        top = sorted(first, key=lambda x: (x[1], x[0]), reverse=True)[:3]
+        for table in (window, window.compacted(f"{window.path}-{number}")):
+            got = {(r.k, str(r.at)[:10]): r.v for r in table.read().collect()}
+            assert set(got) == set(top) and all(v in {x for b, x in first[k] if b == min(first[k])[0]} for k, v in got.items())
+        newest = {k: max((at, v) for kk, at, v in every if kk == k) for k, _, _ in every}
+        for table in (state, state.compacted(f"{state.path}-{number}")):
+            assert {r.k: (str(r.at)[:10], r.v) for r in table.read().collect()} == newest
+    assert len(logs.merged_slices(13)) == 3 and all(len(logs.merged_slices(c)) <= 10 for c in range(1001))
+    assert window.held().count() <= 3 * 3 and not {f"{state.path}/_batch={b}" for b in logs.merged_slices(13)} & set(state.spent()) and len(state.spent()) >= 6
