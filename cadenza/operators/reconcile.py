@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OURS, BEFORE = "ours", "preexisting"
@@ -17,9 +17,14 @@ def plan(wanted: DataFrame, held: DataFrame, provenance: DataFrame, key: str = "
     return add.unionByName(rest.select(key, F.when(F.col("source").eqNullSafe(OURS), "REMOVE").otherwise("PULL").alias("op")))
 
 
+def counts() -> dict[str, Column]:
+    """Aggregates that count each branch of a plan."""
+    return {op.lower(): F.count_if(F.col("op") == op) for op in ("ADD", "REMOVE", "PULL")}
+
+
 def funnel(planned: DataFrame) -> DataFrame:
     """Counts of each branch in one row."""
-    return planned.agg(*(F.count_if(F.col("op") == op).alias(op.lower()) for op in ("ADD", "REMOVE", "PULL")))
+    return planned.agg(*(c.alias(n) for n, c in counts().items()))
 
 
 def next_state(state: DataFrame, planned: DataFrame, writes_enabled: bool, now: str, key: str = "key") -> DataFrame:

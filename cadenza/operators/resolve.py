@@ -18,6 +18,7 @@ from cadenza.session import durable
 #: Strength of the basis of a match; an unknown basis has none.
 BASIS = {"fuzzy-title": 1, "best-of-ambiguous": 2, "best-of-review": 2, "exact-title": 3, "mb-recording": 4, "isrc": 5}
 UNRESOLVED = ("not_found", "ambiguous", "review_required")
+STATUSES = ("matched", "no_lyrics", *UNRESOLVED)
 
 
 def _forms(df: DataFrame, title: str, prefix: str) -> DataFrame:

@@ -15,6 +15,7 @@ from cadenza.functions import text as T
 from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve, similar
 from cadenza.operators.merge import Rule
 from cadenza.plans import jobs
+from cadenza.sources import variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -480,7 +481,8 @@ def genre_attach(spark, d):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path_extract(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    e = table(spark, d, "events").withColumn("props", variants.parsed("props"))
+    return e.select("event_id", variants.field("props", "$.k", "bigint").alias("k"))
 
 
 @query("""
@@ -522,13 +524,13 @@ WITH f AS (SELECT *, substr(strftime(o_orderdate, '%Y-%m-%d') || '-01-01', 1, 10
 n AS (SELECT f.*, o_custkey % 4 = 0 AS held FROM f WHERE fresh)
 SELECT (SELECT count(*) FROM orders) AS seen, (SELECT count(*) FROM f WHERE fresh) AS fresh, (SELECT count(DISTINCT o_custkey) FROM n WHERE NOT held) AS novel,
   (SELECT count(DISTINCT o_custkey) FROM n JOIN customer ON o_custkey = c_custkey WHERE NOT held AND c_acctbal >= 5000) AS passed,
-  least(100, (SELECT count(DISTINCT o_custkey) FROM n JOIN customer ON o_custkey = c_custkey WHERE NOT held AND c_acctbal >= 5000)) AS queued""")
+  least(greatest(0, 400 - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 4 = 0)), (SELECT count(DISTINCT o_custkey) FROM n JOIN customer ON o_custkey = c_custkey WHERE NOT held AND c_acctbal >= 5000)) AS queued""")
 def ingest_funnel(spark, d):
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     seen = o.select(F.col("o_custkey").cast("string").alias("album_sid"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"), F.col("o_orderkey").alias("ord"))
-    held = o.where("o_custkey % 4 = 0").select(F.col("o_custkey").cast("string").alias("spotify_id"))
+    held = o.where("o_custkey % 4 = 0").select(F.col("o_custkey").cast("string").alias("spotify_id")).distinct()
     rated = c.select(F.col("c_custkey").cast("string").alias("album_sid"), F.col("c_acctbal").alias("popularity"))
-    return jobs.ingest_albums(seen, held, rated, "2000-01-01", 5000, 400, 300)["counts"]
+    return jobs.ingest_albums(seen, held, rated, "2000-01-01", 5000, 400)["counts"]
 
 
 @query("""

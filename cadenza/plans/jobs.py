@@ -12,7 +12,7 @@ from cadenza.functions import dates
 from cadenza.functions import text as T
 from cadenza.operators import assign, calendar, joins, merge, rank, reconcile, resolve
 from cadenza.operators.merge import Rule
-from cadenza.session import durable
+from cadenza.session import durable, observed
 from cadenza.sources import flatten
 
 ALBUM_RULES = dict.fromkeys(("title", "release_date", "cover_url", "album_type", "total_tracks", "label", "popularity"), Rule.OVERWRITE) | {"ext_refs": Rule.MAP_MERGE}
@@ -89,9 +89,10 @@ def sync_saved_tracks(held: DataFrame, items: DataFrame, tracks: DataFrame, albu
 
 
 def sync_library(bucket: DataFrame, library: DataFrame, state: DataFrame, writes_enabled: bool, now: str) -> dict[str, DataFrame]:
-    """Two-way reconcile of a wanted bucket with the remote library: the plan, its counts, the new side rows, and pulls to append to the bucket."""
-    planned = reconcile.plan(bucket, library, state)
-    return {"plan": planned, "funnel": reconcile.funnel(planned), "state": reconcile.next_state(state, planned, writes_enabled, now), "append": planned.where(F.col("op") == "PULL").select("key")}
+    """Two-way reconcile of a wanted bucket with the remote library: the plan (written), its counts, the new side rows, and pulls to append to the bucket."""
+    planned, n = observed(reconcile.plan(bucket, library, state), "plan", reconcile.counts())
+    funnel = planned.sparkSession.createDataFrame([tuple(n[c] for c in reconcile.counts())], ", ".join(f"`{c}` long" for c in reconcile.counts()))
+    return {"plan": planned, "funnel": funnel, "state": reconcile.next_state(state, planned, writes_enabled, now), "append": planned.where(F.col("op") == "PULL").select("key")}
 
 
 def sync_scrobbles(integrations: DataFrame, held: DataFrame, completed: DataFrame, playing: DataFrame, now: Column) -> dict[str, DataFrame]:
@@ -144,18 +145,18 @@ def ingest_sweep(artists: DataFrame, tracked: DataFrame, per_day: int, day: int,
     return rank.rotation(flagged, ["artist_id"], per_day, day)
 
 
-def ingest_albums(discography: DataFrame, albums: DataFrame, popularity: DataFrame, since: str, album_min: int, cap: int, held: int) -> dict[str, DataFrame]:
-    """The funnel of one sweep: fresh, novel, above the bar, within the room that is left; and its counts.  ``discography``: album_sid, release_date (text), ord."""
-    fresh = discography.where(dates.freshness_key(F.col("release_date")) >= since)
+def ingest_albums(discography: DataFrame, albums: DataFrame, popularity: DataFrame, since: str, album_min: int, cap: int) -> dict[str, DataFrame]:
+    """The funnel of one sweep: fresh, novel, above the bar, within the room that the catalogue's rows leave below ``cap``; and its counts, taken while the steps are written.
+    ``discography``: album_sid, release_date (text), ord."""
+    room, is_fresh = max(0, cap - albums.count()), F.coalesce(dates.freshness_key(F.col("release_date")) >= since, F.lit(False))
+    fresh, swept = observed(discography, "fresh", {"seen": F.count("*"), "fresh": F.count_if(is_fresh)}, is_fresh)
     distinct = rank.best_per_key(fresh, ["album_sid"], F.col("ord"))
     novel = distinct.join(albums.select(F.col("spotify_id").alias("album_sid")).distinct(), "album_sid", "left_anti")
     rated = novel.join(popularity.select("album_sid", "popularity"), "album_sid", "left").withColumn("passes_gate", F.coalesce("popularity", F.lit(0)) >= album_min)
-    chosen = rated.where("passes_gate").orderBy("ord", "album_sid").limit(max(0, cap - held))
-    none = F.lit(0).cast("long")
-    swept = discography.agg(F.count("*").alias("seen"), F.count_if(dates.freshness_key(F.col("release_date")) >= since).alias("fresh")).select("seen", "fresh", none.alias("novel"), none.alias("passed"))
-    judged = rated.agg(F.count("*").alias("novel"), F.count_if("passes_gate").alias("passed")).select(none.alias("seen"), none.alias("fresh"), "novel", "passed")
-    counts = swept.union(judged).agg(*(F.sum(c).alias(c) for c in swept.columns)).withColumn("queued", F.least("passed", F.lit(max(0, cap - held)).cast("long")))
-    return {"rated": rated, "queued": chosen, "counts": counts}
+    rated, judged = observed(rated, "rated", {"novel": F.count("*"), "passed": F.count_if("passes_gate")})
+    chosen = rated.where("passes_gate").orderBy("ord", "album_sid").limit(room)
+    row = (swept["seen"], swept["fresh"], judged["novel"], judged["passed"], min(judged["passed"], room))
+    return {"rated": rated, "queued": chosen, "counts": discography.sparkSession.createDataFrame([row], "seen long, fresh long, novel long, passed long, queued long")}
 
 
 def poll_releases(watchlist: DataFrame, found: DataFrame, events: DataFrame, mode: str, tick: int, per_tick: int, today: Column, horizon_days: int) -> DataFrame:
@@ -236,14 +237,16 @@ def evaluate_lyrics(tracks: DataFrame, candidates: DataFrame, existing: DataFram
     pairs = durable(resolve.plausible(tracks, candidates), "pairs")  # both steps and all outputs read them
     done = resolve.promote(resolve.decide(tracks, candidates, pairs), pairs).withColumn("matcher", F.when(F.col("promotion").isNotNull(), "match-1+best-1").otherwise("match-1"))
     done = done.withColumn("lyric_plain", resolve.persistable(F.col("match_status"), F.col("lyric_plain"))).withColumn("lyric_synced", T.strip_nul(F.col("lyric_synced")))
-    done = durable(done.withColumn("evidence", resolve.evidence(done)), "outcomes")
+    is_ = {s: F.col("match_status") == s for s in resolve.STATUSES}
+    metrics = {f"n_{s}": F.count_if(c) for s, c in is_.items()} | {f"promoted_{s}": F.count_if(c & (F.col("promotion") == "promoted")) for s, c in is_.items()}
+    done, n = observed(done.withColumn("evidence", resolve.evidence(done)), "outcomes", metrics)
     ok = resolve.consistent(F.col("match_status"), F.col("basis"), F.col("version_agrees"), F.col("promotion"))
     good, writable = done.where(ok), done.where(ok)
     if existing is not None:
         old = existing.select("track_id", F.col("match_status").alias("_status"), F.col("basis").alias("_basis"))
         allowed = F.col("_status").isNull() | resolve.should_replace(F.col("_status"), F.col("_basis"), F.col("match_status"), F.col("basis"))
         writable = good.join(old, "track_id", "left").where(allowed).drop("_status", "_basis")
-    counts = done.groupBy("match_status").agg(F.count("*").alias("n"), F.count_if(F.col("promotion") == "promoted").alias("promoted"))
+    counts = done.sparkSession.createDataFrame([(s, n[f"n_{s}"], n[f"promoted_{s}"]) for s in is_ if n[f"n_{s}"]], "match_status string, n long, promoted long")
     return {"write": writable, "rejects": done.where(~ok), "counts": counts}
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.bucketed import Buckets
 from cadenza.operators.merge import Rule
-from cadenza.plans.catalogue import SQL, query, table
+from cadenza.plans import jobs
+from cadenza.plans.catalogue import SQL, _tracks, query, table
 from cadenza.session import shared_dir
+from cadenza.sources import footers, variants
 
 
 def fresh(spark, name: str) -> str:
@@ -47,3 +49,33 @@ def bucketed_update_count(spark, d):
     merged = held.upsert(target.where("o_custkey % 5 = 0").select("o_orderkey", F.lit("F").alias("o_orderstatus")), {"o_orderstatus": Rule.OVERWRITE}, 1, changed_flag="changed")
     changed = merged.where("changed").select("o_orderkey", F.lit(True).alias("changed"))
     return held.read().join(changed, "o_orderkey", "left").groupBy(F.col("was").alias("o_orderstatus")).agg(F.count("*").alias("n"), F.count_if("changed").alias("n_changed"))
+
+
+@query("SELECT count(*) AS n, min(l_orderkey) AS least_l_orderkey, max(l_partkey) AS greatest_l_partkey, max(l_linenumber) AS greatest_l_linenumber FROM lineitem")
+def footer_statistics(spark, d):
+    row = footers.statistics(spark, f"{d}/lineitem.parquet", ("l_orderkey",), ("l_partkey", "l_linenumber")).first()
+    return spark.createDataFrame([tuple(row)], "n long, least_l_orderkey long, greatest_l_partkey long, greatest_l_linenumber long")
+
+
+@query("""
+SELECT p_partkey AS track_id, CASE WHEN k = 'not_found' THEN 'no_plausible_candidate' WHEN k = 'no_lyrics' THEN 'instrumental_or_empty' WHEN k = 'review_required' THEN 'version_token_mismatch' END AS reason,
+  CASE WHEN k <> 'not_found' THEN p_partkey END AS candidate_id, CASE WHEN k = 'review_required' THEN 'no_tier1_candidate' END AS promotion, CASE WHEN k = 'review_required' THEN 'live' END AS candidate_token
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 5 = 4 OR p_partkey % 3 = 2 THEN 'not_found' WHEN p_partkey % 5 = 3 THEN 'no_lyrics' WHEN p_partkey % 5 = 2 THEN 'review_required' ELSE 'matched' END AS k FROM part)""")
+def match_evidence(spark, d):
+    """What led to each outcome, read back from the stored JSON as a variant."""
+    done = jobs.evaluate_lyrics(*_tracks(spark, d))["write"].select("track_id", variants.parsed("evidence").alias("e"))
+    said = [variants.field("e", f"$.{name}", kind).alias(name) for name, kind in (("reason", "string"), ("candidate_id", "bigint"), ("promotion", "string"))]
+    return done.select("track_id", *said, variants.field("e", "$.candidate_tokens[0]", "string").alias("candidate_token"))
+
+
+@query("""
+WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT '$.k' AS path, 'changed' AS change, 'BIGINT' AS was, 'STRING' AS now UNION ALL SELECT '$.old', 'gone', 'BOOLEAN', NULL WHERE EXISTS (FROM e WHERE event_id % 2 = 0)
+UNION ALL SELECT '$.extra', 'appeared', NULL, 'OBJECT' WHERE EXISTS (FROM e WHERE event_id % 2 = 1 AND k > 50) UNION ALL SELECT '$.extra.n', 'appeared', NULL, 'BIGINT' WHERE EXISTS (FROM e WHERE event_id % 2 = 1 AND k > 50)""")
+def payload_drift(spark, d):
+    """Even events as the batch before, odd ones as the one after: a field that changes its type, one that goes and one that comes; some payloads are malformed."""
+    e, k = table(spark, d, "events"), F.get_json_object("props", "$.k").cast("bigint")
+    before = e.where("event_id % 2 = 0").select(F.concat(F.lit('{"k": '), k.cast("string"), F.lit(', "old": true}')).alias("j"))
+    after = e.where("event_id % 2 = 1").select(F.when(F.col("event_id") % 9 == 1, "{broken").otherwise(F.concat(F.lit('{"k": "'), k.cast("string"), F.lit('"'), F.when(k > 50, ', "extra": {"n": 1}').otherwise(""), F.lit("}"))).alias("j"))
+    found = variants.drift(*(df.select(variants.parsed("j").alias("v")) for df in (before, after)), "v")
+    return found.select("path", "change", F.array_join("was", ",").alias("was"), F.array_join("is", ",").alias("now"))

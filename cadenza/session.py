@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,3 +32,11 @@ def scratch(df: DataFrame, tag: str) -> tuple[DataFrame, Callable[[], None]]:
 def durable(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back: what follows sees one and the same result, and lineage ends there."""
     return scratch(df, tag)[0]
+
+
+def observed(df: DataFrame, tag: str, metrics: dict[str, Column], keep: Column | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``durable`` (of the rows for which ``keep`` holds) and aggregates of all rows of ``df``, counted while they are written instead of by a second run.  They belong to the tasks that write, so a task that
+    is tried again counts once; ``df`` itself may shuffle before, not after."""
+    seen = Observation()
+    rows = df.observe(seen, *(c.alias(n) for n, c in metrics.items()))
+    return durable(rows if keep is None else rows.where(keep), tag), seen.get
