@@ -16,7 +16,7 @@ from cadenza.session import scratch, shared_dir
 #: Bytes that separate words everywhere here: space and \x09 to \x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step handles; temporaries are a few dozen times that.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 #: Rows in one Arrow batch of texts.  Spark's default of 10,000 makes batches of tens of MB, several of which are alive in a task.
