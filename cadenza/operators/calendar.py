@@ -39,7 +39,7 @@ def confirm(candidates: DataFrame, events: DataFrame, days: int = 7) -> tuple[Da
     once, so a second run changes nothing.  Unconfirmed candidates are inserted if they pass the gate (a missing flag doesn't) and skipped otherwise.
     Candidates: artist_id, spotify_album_id, title, release_type, release_date (date), passes_gate, ord.
     """
-    c = best_per_key(candidates, ["artist_id", "spotify_album_id"], F.col("ord")).withColumn("_title", T.confirm_title("title"))
+    c = durable(best_per_key(candidates, ["artist_id", "spotify_album_id"], F.col("ord")).withColumn("_title", T.confirm_title("title")), "candidates")  # four readers
     e = in_reach(events, c, days).select("id", "artist_id", F.col("release_date").alias("_day"), T.confirm_title("title").alias("_title"))
     hits = durable(band_join(c.select("artist_id", "spotify_album_id", "_title", "release_date"), e, ["artist_id", "_title"], "release_date", "_day", days), "hits")
     flips = hits.groupBy("id").agg(F.max("spotify_album_id").alias("spotify_album_id"))

@@ -74,7 +74,7 @@ SELECT o_custkey, o_orderkey, o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '2
 def stale_answers_and_watch(spark, d):
     o = table(spark, d, "orders").withColumn("answer", F.when(F.col("o_orderstatus") == "F", "not_found").otherwise("an id"))
     again = jobs.stale(F.col("answer"), F.col("o_orderdate").cast("timestamp"), now(), 9000)
-    return o.select("o_custkey", "o_orderkey", again.alias("again"), (F.col("answer").isNotNull() & (F.col("answer") != "not_found")).alias("answered"), F.coalesce(F.col("o_totalprice") >= 200000, F.lit(False)).alias("watch"))
+    return o.select("o_custkey", "o_orderkey", again.alias("again"), jobs.answered(F.col("answer")).alias("answered"), jobs.watched(F.col("o_totalprice"), 200000).alias("watch"))
 
 
 @query("""
@@ -294,10 +294,10 @@ def release_poll(spark, d):
 
 
 @query("""
-WITH a AS (SELECT o_orderkey, o_custkey, o_orderkey % 3 AS k FROM orders WHERE o_orderkey % 2 = 0)
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderkey % 3 AS k FROM orders)
 SELECT o_orderkey AS id, CASE WHEN k = 2 THEN 'announced' ELSE 'released' END AS status, CASE WHEN k = 2 THEN NULL ELSE o_orderkey + 1 END AS album, k = 0 AS changed FROM a""")
 def confirmation_applied(spark, d):
-    a, k = table(spark, d, "orders").where("o_orderkey % 2 = 0"), F.col("o_orderkey") % 3
+    a, k = table(spark, d, "orders"), F.col("o_orderkey") % 3
     album = F.col("o_orderkey") + 1
     events = a.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("artist_id"), F.lit("itunes").alias("source"), text_of("o_orderkey").alias("source_key"), F.lit("t").alias("title"), F.lit("album").alias("release_type"), F.to_date("o_orderdate").alias("release_date"), F.when(k == 1, "released").otherwise("announced").alias("status"), F.when(k == 1, album).alias("spotify_album_id"))
     flips = a.where(k < 2).select(F.col("o_orderkey").alias("id"), album.alias("spotify_album_id"))

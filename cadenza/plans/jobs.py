@@ -79,7 +79,8 @@ def sync_saved_tracks(held: DataFrame, items: DataFrame, tracks: DataFrame, albu
     """Saved tracks.  ``full`` also drops what is no longer saved; ``incremental`` takes what is newer than the newest held row."""
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
-    rows = merge.last_wins(flatten.saved_tracks(items), ["spotify_track_id"], "added_at")
+    rows = flatten.saved_tracks(items)
+    rows = rank.best_per_key(rows, ["spotify_track_id"], F.struct("added_at", *(c for c in rows.columns if c not in ("spotify_track_id", "added_at"))), descending=True)
     if mode == "incremental":
         since = held.agg(F.max("added_at")).first()[0]
         rows = rows if since is None else rows.where(F.col("added_at") > F.lit(since))
@@ -141,7 +142,7 @@ def photoless(artists: DataFrame, batch: DataFrame) -> DataFrame:
 def ingest_sweep(artists: DataFrame, tracked: DataFrame, per_day: int, day: int, watch_min: int) -> DataFrame:
     """The day's slice of artists that are popular enough or tracked, with ``watch`` and ``visit``."""
     eligible = joins.passes_or_exists(artists, F.col("popularity") >= watch_min, tracked, ["artist_id"])
-    flagged = eligible.withColumn("watch", F.coalesce(F.col("popularity") >= watch_min, F.lit(False)))
+    flagged = eligible.withColumn("watch", watched(F.col("popularity"), watch_min))
     return rank.rotation(flagged, ["artist_id"], per_day, day)
 
 
@@ -178,6 +179,16 @@ def resolve_source_ids(watch: DataFrame, upcs: DataFrame, answers: DataFrame, he
     return merge.upsert(held, new, ["artist_id", "source"], dict.fromkeys(("source_artist_id", "resolved_via", "resolved_at"), Rule.OVERWRITE))
 
 
+def answered(sentinel: Column) -> Column:
+    """Whether there is an answer other than "not found"."""
+    return sentinel.isNotNull() & (sentinel != "not_found")
+
+
+def watched(popularity: Column, watch_min: int) -> Column:
+    """The flag of rows above the bar; a missing value is below it."""
+    return F.coalesce(popularity >= watch_min, F.lit(False))
+
+
 def stale(sentinel: Column, resolved_at: Column, now: Column, days: int) -> Column:
     """Whether a "not found" answer is old enough to be asked again."""
     return (sentinel == "not_found") & (resolved_at < now - F.make_dt_interval(F.lit(days)))
@@ -186,7 +197,8 @@ def stale(sentinel: Column, resolved_at: Column, now: Column, days: int) -> Colu
 def backfill_isrc(tracks: DataFrame, returned: DataFrame, asked: DataFrame) -> DataFrame:
     """Codes of asked tracks: the code, ``no_isrc`` if the source has the track without one, ``not_found`` if it lacks the track."""
     got = returned.select(F.col("id").alias("spotify_id"), F.coalesce(F.nullif(F.col("external_ids.isrc"), F.lit("")), F.lit("no_isrc")).alias("isrc"))
-    rows = asked.select("spotify_id").distinct().join(got.dropDuplicates(["spotify_id"]), "spotify_id", "left").withColumn("isrc", F.coalesce("isrc", F.lit("not_found")))
+    got = rank.best_per_key(got, ["spotify_id"], F.struct(F.col("isrc") == "no_isrc", "isrc"))  # a code, if any row has one
+    rows = asked.select("spotify_id").distinct().join(got, "spotify_id", "left").withColumn("isrc", F.coalesce("isrc", F.lit("not_found")))
     return merge.update_keyed(tracks, rows, ["spotify_id"], ["isrc"])
 
 
@@ -255,12 +267,50 @@ def search_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("search_artist", F.try_element_at("artist_names", F.lit(1)))
 
 
-def uncorpused(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame, lyrics: DataFrame) -> DataFrame:
-    """Tracks without a lyrics row, with sorted distinct artist names and aliases."""
-    open_ = tracks.join(lyrics.select("track_id").distinct(), "track_id", "left_anti")
-    names = track_artists.join(artists.select("artist_id", "name", F.explode_outer("aliases").alias("alias")), "artist_id")
+def with_names(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame) -> DataFrame:
+    """Tracks that have artists, with sorted distinct artist names and aliases."""
+    links = track_artists.join(tracks.select("track_id").distinct(), "track_id", "left_semi")
+    names = links.join(artists.select("artist_id", "name", F.explode_outer("aliases").alias("alias")), "artist_id")
     sets = names.groupBy("track_id").agg(F.array_sort(F.collect_set("name")).alias("artist_names"), F.array_sort(F.collect_set("alias")).alias("aliases"))
-    return open_.join(sets, "track_id")
+    return tracks.join(sets, "track_id")
+
+
+def uncorpused(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame, lyrics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Tracks without a lyrics row, with sorted distinct artist names and aliases; with a ``limit`` the newest by created_at, of equals those with smaller ids.  Names are only
+    gathered for what is left."""
+    open_ = tracks.join(lyrics.select("track_id").distinct(), "track_id", "left_anti")
+    if limit is not None:
+        known = joins.with_keys(track_artists, artists, ["artist_id"])
+        open_ = joins.with_keys(open_, known, ["track_id"]).orderBy(F.col("created_at").desc_nulls_last(), "track_id").limit(limit)
+    return with_names(open_, track_artists, artists)
+
+
+def collect_lyrics(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame, lyrics: DataFrame, candidates: DataFrame, limit: int, lyrics_now: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A first outcome for the newest tracks without one: selection, resolution and what to write.  ``lyrics_now``: the table as it is when writing; a track that has got a row meanwhile is left as it is (``kept``)."""
+    chosen = durable(uncorpused(tracks, track_artists, artists, lyrics, limit), "chosen")
+    out = evaluate_lyrics(chosen, candidates)
+    held = (lyrics if lyrics_now is None else lyrics_now).select("track_id").distinct()
+    return out | {"write": out["write"].join(held, "track_id", "left_anti"), "kept": out["write"].join(held, "track_id", "left_semi"), "selected": chosen}
+
+
+def reassess_lyrics(tracks: DataFrame, track_artists: DataFrame, artists: DataFrame, lyrics: DataFrame, candidates: DataFrame, limit: int) -> dict[str, DataFrame]:
+    """Another try for tracks whose outcome may get better (``unresolved``), with the guard against downgrades."""
+    pool = unresolved(with_names(lyrics.join(tracks, "track_id"), track_artists, artists), limit)
+    chosen = durable(pool, "chosen")
+    existing = chosen.select("track_id", "match_status", "basis")
+    return evaluate_lyrics(chosen.drop("match_status", "basis"), candidates, existing) | {"selected": chosen}
+
+
+def fill_aliases(artists: DataFrame, found: DataFrame, limit: int = 10, least_score: int = 90) -> dict[str, DataFrame]:
+    """MusicBrainz ids and aliases for the first ``limit`` artists that were never looked up, by id: the new table of artists, and counts.  An id that another artist has, before or in this batch, isn't
+    given twice; an artist without one gets ``not_found``, so it leaves the pool."""
+    pool = durable(untried(artists, "musicbrainz_id", ["spotify_id"], limit), "pool")
+    taken = artists.where(answered(F.col("musicbrainz_id"))).select(F.col("musicbrainz_id").alias("mbid"))
+    pending = pool.select(F.col("spotify_id").alias("artist_id"), "name", F.coalesce("genres", F.array().cast("array<string>")).alias("genres"), F.col("spotify_id").alias("ord"))
+    given, n = observed(identify_artists(pending, found, taken, least_score), "aliases", {"looked_up": F.count("*"), "given": F.count_if(F.col("mbid") != "not_found")})
+    new = merge.update_keyed(artists, given.select(F.col("artist_id").alias("spotify_id"), F.col("mbid").alias("musicbrainz_id"), "aliases"), ["spotify_id"], ["musicbrainz_id", "aliases"])
+    counts = artists.sparkSession.createDataFrame([(n["looked_up"], n["given"], n["looked_up"] - n["given"])], "looked_up long, given long, not_found long")
+    return {"artists": new, "counts": counts}
 
 
 def unresolved(lyrics: DataFrame, limit: int) -> DataFrame:

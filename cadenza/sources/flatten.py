@@ -22,10 +22,10 @@ def ext_refs(album: Column | None = None) -> Column:
 def albums(payloads: DataFrame) -> dict[str, DataFrame]:
     """artists, albums, album_artists, tracks and track_artists of album payloads; null albums and rows without an id are skipped.
 
-    ``ord`` keeps the order of arrival for last-wins merges: input order is a column of ``payloads`` or, without one, the id.
+    ``ord`` keeps the order of arrival for last-wins merges: input order is a column of ``payloads`` or, without one, the id and a hash of the whole payload.
     """
     p = payloads.where(F.col("id").isNotNull())
-    p = p if "ord" in p.columns else p.withColumn("ord", F.xxhash64("id"))
+    p = p if "ord" in p.columns else p.withColumn("ord", F.struct("id", F.xxhash64(F.to_json(F.struct(*p.columns)))))
     tracks = p.select(F.col("id").alias("album_sid"), "ord", F.posexplode("tracks.items").alias("at", "t")).where(F.col("t.id").isNotNull())
     by_album = p.select(F.col("id").alias("album_sid"), "ord", F.explode("artists").alias("a")).where(F.col("a.id").isNotNull())
     by_track = tracks.select(F.col("t.id").alias("track_sid"), "ord", F.explode("t.artists").alias("a")).where(F.col("a.id").isNotNull())

@@ -82,6 +82,14 @@ def newest_releases(pages: DataFrame, limit: int = 50) -> DataFrame:
     return ranked.where(F.col("ord") < limit).select("artist_id", "album_sid", "release_date", "ord")
 
 
+def upcoming_groups(rows: DataFrame, low: str, high: str, limit: int = 100) -> DataFrame:
+    """Release groups of a search whose date text lies between two dates (a partial date lies before the days it holds), the first ``limit`` of each artist's page: artist_id, source_key, title, kind,
+    release_date, ord.  ``rows``: landed release groups with ord, their place in the page."""
+    inside = rows.where(F.col("first-release-date").between(low, high) & F.col("id").isNotNull())
+    ranked = inside.withColumn("_place", F.row_number().over(Window.partitionBy("artist_id").orderBy("ord", "id"))).where(F.col("_place") <= limit)
+    return ranked.select("artist_id", F.col("id").alias("source_key"), "title", F.col("primary-type").alias("kind"), F.col("first-release-date").alias("release_date"), "ord")
+
+
 def collections(rows: DataFrame) -> DataFrame:
     """Storefront look-ups without the artist's own row."""
     return rows.where(F.col("wrapperType") == "collection").select("artist_id", F.col("collectionId").cast("string").alias("source_key"), F.col("collectionName").alias("title"), F.substring("releaseDate", 1, 10).alias("release_date"))

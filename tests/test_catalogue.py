@@ -4,7 +4,7 @@ import pytest
 from compare import rows
 
 import __spark_entry__ as entry_point
-from cadenza.plans import catalogue, job_queries, table_queries  # noqa: F401
+from cadenza.plans import branch_queries, catalogue, job_queries, table_queries  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
