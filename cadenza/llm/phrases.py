@@ -31,7 +31,7 @@ from cadenza.llm.common import column_bytes, long_rows, output, scratch, steps,
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST, SUBSUMED, TOP = 3, 10, 50, 2000
 #: Text in a block, and text that a task holds for unfinished blocks.
-BLOCK_BYTES, HELD_BYTES = 2 << 20, 16 << 20
+BLOCK_BYTES, HELD_BYTES = 4 << 20, 16 << 20
 #: Parts of a language that are cut to their first rows apart, before the last cut.
 SALTS = 64
 _LOWER = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), np.uint8)
