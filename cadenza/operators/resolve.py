@@ -24,7 +24,7 @@ STATUSES = ("matched", "no_lyrics", *UNRESOLVED)
 def _forms(df: DataFrame, title: str, prefix: str) -> DataFrame:
     """Normal form, rendition words and both base titles, made once per distinct title."""
     titles = df.select(F.coalesce(F.col(title), F.lit("")).alias("_raw")).distinct()
-    titles = titles.withColumn("_normal", T.normalize_title("_raw")).withColumn("_clean", T.normalize_title(T.strip_noise("_raw")))
+    titles = titles.withColumn("_normal", T.normalize_title("_raw")).withColumn("_clean", T.clean_title("_raw"))
     made = titles.select("_raw", F.col("_normal").alias(f"{prefix}normal"), T.version_tokens(F.col("_normal")).alias(f"{prefix}tokens"), T.base_title(F.col("_normal")).alias(f"{prefix}plain"), T.base_title(F.col("_clean")).alias(f"{prefix}base"))
     return df.join(made, F.coalesce(F.col(title), F.lit("")) == F.col("_raw"), "left").drop("_raw")
 

@@ -15,6 +15,7 @@ from cadenza.functions import text as T
 from cadenza.operators import calendar, joins, merge, rank, reconcile, resolve, similar
 from cadenza.operators.merge import Rule
 from cadenza.plans import jobs
+from cadenza.session import durable
 from cadenza.sources import variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -393,8 +394,8 @@ def version_tokens(spark, d):
 @query("""
 SELECT p_partkey, p_name || CASE p_partkey % 6 WHEN 2 THEN ' 2013' ELSE '' END AS base, p_name || CASE p_partkey % 6 WHEN 1 THEN ' feat x' WHEN 2 THEN ' 2013' WHEN 3 THEN ' from film' ELSE '' END AS plain FROM part""")
 def base_title(spark, d):
-    clean, plain = T.normalize_title(T.strip_noise("title")), T.normalize_title("title")
-    return _titles(spark, d).select("p_partkey", T.base_title(clean).alias("base"), T.base_title(plain).alias("plain"))
+    forms = _titles(spark, d).select("p_partkey", T.clean_title("title").alias("clean"), T.normalize_title("title").alias("plain"))
+    return forms.select("p_partkey", T.base_title(F.col("clean")).alias("base"), T.base_title(F.col("plain")).alias("plain"))
 
 
 @query("""
@@ -447,7 +448,7 @@ FROM (SELECT p_partkey AS track_id, {_DECIDED.format(' AND p_partkey % 7 = 0')}
 def match_promotion(spark, d):
     tracks, cands = _tracks(spark, d)
     twin = cands.where("id % 5 = 2 and id % 7 <> 0").select(*((F.col("id") + 1_000_000_000).alias("id") if c == "id" else F.regexp_replace("title", r" \(Live\)", "").alias("title") if c == "title" else F.col(c) for c in cands.columns))
-    pairs = resolve.plausible(tracks, cands.union(twin))
+    pairs = durable(resolve.plausible(tracks, cands.union(twin)), "pairs")  # read twice
     return resolve.promote(resolve.decide(tracks, cands.union(twin), pairs), pairs).select("track_id", "match_status", "basis", "candidate_id", "promotion")
 
 

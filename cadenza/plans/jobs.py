@@ -20,7 +20,7 @@ ALBUM_RULES = dict.fromkeys(("title", "release_date", "cover_url", "album_type",
 
 def sync_albums(tables: dict[str, DataFrame], payloads: DataFrame, genre_map: DataFrame | None = None) -> dict[str, DataFrame]:
     """Album payloads into artists, albums, tracks, their link tables and genres.  Keys of new rows are their source ids."""
-    flat = flatten.albums(payloads)
+    flat = flatten.albums(durable(payloads, "payloads"))  # five relations read their columns of it, none parses a payload again
     new = dict(tables)
     new["artists"] = merge.upsert(tables["artists"], merge.last_wins(flat["artists"], ["spotify_id"], "ord"), ["spotify_id"], {"name": Rule.OVERWRITE})
     new["albums"] = merge.upsert(tables["albums"], merge.last_wins(flat["albums"], ["spotify_id"], "ord"), ["spotify_id"], ALBUM_RULES)

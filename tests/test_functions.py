@@ -96,3 +96,14 @@ def test_small_rules(spark):
     images = [[{"url": "a", "size": "large"}, {"url": "b", "size": "large"}, {"url": "", "size": "mega"}, {"url": "c", "size": "odd"}], [], None]
     assert column(spark, images, T.best_image, "array<struct<url:string,size:string>>") == ["b", None, None]
     assert column(spark, [["a", "", None, "b"], [], None], T.joined_names, "array<string>") == ["a, b", None, None]
+
+
+def test_clean_titles_in_one_call(spark):
+    """The same as both steps one after the other."""
+    import random
+
+    rnd = random.Random(13)
+    bits = ["Song", "Été", "(Live)", "(feat. X)", "[Remix]", " - ", " – ", "-", "Remastered 2011", "한글", "(라이브)", "01. ", "7 - ", "( (Demo) x)", "[", ")", "  ", "\t", "'s", "İ", "ﬁn", "é", "Ω", "Radio Edit", "ΟΔΟΣ", "café (Á)"]
+    titles = ["".join(rnd.choice(bits) + rnd.choice(["", " "]) for _ in range(rnd.randrange(7))) for _ in range(1500)] + [None, "", " ", "()", "(x)", "[Live]", "- - -"]
+    df = spark.createDataFrame([(t,) for t in titles], "t string").select("t", T.clean_title("t").alias("a"), T.normalize_title(T.strip_noise("t")).alias("b"))
+    assert [r for r in df.collect() if r.a != r.b] == []
