@@ -737,3 +737,58 @@ def test_the_pipeline_drops_similar_documents(spark, sf):
     rows = [(1, " ".join(words)), (2, " ".join([*words[:50], "changed", *words[51:]])), (3, " ".join([*words[:30], "a", *words[31:60], "b", *words[61:]])), (4, " ".join(words[:50]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, df, sf).collect()} == {1, 4}
+
+
+# 1, the whole query
+
+
+def test_language_identification_equals_a_plain_version(spark):
+    """Counts in dicts, and for each text the best of all labels by a loop over words and languages."""
+    rnd = random.Random(71)
+    stems = {"aa": "abcde ", "bb": "cdefg ", "cc": "жзийк ", "dd": "eéàgh "}
+    make = lambda lang, n: "".join(rnd.choice(stems[lang]) for _ in range(n))
+    rows = [(i, make(lang, rnd.randrange(5, 120)), lang) for i, lang in enumerate(sorted(stems) * 12)]
+    rows += [(100 + i, f"{make('aa', 60)} {make('cc', 60)}. {make('dd', 50)}", None) for i in range(20)] + [(200, None, "aa"), (201, "12 !!", "bb"), (202, "", None), (203, "日本 abc", None), (204, "A" * 3000, None)]
+    words = lambda t: re.findall(rb"[A-Za-z\x80-\xff]+", t.lower().encode())
+    script = lambda w: langid.NAMES[langid._SCRIPT[np.searchsorted(langid._FIRST, ord(w.decode()[0]), "right") - 1]]  # noqa: E731, SLF001
+
+    def grams(w, order):
+        text = b" " + w + b" "
+        return [((int.from_bytes(text[k : k + order], "big") * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - langid.SLOT_BITS) for k in range(len(text) - order + 1)]
+
+    held = [(t, lang) for i, t, lang in rows if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    names = sorted({lang for _, lang in held})
+    seen = {(lang, o): collections.Counter(g for t, x in held if x == lang for w in words(t) for g in grams(w, o)) for lang in names for o in langid.ORDERS}
+    used = {lang: collections.Counter(script(w) for t, x in held if x == lang for w in words(t)) for lang in names}
+    size = 1 << langid.SLOT_BITS
+
+    def log(lang, w):
+        return sum(math.log((seen[lang, o][g] + langid.ALPHA) / (sum(seen[lang, o].values()) + langid.ALPHA * size)) for o in langid.ORDERS for g in grams(w, o)) / len(langid.ORDERS)
+
+    want = {}
+    for i, t, _ in rows:
+        ws = words(t or "")
+        if not ws or not any(c.isalpha() for c in t):
+            want[i] = ("und", 0.0)
+            continue
+        value, back = None, []
+        for w in ws:
+            fits = [used[n][script(w)] >= langid.SHARE * max(1, sum(used[n].values())) for n in names]
+            scores = [-1e6 if any(fits) and not f else log(n, w) for n, f in zip(names, fits, strict=True)]
+            if value is None:
+                value = scores
+                continue
+            top = max(range(len(names)), key=lambda k: (value[k], -k))
+            back.append([k if value[k] >= value[top] - langid.SWITCH else top for k in range(len(names))])
+            value = [max(value[k], value[top] - langid.SWITCH) + scores[k] for k in range(len(names))]
+        at = [max(range(len(names)), key=lambda k: (value[k], -k))]
+        for row in reversed(back):
+            at.append(row[at[-1]])
+        votes = collections.Counter()
+        for w, k in zip(ws, reversed(at), strict=True):
+            votes[k] += len(w)
+        best = max(range(len(names)), key=lambda k: (votes[k], -k))
+        want[i] = (names[best], votes[best] / sum(votes.values()))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    got = langid.identify(df, langid.train(df.where(~held_out("doc_id", 4, 2))))
+    assert {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in got.collect()} == {i: (n, round(s, 9)) for i, (n, s) in want.items()}

@@ -71,3 +71,75 @@ def test_helper_names_as_extra_columns(spark, sf, tmp_path):
         plain, df = stage(spark, plain, sf).checkpoint(), stage(spark, df, sf).checkpoint()
     assert df.drop(*names).exceptAll(plain).count() == 0 and df.count() == plain.count()
     assert df.where(" or ".join(f"{n} <> concat('{n}', doc_id)" for n in names)).count() == 0
+
+
+def plain_pipeline(rows, items):
+    """(id, text, ids) that every stage's plain version leaves: lines counted in dicts, all pairs of shingle sets, all strings of 100 bytes, all diagonals, the sentencepiece library."""
+    import collections
+
+    import numpy as np
+    from test_llm_operators import PIECES, brute_overlaps, low, normal_line, repeat_words
+
+    from cadenza.llm import piece, quality
+
+    lines = lambda t: [x for x in t.split("\n") if x.strip()]
+    norm = lambda x: normal_line(x.encode())
+    hosts, kept = collections.defaultdict(set), []
+    for i, t, h in rows:
+        for x in lines(t):
+            hosts[h, norm(x)].add(i)
+    for i, t, h in rows:
+        gone = {x for x in lines(t) if len(hosts[h, norm(x)]) > quality.LINE_DOCS and i != min(hosts[h, norm(x)])}
+        words = t.split()
+        left = len(words) - sum(len(x.split()) for x in lines(t) if x in gone)
+        if len(words) >= 10 and 100 * repeat_words(t.encode().split()) <= 20 * len(words) and left >= quality.KEPT_SHARE * len(words):
+            kept.append((i, "\n".join(x for x in t.split("\n") if x not in gone)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in kept for w in [low(t.encode()).split()]}
+    root = {i: i for i in sets}
+    close = [(a, b) for a in sets for b in sets if b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for _ in root:
+        for a, b in close:
+            root[a] = root[b] = min(root[a], root[b])
+    seen, cut = set(), []
+    for i, t in sorted(x for x in kept if root[x[0]] == x[0]):
+        b = t.encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - 99):
+            gone[p : p + 100] |= b[p : p + 100] in seen
+            seen.add(b[p : p + 100])
+        rest = np.frombuffer(b, np.uint8)[~gone].tobytes().decode()
+        if rest.split() or not gone.any():
+            cut.append((i, rest))
+    leaks = {i for i, _ in brute_overlaps(cut, items)}
+    own = piece.codec(PIECES).own
+    return sorted((i, t, own.encode(t)) for i, t in cut if i not in leaks)
+
+
+def test_the_pipeline_equals_its_plain_version(spark, tmp_path):
+    import random
+
+    rnd = random.Random(61)
+    words = lambda n: [f"w{rnd.randrange(900)}" for _ in range(n)]
+    prose = lambda n: " ".join(words(n))
+    item, passage, line = [words(30) for _ in range(4)], prose(40), "read more at our site now 2024"
+    rows = [(i, prose(rnd.choice((12, 40, 90))), f"h{i % 2}") for i in range(25)]
+    rows += [(100 + i, f"{prose(30)}\n{line}\n{prose(rnd.choice((3, 30)))}", "h0") for i in range(13)]
+    rows += [(150 + i, "\n".join([line] * 4 + [prose(4 + i)]), "h0") for i in range(4)]
+    for i in range(12):  # chains of copies with ever more words changed
+        text = rows[i][1].split()
+        for k in range(3):
+            text[rnd.randrange(len(text))] = f"x{i}y{k}"
+            rows.append((200 + 10 * i + k, " ".join(text), "h1"))
+    rows += [(400 + i, f"{prose(25)} {passage if i % 2 else passage[30:]} {prose(25)}", "h1") for i in range(5)]
+    for i in range(8):
+        leak = list(item[i % 4][rnd.randrange(4) :][: rnd.choice((9, 14, 26))])
+        leak[rnd.randrange(len(leak))] = "zz"
+        rows.append((500 + i, " ".join(words(20) + leak + words(20)), "h0"))
+    rows += [(600, "too short", "h0"), (601, "again and again and " * 30, "h0"), (602, "", "h0")]
+    items = [(i, " ".join(w)) for i, w in enumerate(item)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    df = spark.createDataFrame([(i, t, "en", h, len(t)) for i, t, h in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id, r.text, list(r.piece_ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    want = plain_pipeline(rows, items)
+    assert got == want and 25 < len(want) < len(rows) - 20
