@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza import schemas
-from cadenza.operators import joins, reconcile
+from cadenza.functions import dates
+from cadenza.operators import joins, reconcile, resolve
 from cadenza.plans import jobs
 from cadenza.plans.catalogue import _DECIDED, _tracks, query, second, table
 from cadenza.plans.job_queries import _CONNECTED, _NOW, _albums, _integrations, _named, _play_items, none, now, text_of
@@ -229,3 +230,37 @@ def states_of_batches(spark, d):
     for number, batch in enumerate(_batches(spark, d)):
         step(batch, number)
     return held.read().select("user_id", "event_id")
+
+
+# shapes of titles and times
+
+
+@query("""
+SELECT p_partkey AS track_id, CASE WHEN k IN (0, 1, 4, 9) THEN 'matched' WHEN k IN (2, 3, 7, 10) THEN 'review_required' ELSE 'not_found' END AS match_status,
+  CASE WHEN k IN (2, 3, 10) THEN 'version_token_mismatch' WHEN k = 7 THEN 'title_fuzzy_only' WHEN k IN (5, 6, 8, 11) THEN 'no_plausible_candidate' END AS reason,
+  CASE k WHEN 2 THEN '라이브' WHEN 3 THEN '라이브' WHEN 10 THEN 'remastered' END AS tokens, CASE WHEN k = 7 THEN round(2.0 * length(p_name) / (2 * length(p_name) + 1), 3) END AS similarity
+FROM (SELECT *, p_partkey % 12 AS k FROM part)""")
+def match_title_shapes(spark, d):
+    """One candidate a track: the same title, with a guest, two Korean renditions, a track number, none, an empty one, one letter more, another one, capitals with accents, a remaster, another artist."""
+    k, p = F.col("p_partkey") % 12, table(spark, d, "part")
+    shapes = [
+        F.col("p_name"), F.concat("p_name", F.lit(" (feat. 아이유)")), F.concat("p_name", F.lit(" (라이브)")), F.concat("p_name", F.lit(" - 라이브")), F.concat(F.lit("01. "), "p_name"), none("string"), F.lit(""), F.concat("p_name", F.lit("s")),
+        F.lit("zzzz qqqq"), F.translate(F.upper("p_name"), "AEIO", "ÀÉÎÖ"), F.concat("p_name", F.lit(" [Remastered]")), F.col("p_name"),
+    ]
+    title = none("string")
+    for at, shape in enumerate(shapes):
+        title = F.when(k == at, shape).otherwise(title)
+    artist = F.concat(F.lit("Ártist "), F.col("p_partkey").cast("string"))
+    tracks = p.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("title"), F.array(artist).alias("artist_names"), none("array<string>").alias("aliases"), F.lit(200.0).alias("duration_sec"))
+    cands = p.select(F.col("p_partkey").alias("id"), title.alias("title"), F.when(k == 11, F.concat(artist, F.lit(" band"))).otherwise(F.lower(artist)).alias("artist"), none("string").alias("album"), F.lit(201.5).alias("duration_sec"), F.lit(False).alias("instrumental"), F.lit("la").alias("plain_lyrics"), none("string").alias("synced_lyrics"), F.col("p_partkey").alias("ord"))
+    got = resolve.decide(tracks, cands)
+    return got.select("track_id", "match_status", "reason", F.nullif(F.array_join("candidate_tokens", ","), F.lit("")).alias("tokens"), "similarity")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(CAST(l_shipdate AS TIMESTAMP) + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') WHEN 2 THEN strftime(l_shipdate, '%Y-%m-%d 00:00:00') END AS at FROM lineitem""")
+def instant_values(spark, d):
+    """Times in UTC, at noon nine hours ahead of it, as a day alone, and malformed."""
+    k, day = F.col("l_linenumber") % 4, lambda form: F.date_format("l_shipdate", form)
+    raw = F.when(k == 0, day("yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.concat(day("yyyy-MM-dd"), F.lit("T12:00:00+09:00"))).when(k == 2, day("yyyy-MM-dd")).otherwise("20x4-01-01")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", second(dates.parse_instant(raw)).alias("at"))

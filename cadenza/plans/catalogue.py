@@ -110,8 +110,8 @@ WITH c AS (SELECT event_type, max(ts) AS since FROM events WHERE ts < TIMESTAMP
 SELECT e.event_id, e.event_type FROM events e JOIN c USING (event_type) WHERE e.ts > c.since""")
 def incremental_since_cursor(spark, d):
     e = table(spark, d, "events")
-    since = e.where("ts < timestamp_ntz'2024-01-20'").groupBy("event_type").agg(F.max("ts").alias("since"))
-    return e.join(since, "event_type").where("ts > since").select("event_id", "event_type")
+    held = e.where("ts < timestamp_ntz'2024-01-20'")
+    return jobs.since_cursor(joins.with_keys(e, held, ["event_type"]), held, "ts", ["event_type"]).select("event_id", "event_type")
 
 
 @query("""

@@ -75,15 +75,22 @@ def should_poll(state: DataFrame, now: Column, cron: bool, seconds: int = 60) ->
     return last.select((F.lit(cron) | ~dates.debounced(now, F.col("last"), seconds)).alias("due"))
 
 
+def since_cursor(rows: DataFrame, held: DataFrame, at: str, keys: list[str] | None = None) -> DataFrame:
+    """Rows newer than the newest held one (of their ``keys``); all rows where nothing is held."""
+    if keys is None:
+        since = held.agg(F.max(at)).first()[0]  # one value, which prunes the scan of the rows
+        return rows if since is None else rows.where(F.col(at) > F.lit(since))
+    newest = held.groupBy(*keys).agg(F.max(at).alias("_since"))
+    return rows.join(newest, keys, "left").where(F.col("_since").isNull() | (F.col(at) > F.col("_since"))).select(*rows.columns)
+
+
 def sync_saved_tracks(held: DataFrame, items: DataFrame, tracks: DataFrame, albums: DataFrame, mode: str) -> DataFrame:
     """Saved tracks.  ``full`` also drops what is no longer saved; ``incremental`` takes what is newer than the newest held row."""
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
     rows = flatten.saved_tracks(items)
     rows = rank.best_per_key(rows, ["spotify_track_id"], F.struct("added_at", *(c for c in rows.columns if c not in ("spotify_track_id", "added_at"))), descending=True)
-    if mode == "incremental":
-        since = held.agg(F.max("added_at")).first()[0]
-        rows = rows if since is None else rows.where(F.col("added_at") > F.lit(since))
+    rows = since_cursor(rows, held, "added_at") if mode == "incremental" else rows
     rows = joins.lookup(joins.lookup(rows, tracks, "spotify_track_id", "spotify_id", "id", "track_id"), albums, "album_sid", "spotify_id", "id", "album_id")
     merged = merge.upsert(held, rows, ["spotify_track_id"], {c: Rule.OVERWRITE for c in held.columns if c != "spotify_track_id"})
     return merge.prune(merged, rows, ["spotify_track_id"]) if mode == "full" else merged
