@@ -94,27 +94,23 @@ def paired(codes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return ids[distinct // (ids.size + 1)], ids[distinct % (ids.size + 1)], counts, np.insert(numbers.astype(np.int32), gap, -1)
 
 
-def next_level(held: DataFrame, named: DataFrame) -> DataFrame:
-    """block, lefts, rights, counts and codes of the pairs in every block that has some; ``named``: block, numbers and ids of its frequent k-grams."""
+def next_level(held: DataFrame, hits: DataFrame) -> DataFrame:
+    """block, lefts, rights, counts and codes of the pairs in every block that has some; ``hits``: block, number and id of frequent k-grams, no more of a block than it has distinct ones."""
     schema = pa.schema([("block", pa.int64()), ("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                codes = batch.column("codes")[i].values.to_numpy()
-                named_ = batch.column("named")[i].values
-                ids = np.full(int(codes.max(initial=-1)) + 1, -1, np.int64)
-                ids[named_.field("number").to_numpy()] = named_.field("id").to_numpy()
-                left, right, counts, after = paired(codes, ids)
-                if left.size:
-                    yield output(schema, block=[batch.column("block")[i].as_py()], lefts=[left], rights=[right], counts=[counts], codes=[after])
-
-    return held.select("block", "codes").join(named, "block").select("block", "codes", "named").mapInArrow(run, "block long, lefts array<long>, rights array<long>, counts array<long>, codes array<int>")
-
+    def pairs(block: pa.Table, named: pa.Table) -> pa.Table:
+        if not block.num_rows or not named.num_rows:
+            return schema.empty_table()
+        codes = block.column("codes").combine_chunks().flatten().to_numpy()
+        ids = np.full(int(codes.max(initial=-1)) + 1, -1, np.int64)
+        ids[named.column("number").to_numpy()] = named.column("id").to_numpy()
+        left, right, counts, after = paired(codes, ids)
+        if not left.size:
+            return schema.empty_table()
+        return pa.Table.from_batches([output(schema, block=block.column("block").to_pylist()[:1], lefts=[left], rights=[right], counts=[counts], codes=[after])])
 
-def _per_block(hits: DataFrame) -> DataFrame:
-    """block and its frequent k-grams, no more than it has words."""
-    return hits.groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("named"))
+    both = held.select("block", "codes").groupBy("block").cogroup(hits.select(F.col("block").alias("of"), "number", "id").groupBy("of"))
+    return both.applyInArrow(pairs, "block long, lefts array<long>, rights array<long>, counts array<long>, codes array<int>")
 
 
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> tuple[list[DataFrame], DataFrame, list]:
@@ -130,7 +126,7 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", longest: i
     levels, drops = [level], [drop, drop_totals]
     hits = wide.join(level.select("id", "lang", F.col("words")[0].alias("word")), ["lang", "word"])
     for k in range(2, longest + 1):
-        after, drop_after = scratch(next_level(held, _per_block(hits)), "pairs")
+        after, drop_after = scratch(next_level(held, hits), "pairs")
         drop_held()
         if k == 2:
             drop_words()
