@@ -4,9 +4,8 @@ The ratio is 2m / (n_a + n_b), where the m matched characters occur on both side
 
 * differ in length by a factor of (2 - r) / r at most: the bin of the length's logarithm to that base is part of the join key, and a shorter title also looks into the next bin;
 * have r (n_a + n_b) / 2 characters in common, counted with multiplicity.  With a title as the set of its characters numbered by occurrence, in one order of rareness, a pair must share one of the
-  first n - ceil(r n) + 1 of the shorter title and one of the first n - ceil(r n / (2 - r)) + 1 of the longer one.  That character is the rest of the key; a pair is formed at its first
-  common character only, and kept if enough are in common.  Before they are counted, the characters' hashes in ``WORDS`` 64-bit words tell most pairs apart: every bit in which two titles differ is a character of
-  one of them only.
+  first n - ceil(r n) + 1 of the shorter title and one of the first n - ceil(r n / (2 - r)) + 1 of the longer one.  That character is the rest of the key.  In the join the characters' hashes in ``WORDS`` 64-bit
+  words tell most pairs apart: every bit in which two titles differ is a character of one of them only.  What is left is counted once a pair.
 
 The ratio itself, which is not symmetric, is computed for what is left, in Arrow batches.
 """
@@ -57,16 +56,18 @@ def candidates(titles: DataFrame, least: float = T.FUZZY) -> DataFrame:
     prefix = lambda share: F.slice("chars", 1, (size - F.ceil(share * size - _SLACK) + 1).cast("int"))
     bins = F.array(bin_, bin_ + 1) if least < 1 else F.array(bin_)
     signs = lambda side: [F.col(f"sign_{k}").alias(f"sign_{k}_{side}") for k in range(WORDS)]
-    short = held.select(F.col("title").alias("a"), F.col("n").alias("n_a"), F.col("chars").alias("chars_a"), *signs("a"), F.explode(bins).alias("bin"), prefix(F.lit(least)).alias("keys"))
-    long = held.select(F.col("title").alias("b"), F.col("n").alias("n_b"), F.col("chars").alias("chars_b"), *signs("b"), bin_.alias("bin"), prefix(F.lit(least / (2 - least))).alias("keys"))
+    short = held.select(F.col("title").alias("a"), F.col("n").alias("n_a"), *signs("a"), F.explode(bins).alias("bin"), prefix(F.lit(least)).alias("keys"))
+    long = held.select(F.col("title").alias("b"), F.col("n").alias("n_b"), *signs("b"), bin_.alias("bin"), prefix(F.lit(least / (2 - least))).alias("keys"))
     short, long = (side.withColumn("key", F.explode("keys")).drop("keys") for side in (short, long))
     pairs = short.join(long, ["bin", "key"]).where((F.struct("n_a", "a") < F.struct("n_b", "b")) & (F.col("n_a") >= least / (2 - least) * F.col("n_b") - _SLACK))
     differ = F.lit(0)
     for k in range(WORDS):
         differ = differ + F.bit_count(F.col(f"sign_{k}_a").bitwiseXOR(F.col(f"sign_{k}_b")))
     pairs = pairs.where(differ <= (1 - least) * (F.col("n_a") + F.col("n_b")) + _SLACK)
-    common = F.array_intersect("chars_a", "chars_b")
-    return pairs.where((common[0] == F.col("key")) & (2 * F.size(common) >= least * (F.col("n_a") + F.col("n_b")) - _SLACK)).select("a", "b")
+    pairs = pairs.select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(held.select(F.col("title").alias(side), F.col("chars").alias(f"chars_{side}")), side)
+    return pairs.where(bound(F.col("chars_a"), F.col("chars_b")) >= least - _SLACK).select("a", "b")
 
 
 def similar(titles: DataFrame, least: float = T.FUZZY) -> DataFrame:
