@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import column_bytes, long_rows, output, steps, word_spans
 
 ORDERS, SLOT_BITS, SAMPLE, SWITCH, ALPHA, SHARE = (2, 3, 4), 16, 2_000, 12.0, 0.5, 0.005
+#: Bytes of text in one step: the more texts go through Viterbi together, the fewer steps over their words.
+STEP_BYTES = 4 << 20
 #: First code points of ranges, and their scripts; what lies between ranges is "other".
 SCRIPTS = (
     (0x0000, "other"), (0x0041, "latin"), (0x005B, "other"), (0x0061, "latin"), (0x007B, "other"), (0x00AA, "latin"), (0x00AB, "other"), (0x00BA, "latin"), (0x00BB, "other"),
@@ -92,7 +94,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     schema = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             for name in part.column("lang").unique().to_pylist():
                 spaced, starts, ends, _ = words_of(part.filter(pc.equal(part.column("lang"), name)).column("text"))
                 totals = np.bincount(scripts(spaced, starts) + _SLOTS, minlength=_SLOTS + len(NAMES))
@@ -170,7 +172,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = table.value
         names = pa.array(held.languages or ["und"])
-        for part in steps(batches):
+        for part in steps(batches, "text", STEP_BYTES):
             n = part.num_rows
             usable = np.array(part.column("letters").to_pylist(), bool) & bool(held.languages)
             spaced, starts, ends, bounds = words_of(pc.if_else(pa.array(usable), part.column("text"), ""))
