@@ -86,7 +86,7 @@ class Snapshots:
     def names(self) -> set[tuple[int, str]]:
         """Batch and part of every file, from the listing alone."""
         found = (re.search(r"/_batch=(\d+)/_part=([^/]+)/", f) for f in self.slices().inputFiles())
-        return {(int(m[1]), unquote(m[2])) for m in found if m}
+        return {(int(m[1]), unquote(unquote(m[2]))) for m in found if m}  # an escaped name in an encoded path
 
     def count(self) -> int:
         """One more than the newest batch that wrote something."""

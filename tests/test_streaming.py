@@ -128,3 +128,13 @@ def test_merged_levels(spark, tmp_path):
             assert {r.k: (str(r.at)[:10], r.v) for r in table.read().collect()} == newest
     assert len(logs.merged_slices(13)) == 3 and all(len(logs.merged_slices(c)) <= 10 for c in range(1001))
     assert window.held().count() <= 3 * 3 and not {f"{state.path}/_batch={b}" for b in logs.merged_slices(13)} & set(state.spent()) and len(state.spent()) >= 6
+
+
+def test_parts_of_any_name(spark, tmp_path):
+    """Parts whose names are escaped in paths are known again."""
+    table = logs.Snapshots(spark, str(tmp_path / "log"), SCHEMA)
+    step = logs.append_log(table, ["k"], F.concat(F.col("k"), F.lit(":/ =%é")))
+    step(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-01", 2)), 0)
+    step(rows(spark, ("b", "2024-01-02", 3), ("c", "2024-01-02", 4)), 1)
+    assert {(r.k, r.v) for r in table.read().collect()} == {("a", 1), ("b", 2), ("c", 4)}
+    assert (0, "b:/ =%é") in table.names()
