@@ -120,7 +120,7 @@ class Snapshots:
 
     def may_hold(self, keys: DataFrame, number: int) -> set[tuple[int, str]]:
         """Batch and part of what may hold one of ``keys`` (_part and the table's keys, without nulls), of batches before ``number``: what its filter lets pass, and what has none."""
-        parts = {r[0] for r in keys.select("_part").distinct().collect()}
+        parts = {r[0] for r in keys.select("_part").distinct().collect() if r[0] is not None}  # names
         there = {(b, p) for b, p in self.names() if b < number and p in parts}
         if not there:
             return set()
@@ -166,7 +166,7 @@ class Snapshots:
 
 def append_log(table: Snapshots, keys: list[str], part: Column | None = None) -> Callable[[DataFrame, int], None]:
     """First row of each key ever seen, late ones included.  A batch is compared with the keys in those parts of those slices that may hold one of its keys, by their filters; ``part`` places rows by something
-    that equal keys share, such as the day of a time among the keys, so that batches of recent rows look at few filters.  A key with a null is never seen before."""
+    that equal keys share, such as the day of a time among the keys, so that batches of recent rows look at few filters.  A key with a null, or without a part, is never seen before."""
     place = table.part(keys) if part is None else part.cast("string")
     table.keys = keys
 

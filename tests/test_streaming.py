@@ -138,3 +138,5 @@ def test_parts_of_any_name(spark, tmp_path):
     step(rows(spark, ("b", "2024-01-02", 3), ("c", "2024-01-02", 4)), 1)
     assert {(r.k, r.v) for r in table.read().collect()} == {("a", 1), ("b", 2), ("c", 4)}
     assert (0, "b:/ =%é") in table.names()
+    step(rows(spark, (None, "2024-01-02", 5), ("c", "2024-01-03", 6)), 2)
+    assert table.read().count() == 4
