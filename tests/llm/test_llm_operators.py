@@ -444,6 +444,8 @@ def test_tokens_beside_marks(spark, small_batches):
     df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
     for r in piece.encode_decode(df, PIECES, with_ids=True).collect():
         assert r.ids == own[r.doc_id] and (not r.same_ids or made.fast.encode(texts[r.doc_id], add_special_tokens=False).ids == r.ids)
+    flagged = piece.add_pieces(df.limit(50), PIECES, same="flag")
+    assert flagged.columns == ["doc_id", "text", "piece_ids", "decoded", "flag"] and flagged.where("flag").count() > 0
 
 
 # 7 decontamination
