@@ -47,3 +47,27 @@ def test_no_titles(spark):
     assert similar.similar(spark.createDataFrame([(None,), ("",), ("one",)], "title string")).collect() == []
     with pytest.raises(ValueError, match="least"):
         similar.similar(spark.createDataFrame([("a",)], "title string"), 0.0)
+
+
+def test_titles_of_the_same_characters_are_no_candidates(spark):
+    rnd = random.Random(5)
+    letters = list("the thanedble attion thereouhe anea in ern")
+    titles = ["".join(rnd.sample(letters, len(letters))) for _ in range(120)]
+    titles += [t[:7] + t[9:] + "xy" for t in titles[:10]]
+    df = spark.createDataFrame([(t,) for t in titles], "title string")
+    found = {(r.a, r.b) for r in similar.candidates(df).collect()}
+    assert all(len(a) <= len(b) for a, b in found) and len(found) < 60  # characters alone leave more than 7,000
+    want = {(a, b) for a in titles for b in titles if a != b and SequenceMatcher(None, a, b).ratio() >= 0.8}
+    assert {(r.a, r.b) for r in similar.similar(df).collect()} == want
+
+
+def test_cells_and_long_titles(spark, monkeypatch):
+    monkeypatch.setattr(similar, "CELL", 6)
+    monkeypatch.setattr(similar, "COLUMNS", 16)
+    monkeypatch.setattr(similar, "LONG", 150)
+    rnd = random.Random(6)
+    first = ["".join(rnd.choice("abcde f\U0001f600é") for _ in range(n)) for n in (1, 2, 3, 9, 20, 40, 63, 64, 65, 66, 90, 129, 140, 160, 190)]
+    titles = sorted({*first, *(changed(rnd, t) for t in first for _ in range(4))} - {""})
+    df = spark.createDataFrame([(t,) for t in titles], "title string")
+    want = {(a, b): r for a in titles for b in titles if a != b and (r := SequenceMatcher(None, a, b).ratio()) >= 0.8}
+    assert {(r.a, r.b): r.ratio for r in similar.similar(df).collect()} == want
