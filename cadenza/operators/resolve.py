@@ -146,18 +146,25 @@ def evidence(outcomes: DataFrame) -> Column:
     return T.strip_nul(F.to_json(F.struct(*fields, F.when(F.col("n_groups") > 1, F.col("n_groups")).alias("count"), F.col("track_tokens"), F.col("candidate_tokens"))))
 
 
+def _keyed(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the artist key of a name, made once per distinct name."""
+    made = rows.select(F.col(name).alias("_of")).distinct().withColumn("key", T.artist_key(T.normalize_title("_of")))
+    return rows.join(made, F.col(name).eqNullSafe(F.col("_of"))).drop("_of")
+
+
 def retrieve(tracks: DataFrame, dump: DataFrame, lyrics: DataFrame, most: int = 200) -> DataFrame:
     """Candidates of each track from a landed dump, nearest in duration first, at most ``most`` (the source's own limit; null durations come first).
 
-    Blocked on the artist key instead of substring search, which would compare all pairs.  The nearest of an artist's recordings come from a join on the line of durations, so a track
-    forms 2 ``most`` pairs for each of its names at most, however many recordings the artist has.  Of rows of the dump that share artist and id, the one with the least duration (null first) counts.
+    Blocked on the artist key instead of substring search, which would compare all pairs.  The nearest of an artist's recordings come from ``nearest``, so a distinct duration
+    forms few pairs, however many recordings the artist has.  Keys are made once per distinct name.  Of rows of the dump that share artist and id, the one with the least duration (null first) counts.
     """
     t = tracks.select("track_id", F.col("duration_sec").cast("double").alias("of"), F.explode(F.array_distinct(F.concat(F.coalesce("artist_names", F.array().cast("array<string>")), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("_name"))
-    t = t.withColumn("key", T.artist_key(T.normalize_title("_name"))).select("track_id", "of", "key").distinct()
-    kept = dump.select("id", "name", "artist_name", "album_name", "duration", "last_lyrics_id", T.artist_key(T.normalize_title("artist_name")).alias("key"))
+    t = durable(_keyed(t, "_name").select("track_id", "of", "key").distinct(), "names")  # read twice
+    kept = _keyed(dump.select("id", "name", "artist_name", "album_name", "duration", "last_lyrics_id"), "artist_name")
     d = durable(best_per_key(kept, ["key", "id"], F.struct(F.col("duration").isNotNull(), "duration", "name", "artist_name", "album_name", "last_lyrics_id")), "dump")
-    near = nearest(t.select("key", "of"), d.select("key", F.col("duration").alias("value"), F.col("id").alias("tie")), most)
-    pairs = t.join(near, (t.key == near.key) & t.of.eqNullSafe(near.of)).select("track_id", near.key, "tie", "gap")
+    near = nearest(t.select("key", "of"), d.select("key", F.col("duration").alias("value"), F.col("id").alias("tie")), most, once=True)
+    near = near.withColumnsRenamed({"key": "_key", "of": "_of"})
+    pairs = t.join(near, (F.col("key") == F.col("_key")) & F.col("of").eqNullSafe(F.col("_of"))).select("track_id", "key", "tie", "gap")
     one = best_per_key(pairs, ["track_id", "tie"], F.struct(F.col("gap").isNotNull(), "gap", "key"))  # by the nearest of a track's names
     chosen = top_per_key(one, ["track_id"], by_gap(), most).join(d.withColumnRenamed("id", "tie"), ["key", "tie"])
     body = lyrics.select(F.col("id").alias("last_lyrics_id"), "plain_lyrics", "synced_lyrics", "instrumental")

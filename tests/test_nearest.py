@@ -42,3 +42,28 @@ def test_a_hot_artist_forms_few_pairs(spark):
     points = dump.where("id % 3 = 0").select(F.lit("hot").alias("key"), F.col("duration").alias("value"), F.col("id").alias("tie"))
     pairs = nearest.following(queries, points, k, True)
     assert pairs.count() <= 300 * k
+
+
+def test_keys_with_few_queries_sort_no_line(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a line is sorted")
+
+    rnd = random.Random(4)
+    points = [(f"k{i % 40}", rnd.choice([None, *map(float, range(20))]), i) for i in range(800)]
+    queries = [(f"k{i % 60}", rnd.choice([None, 3.0, 7.5, 19.0])) for i in range(200)]
+    frames = spark.createDataFrame(queries, "key string, of double"), spark.createDataFrame(points, "key string, value double, tie long")
+    monkeypatch.setattr(nearest, "following", refuse)
+    got = nearest.nearest(*frames, 5)
+    assert {tuple(r) for r in got.select("key", "of", "tie", "gap").collect()} == plain(queries, points, 5)
+    monkeypatch.undo()
+    monkeypatch.setattr(nearest, "FEW", 3)  # some keys by the line
+    got = nearest.nearest(*frames, 5)
+    assert {tuple(r) for r in got.select("key", "of", "tie", "gap").collect()} == plain(queries, points, 5)
+
+
+def test_names_without_an_artist_key_are_kept_apart(spark):
+    dump = spark.createDataFrame([(1, "t", None, None, 5.0, 1), (2, "t", "The Who", None, 5.0, 1), (3, "t", "who", None, 6.0, 1)], "id long, name string, artist_name string, album_name string, duration double, last_lyrics_id int")
+    tracks = spark.createDataFrame([(1, ["The Who", None], None, 5.0), (2, ["Nobody"], ["who", "Who"], 6.0)], "track_id long, artist_names array<string>, aliases array<string>, duration_sec double")
+    lyrics = spark.createDataFrame([(1, "la", None, False)], "id int, plain_lyrics string, synced_lyrics string, instrumental boolean")
+    got = {(r.track_id, r.id) for r in resolve.retrieve(tracks, dump, lyrics, most=3).collect()}
+    assert got >= {(1, 2), (1, 3), (2, 2), (2, 3)} and (2, 1) not in got
