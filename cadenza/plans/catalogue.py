@@ -476,7 +476,7 @@ SELECT DISTINCT album_sid, slug FROM m WHERE NOT weak OR album_sid NOT IN (SELEC
 def genre_attach(spark, d):
     genres = spark.createDataFrame([("ECONOMY", "hip-hop", False), ("PROMO", "k-pop", True), ("SMALL", "k-pop", True), ("LARGE", "rock", False)], "genre string, slug string, arbitration_only boolean")
     artists = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("spotify_id"), F.array("p_type").alias("genres"))
-    links = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("album_sid"), F.col("l_partkey").cast("string").alias("artist_sid")).distinct()
+    links = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("album_sid"), F.col("l_partkey").cast("string").alias("artist_sid"))
     return jobs.attach_genres(spark.createDataFrame([], "album_sid string, slug string"), links, artists, genres)
 
 

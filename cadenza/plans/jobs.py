@@ -34,11 +34,12 @@ def sync_albums(tables: dict[str, DataFrame], payloads: DataFrame, genre_map: Da
 
 def attach_genres(held: DataFrame, album_artists: DataFrame, artists: DataFrame, genre_map: DataFrame) -> DataFrame:
     """Genre links of albums by their artists' genre strings.  ``genre_map``: genre, slug, arbitration_only; a slug that only arbitrates is attached when no
-    other one is."""
-    said = album_artists.join(artists.select(F.col("spotify_id").alias("artist_sid"), F.explode("genres").alias("genre")), "artist_sid").select("album_sid", "genre").distinct()
-    slugs = said.join(genre_map, "genre").groupBy("album_sid").agg(F.collect_set(F.when(~F.col("arbitration_only"), F.col("slug"))).alias("firm"), F.collect_set("slug").alias("all"))
-    chosen = slugs.select("album_sid", F.explode(F.when(F.size("firm") > 0, F.col("firm")).otherwise(F.col("all"))).alias("slug"))
-    return merge.insert_ignore(held, chosen, ["album_sid", "slug"])
+    other one is.  Links may repeat.  Artists meet the genre map before their albums, so links without a slug go no further."""
+    says = artists.select(F.col("spotify_id").alias("artist_sid"), F.explode("genres").alias("genre")).join(genre_map, "genre").select("artist_sid", "slug", "arbitration_only").distinct()
+    said = album_artists.select("album_sid", "artist_sid").join(says, "artist_sid")  # the sets below drop repeated links
+    slugs = said.groupBy("album_sid").agg(F.collect_set(F.when(~F.col("arbitration_only"), F.col("slug"))).alias("firm"), F.collect_set("slug").alias("all"))
+    chosen = slugs.select("album_sid", F.explode(F.when(F.size("firm") > 0, F.col("firm")).otherwise(F.col("all"))).alias("slug"))  # each once
+    return held.unionByName(joins.without_keys(chosen, held, ["album_sid", "slug"]).select(*held.columns))
 
 
 def sync_recent(recent_albums: DataFrame, recent_tracks: DataFrame, album_events: DataFrame, track_events: DataFrame, albums: DataFrame, items: DataFrame, window: int = 50) -> dict[str, DataFrame]:

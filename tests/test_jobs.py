@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,16 @@ def test_genres(spark, tables):
     assert jobs.attach_genres(once, links, artists, mapping).count() == 2
 
 
+def test_genre_links_may_repeat_and_no_task_hashes_them(spark, tables):
+    artists = spark.createDataFrame([("a1", ["rap", "pop"]), ("a2", ["pop"]), ("a3", ["none"])], "spotify_id string, genres array<string>")
+    links = spark.createDataFrame([("x", "a1"), ("x", "a1"), ("x", "a2"), ("y", "a2"), ("y", "a2"), ("z", "a3"), ("y", "gone")], "album_sid string, artist_sid string")
+    mapping = spark.createDataFrame([("rap", "hip-hop", False), ("pop", "k-pop", True)], "genre string, slug string, arbitration_only boolean")
+    got = jobs.attach_genres(tables["album_genres"], links, artists, mapping)
+    assert sorted(map(tuple, got.collect())) == [("x", "hip-hop"), ("y", "k-pop")]
+    hashed = re.findall(r"\bHashAggregate\(keys=\[([^\]]*)\]", got._jdf.queryExecution().executedPlan().toString())
+    assert hashed and not [keys for keys in hashed if "album_sid" in keys and ("artist_sid" in keys or "genre" in keys)]
+
+
 def play(track, album, at):
     return {"played_at": at, "track": {"id": track, "name": "n", "duration_ms": 1, "artists": [{"name": "A"}, {"name": "B"}], "album": {"id": album, "name": "al", "images": []}}}
 
