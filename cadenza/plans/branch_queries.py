@@ -126,7 +126,7 @@ def upcoming_release_groups(spark, d):
     o, path = table(spark, d, "orders"), fresh(spark, "groups")
     day = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     line = F.to_json(F.struct(text_of("o_custkey").alias("artist_id"), text_of("o_orderkey").alias("id"), F.lit("t").alias("title"), F.lit("Album").alias("primary-type"), day.alias("first-release-date")))
-    o.select(F.when(F.col("o_orderkey") % 13 == 0, "{broken").otherwise(line).alias("value")).write.text(path)
+    landed.land(o.select(F.when(F.col("o_orderkey") % 13 == 0, "{broken").otherwise(line).alias("value")), path)
     rows = landed.read(spark, "release_groups", path).withColumn("ord", F.col("id").cast("long"))
     return landed.upcoming_groups(rows, "1995-01-01", "1998-12-31", 2).select("artist_id", "source_key", "release_date")
 
@@ -152,7 +152,7 @@ def landed_files(spark, d):
     out = None
     for kind, (rows, total) in made.items():
         path = fresh(spark, kind)
-        rows.write.json(path)
+        landed.land(rows, path)
         one = landed.read(spark, kind, path).agg(F.count("*").alias("n"), total.cast("long").alias("total")).select(F.lit(kind).alias("kind"), "n", "total")
         out = one if out is None else out.union(one)
     return out

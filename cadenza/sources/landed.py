@@ -1,6 +1,6 @@
 """Readers of landed payloads.
 
-Remote calls are out of scope: whatever fetches pages lands them as JSON lines, and these readers take it from there
+Remote calls are out of scope: whatever fetches pages lands them as JSON lines (``land``), and these readers take it from there
 with explicit schemas.  A page that is missing or malformed yields no rows, never a guess.
 """
 
@@ -36,6 +36,12 @@ DUMP_COLUMNS = {
 }
 
 
+def land(rows: DataFrame, path: str) -> None:
+    """Lands payloads as JSON lines: ``rows`` as objects, or as they are if their only column is the line ``value``.  Files are compressed, as names of fields repeat in every line."""
+    lines = rows.columns == ["value"]
+    rows.write.option("compression", "gzip").format("text" if lines else "json").save(path)
+
+
 def read(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """Landed JSON lines of a kind."""
     return spark.read.schema(SCHEMAS[kind]).json(path)

@@ -44,6 +44,17 @@ def test_album_sync_is_idempotent_and_keeps_references(spark, tmp_path, tables):
     assert (row.title, row.release_date, row.ext_refs["upc"], twice["albums"].count(), twice["tracks"].count()) == ("New", "2024-01-01", "u", 2, 4)
 
 
+def test_landed_files_are_compressed(spark, tmp_path):
+    objects = spark.range(500).selectExpr("cast(id as string) as id", "named_struct('isrc', if(id % 2 = 0, 'code', null)) as external_ids")
+    landed.land(objects, str(tmp_path / "objects"))
+    landed.land(spark.createDataFrame([('{"id": "1"}',), ("{broken",)], "value string"), str(tmp_path / "lines"))
+    files = [f for kind in ("objects", "lines") for f in (tmp_path / kind).glob("part-*")]
+    assert files and all(f.name.endswith(".gz") for f in files)
+    got = landed.read(spark, "tracks", str(tmp_path / "objects"))
+    assert got.count() == 500 and got.where("external_ids.isrc = 'code'").count() == 250
+    assert landed.read(spark, "follows", str(tmp_path / "lines")).where("id = '1'").count() == 1
+
+
 def test_genres(spark, tables):
     artists = spark.createDataFrame([("a1", ["한국 랩", "케이팝"]), ("a2", ["케이팝", ""]), ("a3", [])], "spotify_id string, genres array<string>")
     links = spark.createDataFrame([("x", "a1"), ("y", "a2"), ("z", "a3")], "album_sid string, artist_sid string")
