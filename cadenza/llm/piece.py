@@ -4,9 +4,9 @@ The model's protobuf is parsed here and rebuilt as the library's parts: the norm
 extra white space and the dummy prefix), the metaspace mark, unigram scores or, for a BPE model, merges in the order of their
 scores, and byte fallback.  If no piece holds the mark after another character, no piece crosses a word's start,
 so a batch's distinct words are encoded once, in one multithreaded call, and their ids are the result.  A word takes all marks of the run before it but the first; U+2581 in a
-text is the same mark as a space, and is made one before texts are cut.  Parity: words in which
-equal scores may tie (those that hold a string three times in a row), and one word of 64 besides, are also encoded by the
-sentencepiece library, and so are, as a whole, texts that hold U+2581 and one text of 64 besides; where the two differ, its ids are used and ``same_ids`` is false for the text.
+text is the same mark as a space, and is made one before texts are cut.  Parity: every distinct word (or text, where words can't be encoded apart) is also encoded by the
+sentencepiece library, and so are, as a whole, all texts that hold U+2581; where the two differ, its ids are used and ``same_ids`` is false for the text.  Nothing is decided by a sample: other texts are
+their words end to end for that library too, as it has no piece that crosses a word's start.
 Decoding joins the pieces' bytes, of all texts of a batch at once; the texts that are compared as a whole are also decoded by the rebuilt tokenizer, and where that gives other text, ``same_ids`` is false, too.
 
 Null texts count as empty, with no ids.  Repeated rows get a row each, null ids are kept, extra columns are ignored.
@@ -35,8 +35,6 @@ from cadenza.llm.token_counts import threads
 MARK = "▁"
 #: Bytes of text whose words are encoded together, and words that a worker remembers.
 WORD_BYTES, SEEN = 2 << 20, 100_000
-#: One word of so many, and one text, chosen by a hash, is compared with the sentencepiece library.
-PARITY = 64
 #: Kinds of pieces and models in the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -46,6 +44,7 @@ _TIE = re.compile(r"(.{1,8}?)\1\1", re.DOTALL)
 
 
 def may_tie(unit: str) -> bool:
+    """Whether the libraries may choose among equal scores in their own ways; an observation, no condition of what is compared."""
     return not unit or _TIE.search(unit) is not None
 
 
@@ -152,19 +151,17 @@ class Codec:
     def encode_units(self, units: list[str]) -> list[tuple[bytes, bool]]:
         """(ids as bytes, whether they are the rebuilt tokenizer's) of each unit, encoded as a text of its own.
 
-        Units in which equal scores may tie, and one of ``PARITY`` of the others, also go through sentencepiece; where it differs, its ids count."""
+        All units also go through sentencepiece; where it differs, its ids count."""
         fresh = [u for u in units if u not in self.seen]
         with threads(True):
             made = [e.ids for e in self.fast.encode_batch_fast(fresh, add_special_tokens=False)]
         if self.by_word and "" in fresh:  # a mark at a text's end
             made[fresh.index("")] = [self.fast.token_to_id(MARK)]
-        doubtful = [i for i, u in enumerate(fresh) if may_tie(u) or zlib.crc32(u.encode()) % PARITY == 0]
-        same = [True] * len(fresh)
-        for i, own in zip(doubtful, self.own.encode([fresh[i] for i in doubtful], num_threads=1), strict=True):
-            own = [self.alone] if self.by_word and not fresh[i] else own
-            same[i] = made[i] == own
-            made[i] = own
-        new = {u: (np.array(ids, "<u4").tobytes(), ok) for u, ids, ok in zip(fresh, made, same, strict=True)}
+        own = self.own.encode(fresh, num_threads=1)
+        if self.by_word and "" in fresh:
+            own[fresh.index("")] = [self.alone]
+        same = [a == b for a, b in zip(made, own, strict=True)]
+        new = {u: (np.array(ids, "<u4").tobytes(), ok) for u, ids, ok in zip(fresh, own, same, strict=True)}
         got = [self.seen.get(u) or new[u] for u in units]
         if len(self.seen) < SEEN:
             self.seen.update(new)
@@ -195,11 +192,8 @@ class Codec:
         return self._compared(texts, ragged(table, bounds, picks), before[offsets], wrong[offsets[1:]] == wrong[offsets[:-1]])
 
     def _compared(self, texts: pa.Array, ids: np.ndarray, before: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same after whole texts were compared with the sentencepiece library."""
-        marked = pc.match_substring(texts, MARK).to_numpy(zero_copy_only=False)
-        data, offsets = column_bytes(texts)
-        view = memoryview(np.ascontiguousarray(data))
-        at = [i for i in range(len(texts)) if marked[i] or zlib.crc32(view[offsets[i] : offsets[i + 1]]) % PARITY == 0]
+        """The same after whole texts with U+2581 were compared with the sentencepiece library."""
+        at = np.flatnonzero(pc.match_substring(texts, MARK).to_numpy(zero_copy_only=False)).tolist()
         if not at:
             return ids, before, same
         whole, same = texts.take(pa.array(at, pa.int32())).to_pylist(), same.copy()

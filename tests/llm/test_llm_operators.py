@@ -448,6 +448,24 @@ def test_tokens_beside_marks(spark, small_batches):
     assert flagged.columns == ["doc_id", "text", "piece_ids", "decoded", "flag"] and flagged.where("flag").count() > 0
 
 
+def test_every_word_is_compared(spark):
+    """Where the rebuilt tokenizer errs in any word, sentencepiece's ids come out and the flag says so."""
+
+    class Wrong:
+        def encode_batch_fast(self, units, add_special_tokens):
+            return [type("Encoding", (), {"ids": [7]}) for _ in units]
+
+        def token_to_id(self, piece):
+            return 7
+
+    with open(PIECES, "rb") as file:
+        made = piece.Codec(file.read())
+    made.fast = Wrong()
+    texts = [f"word{i} other{i * i}" for i in range(300)] + ["end "]
+    ids, before, same = made.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(before, before[1:])] == made.own.encode(texts) and not same.any()
+
+
 # 7 decontamination
 
 
