@@ -16,6 +16,7 @@ Text that holds the mark U+2581 itself decodes to a space there, as in the sente
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -161,7 +162,7 @@ class Codec:
         if self.by_word and "" in fresh:
             own[fresh.index("")] = [self.alone]
         same = [a == b for a, b in zip(made, own, strict=True)]
-        new = {u: (np.array(ids, "<u4").tobytes(), ok) for u, ids, ok in zip(fresh, own, same, strict=True)}
+        new = {u: (struct.pack(f"<{len(ids)}I", *ids), ok) for u, ids, ok in zip(fresh, own, same, strict=True)}
         got = [self.seen.get(u) or new[u] for u in units]
         if len(self.seen) < SEEN:
             self.seen.update(new)
