@@ -3,7 +3,7 @@
 The model's protobuf is parsed here and rebuilt as the library's parts: the normaliser (its character map, the removal of
 extra white space and the dummy prefix), the metaspace mark, unigram scores or, for a BPE model, merges in the order of their
 scores, and byte fallback.  If no piece holds the mark after another character, no piece crosses a word's start,
-so a batch's distinct words are encoded once, in one multithreaded call, and their ids are the result.  A word takes all marks of the run before it but the first; U+2581 in a
+so a batch's distinct words are encoded once, a few thousand in a call, and their ids are the result.  A word takes all marks of the run before it but the first; U+2581 in a
 text is the same mark as a space, and is made one before texts are cut.  Parity: every distinct word (or text, where words can't be encoded apart) is also encoded by the
 sentencepiece library, and so are, as a whole, all texts that hold U+2581; where the two differ, its ids are used and ``same_ids`` is false for the text.  Nothing is decided by a sample: other texts are
 their words end to end for that library too, as it has no piece that crosses a word's start.
@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from cadenza.llm.common import column_bytes, long_rows, output, steps
 from cadenza.llm.token_counts import threads
 
 MARK = "▁"
-#: Bytes of text whose words are encoded together, and words that a worker remembers.
-WORD_BYTES, SEEN = 2 << 20, 100_000
+#: Bytes of text whose words are encoded together, units in one call of a library (each makes objects of a KB or so), and words that a worker remembers, each of so many characters at most.
+WORD_BYTES, RUN, SEEN, SEEN_CHARS = 1 << 20, 4_096, 100_000, 64
 #: Kinds of pieces and models in the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -140,9 +141,7 @@ class Codec:
         #: Whether words can be encoded apart: no piece crosses their start, and the normaliser keeps text as it is.
         self.by_word = self.spec.dummy_prefix and not self.spec.charsmap and not self.spec.remove_extra and not any(MARK in p.lstrip(MARK) for p, _, kind in self.spec.pieces if kind in (NORMAL, USER))
         self.alone = self.own.piece_to_id(MARK)
-        coded = [self._bytes(p, kind) for p, _, kind in self.spec.pieces]
-        self.bounds = np.cumsum([0, *map(len, coded)])
-        self.bytes = np.frombuffer(b"".join(coded), np.uint8)
+        self.coded = pa.array([self._bytes(p, kind) for p, _, kind in self.spec.pieces], pa.large_binary())
 
     def _bytes(self, piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -153,21 +152,23 @@ class Codec:
         """(ids as bytes, whether they are the rebuilt tokenizer's) of each unit, encoded as a text of its own.
 
         All units also go through sentencepiece; where it differs, its ids count."""
-        fresh = [u for u in units if u not in self.seen]
-        with threads(True):
-            made = [e.ids for e in self.fast.encode_batch_fast(fresh, add_special_tokens=False)]
-        if self.by_word and "" in fresh:  # a mark at a text's end
-            made[fresh.index("")] = [self.fast.token_to_id(MARK)]
-        own = self.own.encode(fresh, num_threads=1)
-        if self.by_word and "" in fresh:
-            own[fresh.index("")] = [self.alone]
-        same = [a == b for a, b in zip(made, own, strict=True)]
-        new = {u: (struct.pack(f"<{len(ids)}I", *ids), ok) for u, ids, ok in zip(fresh, own, same, strict=True)}
+        fresh, new = [u for u in units if u not in self.seen], {}
+        for low in range(0, len(fresh), RUN):
+            new |= self._encoded(fresh[low : low + RUN])
         got = [self.seen.get(u) or new[u] for u in units]
-        if len(self.seen) < SEEN:
-            self.seen.update(new)
+        self.seen.update(islice(((u, x) for u, x in new.items() if len(u) <= SEEN_CHARS), max(0, SEEN - len(self.seen))))
         return got
 
+    def _encoded(self, units: list[str]) -> dict[str, tuple[bytes, bool]]:
+        # tasks run side by side already, and each thread of the library's own would keep memory of its own
+        with threads(False):
+            made = [e.ids for e in self.fast.encode_batch_fast(units, add_special_tokens=False)]
+        own = self.own.encode(units, num_threads=1)
+        if self.by_word and "" in units:  # a mark at a text's end
+            at = units.index("")
+            made[at], own[at] = [self.fast.token_to_id(MARK)], [self.alone]
+        return {u: (struct.pack(f"<{len(ids)}I", *ids), ids == mine) for u, ids, mine in zip(units, own, made, strict=True)}
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the texts of a column, the number of ids before each text, and whether all of a text's are the rebuilt tokenizer's."""
         column = pc.fill_null(column, "")
@@ -214,8 +215,8 @@ class Codec:
 
     def decode(self, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all texts end to end and the n + 1 offsets, without the space that the dummy prefix puts first."""
-        sizes = np.r_[0, np.cumsum(self.bounds[ids.astype(np.int64) + 1] - self.bounds[ids.astype(np.int64)])]
-        data, offsets = ragged(self.bytes, self.bounds, ids.astype(np.int64)), sizes[before]
+        data, sizes = column_bytes(self.coded.take(pa.array(ids, pa.uint32())))
+        offsets = sizes[before]
         first = offsets[:-1][np.diff(offsets) > 0]
         if self.spec.dummy_prefix and first.size:
             first = first[data[first] == 32]

@@ -466,6 +466,33 @@ def test_every_word_is_compared(spark):
     assert [ids[a:b].tolist() for a, b in zip(before, before[1:])] == made.own.encode(texts) and not same.any()
 
 
+def test_calls_and_memory_of_words_are_bounded():
+    """However many distinct words a batch has, a library's call gets a few thousand, and long units aren't remembered."""
+    with open(PIECES, "rb") as file:
+        made = piece.Codec(file.read())
+    fast, own, calls = made.fast, made.own, []
+
+    class Fast:
+        def encode_batch_fast(self, units, add_special_tokens):
+            calls.append(len(units))
+            return fast.encode_batch_fast(units, add_special_tokens=add_special_tokens)
+
+        def token_to_id(self, unit):
+            return fast.token_to_id(unit)
+
+    class Own:
+        def encode(self, units, num_threads):
+            calls.append(len(units))
+            return own.encode(units, num_threads=num_threads)
+
+    made.fast, made.own = Fast(), Own()
+    texts = [" ".join(f"w{i}x{k}" for k in range(100)) for i in range(200)] + ["日本語" * 5_000, "", "end "]
+    ids, before, same = made.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(before, before[1:])] == own.encode(texts) and same.all()
+    assert sum(calls) > 40_000 and max(calls) <= 4_096
+    assert len(made.seen) > 20_000 and max(map(len, made.seen)) <= 64
+
+
 # 7 decontamination
 
 
