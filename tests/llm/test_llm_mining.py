@@ -59,6 +59,20 @@ def test_phrases_of_nothing(spark):
     assert phrases.phrases(spark.createDataFrame([(None, None), ("rare words", "en")], "text string, lang string")).collect() == []
 
 
+def test_no_row_of_a_table_holds_a_block(spark):
+    """A row that holds all of a block takes an executor's memory several times over."""
+    text = " ".join(f"w{i % 9000} w{i % 9000 + 1}" for i in range(20_000))
+    held = phrases.blocks(spark.createDataFrame([(text, "en")], "text string, lang string"))
+    sizes = lambda df: [df.select(F.max(F.size(c))).first()[0] for c, kind in df.dtypes if kind.startswith("array")]
+    assert sizes(held) and max(sizes(held)) <= 4096
+    words = held.where("codes IS NULL")
+    assert words.select(F.count("word"), F.sum("count")).first()[:] == (9001, 40_000) and held.select(F.sum(F.size("codes"))).first()[0] == 40_000
+    pairs = phrases.next_level(held, words.select("block", "number", F.col("number").cast("long").alias("id")))
+    assert sizes(pairs) and max(sizes(pairs)) <= 4096
+    counts = Counter(zip(text.split(), text.split()[1:], strict=False))
+    assert sorted(r[0] for r in pairs.where("codes IS NULL").select("count").collect()) == sorted(counts.values())
+
+
 def test_scores_past_64_bits_are_exact(spark):
     cases = [(10**15, 10**15, 10**15), (999_999_999_999_989, 10**15 - 11, 10**15 - 7), (10, 3_000_000_000, 7_000_000_000), (123_456_789_012, 987_654_321_098, 123_456_789_013)]
     df = spark.createDataFrame(cases, "a long, l long, r long")
